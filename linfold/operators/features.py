@@ -16,13 +16,13 @@ def label_range(points: DataFrame, label: str = "label") -> DataFrame:
 def shift_labels(points: DataFrame, label: str = "label", keep_raw: bool = False) -> DataFrame:
     """Subtract the global minimum label so the smallest label is 0.
 
-    The minimum is a one-row aggregate joined back by broadcast.
+    The minimum is a scalar subquery: computed once by its own small job and
+    substituted as a constant, so the row plan stays one code-generated stage.
     """
-    lo = points.agg(F.min(label).alias("_min_label"))
-    out = points.crossJoin(F.broadcast(lo))
+    lo = points.select(F.min(label)).scalar()
     cols = [c for c in points.columns if c != label]
     extra = [F.col(label).alias("label_raw")] if keep_raw else []
-    return out.select(*cols, (F.col(label) - F.col("_min_label")).alias(label), *extra)
+    return points.select(*cols, (F.col(label) - lo).alias(label), *extra)
 
 
 def slice_features(points: DataFrame, k: int, features: str = "features") -> DataFrame:
@@ -42,9 +42,11 @@ def explode_features(points: DataFrame, keys=("point_id",), features: str = "fea
 
 
 def min_max_scale(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Linear map of ``col`` to [0, 1] with whole-frame min and max (0 when flat)."""
-    rng = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    j = df.crossJoin(F.broadcast(rng))
-    scaled = F.when(F.col("_hi") == F.col("_lo"), F.lit(0.0)) \
-        .otherwise((F.col(col) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
-    return j.withColumn(out, scaled).drop("_lo", "_hi")
+    """Linear map of ``col`` to [0, 1] with whole-frame min and max (0 when flat).
+
+    Both ends are scalar subqueries over the same plan, which the optimizer
+    merges into one job."""
+    lo = df.select(F.min(col)).scalar()
+    hi = df.select(F.max(col)).scalar()
+    scaled = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(col) - lo) / (hi - lo))
+    return df.withColumn(out, scaled)

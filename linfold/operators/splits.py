@@ -42,12 +42,14 @@ def hash_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
     """Add a ``split`` column (disjoint, reproducible)."""
     if len(weights) != len(names):
         raise ValueError("one name per weight")
-    b = split_bucket(id_col, seed)
     th = _thresholds(weights)
+    b = F.col("_bucket")
     expr = F.lit(names[-1])
     for t, name in reversed(list(zip(th, names[:-1]))):
         expr = F.when(b < F.lit(t), F.lit(name)).otherwise(expr)
-    return points.withColumn("split", expr)
+    # the bucket is its own projection so the md5 runs once per row
+    return points.withColumn("_bucket", split_bucket(id_col, seed)) \
+        .withColumn("split", expr).drop("_bucket")
 
 
 def random_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,

@@ -94,9 +94,9 @@ class Pipeline:
         return self.split("train").agg(F.avg("label").alias("train_mean"))
 
     def baseline_predictions(self) -> DataFrame:
-        """Every point with the broadcast training mean attached as prediction."""
-        return self.data.crossJoin(F.broadcast(self.train_mean())) \
-            .withColumn("prediction", F.col("train_mean")).drop("train_mean")
+        """Every point with the training mean (a scalar subquery) as prediction."""
+        mean = self.split("train").select(F.avg("label")).scalar()
+        return self.data.withColumn("prediction", mean)
 
     def gd(self, num_iters: int = GD_ITERATIONS, alpha: float = GD_ALPHA, eta: float = 0.0,
            name: str = "LR0") -> tuple[LinearModel, np.ndarray]:

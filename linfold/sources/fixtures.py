@@ -28,8 +28,8 @@ def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> Data
     """``(point_id BIGINT, label DOUBLE, features ARRAY<DOUBLE>)`` from embeddings.
 
     Each of the first ``d`` dimensions is min-max scaled over the whole table;
-    the per-dimension range is a one-row aggregate joined back by broadcast
-    (its size is 2d numbers whatever the table size).
+    the 2d range ends are scalar subqueries over one plan (merged by the
+    optimizer into a single small job), so rows see them as constants.
     """
     emb = _table(spark, sf_dir, "embeddings")
     raw = emb.select(
@@ -37,13 +37,12 @@ def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> Data
         (F.lit(EMBED_LABEL_BASE) + F.col("label")).cast("double").alias("label"),
         *[F.col("embedding").getItem(k).cast("double").alias(f"_e{k}") for k in range(d)],
     )
-    rng = raw.agg(*[F.min(f"_e{k}").alias(f"_lo{k}") for k in range(d)],
-                  *[F.max(f"_e{k}").alias(f"_hi{k}") for k in range(d)])
-    j = raw.crossJoin(F.broadcast(rng))
-    scaled = [F.when(F.col(f"_hi{k}") == F.col(f"_lo{k}"), F.lit(0.0))
-              .otherwise((F.col(f"_e{k}") - F.col(f"_lo{k}")) / (F.col(f"_hi{k}") - F.col(f"_lo{k}")))
+    lo = [raw.select(F.min(f"_e{k}")).scalar() for k in range(d)]
+    hi = [raw.select(F.max(f"_e{k}")).scalar() for k in range(d)]
+    scaled = [F.when(hi[k] == lo[k], F.lit(0.0))
+              .otherwise((F.col(f"_e{k}") - lo[k]) / (hi[k] - lo[k]))
               for k in range(d)]
-    return j.select("point_id", "label", F.array(*scaled).alias("features"))
+    return raw.select("point_id", "label", F.array(*scaled).alias("features"))
 
 
 def signal_points(spark: SparkSession, sf_dir: str) -> DataFrame:
