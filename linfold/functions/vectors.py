@@ -69,3 +69,15 @@ def two_way_interactions(features: Column | str, d: int | None = None) -> Column
     if d is None:
         return F.concat(f, F.flatten(F.transform(f, lambda a: F.transform(f, lambda b: a * b))))
     return F.array(*([f.getItem(k) for k in range(d)] + interaction_terms(f, d)))
+
+
+def to_ml_vector(features: Column | str) -> Column:
+    """``ARRAY<DOUBLE>`` -> ``pyspark.ml`` dense vector (only for ML interop)."""
+    from pyspark.ml.functions import array_to_vector
+    return array_to_vector(_col(features))
+
+
+def from_ml_vector(vector: Column | str) -> Column:
+    """``pyspark.ml`` vector -> ``ARRAY<DOUBLE>`` (``toArray`` per row)."""
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(_col(vector))

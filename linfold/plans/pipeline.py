@@ -119,6 +119,15 @@ class Pipeline:
         return {b: _model(f"it{b}", r.snapshots[b], self.d, interactions, intercept, step, reg, b)
                 for b in budgets}
 
+    def stability(self, step: float, intercept: bool = True, interactions: bool = False) -> float:
+        """``step`` x largest eigenvalue of the training G/n: above ~2 the first
+        iterations amplify, and rounding can decide where a run ends."""
+        m = self.moments(interactions)["train"]
+        m = m.augmented() if intercept else m
+        if m.n == 0:
+            return float("nan")
+        return float(step * np.linalg.eigvalsh(m.xtx / m.n).max())
+
     # ---- scoring ------------------------------------------------------
     def score(self, models: Mapping[str, object], splits: Sequence[str] | None = None) -> DataFrame:
         """``(split, model, n, rmse)`` for every model, one pass over the rows."""

@@ -22,6 +22,7 @@ from linfold.operators.models import ideal_prediction
 from linfold.operators.moments import collect_moments, moments_frame
 from linfold.operators.descent import gradient_descent
 from linfold.operators.models import LinearModel
+from linfold.operators.sampling import first_k
 from linfold.operators.splits import split_sizes
 from linfold.functions.vectors import dot
 from linfold.plans import oracle as O
@@ -145,7 +146,7 @@ def q_label_hist_shifted(spark, sf_dir):
                                     "firstk AS (SELECT * FROM raw ORDER BY point_id LIMIT 5)") +
           _long_sql("firstk", _E, extra=", label"))
 def q_sample_first_k(spark, sf_dir):
-    first = embed_points(spark, sf_dir).orderBy("point_id").limit(5)
+    first = first_k(embed_points(spark, sf_dir), 5)
     return _long(first, ("point_id", "label"))
 
 
@@ -338,6 +339,32 @@ def q_labeled_prediction(spark, sf_dir):
                                         r6(model.prediction()).alias("prediction"))
 
 
+@register("label_hist_both", O.with_(O.pts_cte("signal")) + (
+    "SELECT 'original' AS kind, label_raw AS label, count(*) AS n FROM pts GROUP BY label_raw"
+    " UNION ALL SELECT 'shifted' AS kind, label, count(*) AS n FROM pts GROUP BY label"))
+def q_label_hist_both(spark, sf_dir):
+    return reports.label_histograms(signal_points(spark, sf_dir))
+
+
+def _tail_sql(eta: float) -> str:
+    base = _gd_sql("signal", eta, "trace").split("SELECT CAST(i AS BIGINT)")[0]
+    return base + (
+        f"SELECT CAST(i AS BIGINT) AS iteration, {O.r6('rmse')} AS rmse,"
+        f" {O.r6('(rmse - min(rmse) OVER ()) / (max(rmse) OVER () - min(rmse) OVER ())')}"
+        f" AS scaled_rmse FROM gd WHERE i >= 6 AND i < {GD_ITERATIONS}")
+
+
+def _tail_query(eta: float) -> QueryFn:
+    def run(spark, sf_dir):
+        _, trace = _pipe(spark, sf_dir).gd(GD_ITERATIONS, 1.0, eta)
+        return reports.trace_tail(spark, trace, 6)
+    return run
+
+
+register("gd_trace_tail", _tail_sql(0.0))(_tail_query(0.0))
+register("gd_l2_trace_tail", _tail_sql(GD_L2_ETA))(_tail_query(GD_L2_ETA))
+
+
 # ---------------------------------------------------------------- SGD family, search, report
 for _name, (_fn, _sql) in search.queries(r6).items():
     register(_name, _sql)(_fn)

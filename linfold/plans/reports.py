@@ -21,9 +21,19 @@ from linfold.plans.pipeline import (
 )
 
 
+def label_histograms(points: DataFrame) -> DataFrame:
+    """V2: points per label before and after the shift, tagged by ``kind``."""
+    from linfold.operators.features import shift_labels
+    from linfold.operators.metrics import label_histogram
+    a = label_histogram(points).select(F.lit("original").alias("kind"), "label", "n")
+    b = label_histogram(shift_labels(points)).select(F.lit("shifted").alias("kind"), "label", "n")
+    return a.unionByName(b)
+
+
 def feature_heatmap(points: DataFrame, k: int = 50) -> DataFrame:
     """First ``k`` points by id, long form ``(point_id, feature, value)``."""
-    first = points.orderBy("point_id").limit(k)
+    from linfold.operators.sampling import first_k
+    first = first_k(points, k)
     out = explode_features(first)
     return out.select("point_id", F.col("feature").cast("bigint"),
                       (F.round("value", 9) + F.lit(0.0)).alias("value"))
@@ -70,7 +80,8 @@ def trace_table(spark: SparkSession, trace: np.ndarray) -> DataFrame:
 
 def gd_small(p: Pipeline, n: int = 10, k: int = 3, iters: int = 5, eta: float = 0.0) -> DataFrame:
     """Descent on the first ``n`` training points (by id), first ``k`` features."""
-    small = p.split("train").orderBy("point_id").limit(n)
+    from linfold.operators.sampling import first_k
+    small = first_k(p.split("train"), n)
     small = small.withColumn("features", F.slice("features", 1, k))
     m = collect_moments(moments_frame(small, k, fanout=1))["train"]
     w, _ = gradient_descent(m, iters, 1.0, eta)
@@ -101,6 +112,22 @@ def model_report(p: Pipeline, with_interactions: bool = True) -> DataFrame:
     return scored.where(keep).select("split", "model", "rmse")
 
 
+def report_lines(report: DataFrame) -> DataFrame:
+    """Printable lines ``<model> RMSE (<split>) = <rmse to 3 decimals>``."""
+    return report.select("split", "model", F.format_string("%s RMSE (%s) = %.3f", F.col("model"),
+                                                            F.col("split"), F.col("rmse")).alias("line"))
+
+
+def trace_tail(spark: SparkSession, trace: np.ndarray, start: int = 6) -> DataFrame:
+    """The trace from iteration ``start`` on, min-max scaled over that tail."""
+    rows = [(int(i), float(v)) for i, v in enumerate(trace) if i >= start]
+    schema = T.StructType([T.StructField("iteration", T.LongType()),
+                           T.StructField("rmse", T.DoubleType())])
+    df = min_max_scale(spark.createDataFrame(rows, schema), "rmse", "scaled_rmse")
+    return df.select("iteration", (F.round("rmse", 6) + F.lit(0.0)).alias("rmse"),
+                     (F.round("scaled_rmse", 6) + F.lit(0.0)).alias("scaled_rmse"))
+
+
 # ---------------------------------------------------------------- query registrations
 def queries(r6):
     out = {}
@@ -160,21 +187,25 @@ def queries(r6):
         p = Pipeline.from_fixture(spark, sf_dir, "embed")
         m = p.sgd(SGD_ITERATIONS, SGD_STEP, INTERACT_REG, True, interactions=True, name="LRInteract")
         sc = p.score({"LRInteract": m}, ["validation", "test"])
+        amp = p.stability(SGD_STEP, True, True)
         return sc.select("split", F.lit(int(m.info["iterations"])).cast("bigint").alias("iterations_run"),
                          F.lit(len(m.weights)).cast("bigint").alias("width"),
-                         (~F.isnan("rmse") & (F.col("rmse") < F.lit(float("inf")))).alias("finite"))
+                         (~F.isnan("rmse") & (F.col("rmse") < F.lit(float("inf")))).alias("finite"),
+                         F.lit(amp).alias("step_x_max_eig"),
+                         F.lit(float(m.info["peak_norm"])).alias("peak_weight_norm"))
 
     # ---- model report
     from linfold.plans.search import _grid_sql_parts
     gbase, _ = _grid_sql_parts("signal")
-    rep_sql = gbase.rstrip("\n") + ",\n" + ",\n".join([
+    rep_ctes = gbase.rstrip("\n") + ",\n" + ",\n".join([
         O.mom_cte(zb, False, name="mom0"),
         O.gd_ctes(d, GD_ITERATIONS, 1.0, 0.0, mom="mom0", name="gd"),
         O.gd_ctes(d, GD_ITERATIONS, 1.0, GD_L2_ETA, mom="mom0", name="gdl2"),
         O.zp_cte(d, True, name="zpi"),
         O.mom_cte(zi, True, src="zpi", name="momi"),
         O.sgd_ctes(len(zi), [(0, INTERACT_REG, SGD_STEP, SGD_ITERATIONS)], mom="momi", name="si"),
-    ]) + "\n" + " UNION ALL ".join([
+    ]) + "\n"
+    rep_union = " UNION ALL ".join([
         f"SELECT split, 'Baseline' AS model, {O.r6(f'sqrt(avg(pow(label - {mean}, 2)))')} AS rmse"
         " FROM zp GROUP BY split",
         f"SELECT split, 'LR0' AS model, {O.r6('sqrt(avg(pow(label - ' + O.predict_expr('g.w', zb, False) + ', 2)))')}"
@@ -190,9 +221,15 @@ def queries(r6):
         " AS rmse FROM zpi CROSS JOIN si_fin f WHERE split <> 'train' GROUP BY split",
     ])
 
-    @reg("model_report", rep_sql)
+    @reg("model_report", rep_ctes + rep_union)
     def _report(spark, sf_dir):
         rep = model_report(Pipeline.from_fixture(spark, sf_dir, "signal"))
         return rep.select("split", "model", r6("rmse").alias("rmse"))
 
+    @reg("report_lines", rep_ctes + "SELECT split, model, printf('%s RMSE (%s) = %.3f', model, split,"
+         " rmse) AS line FROM (" + rep_union + ")")
+    def _lines(spark, sf_dir):
+        rep = model_report(Pipeline.from_fixture(spark, sf_dir, "signal"))
+        return report_lines(rep.withColumn("rmse", r6("rmse")))
+
     return out

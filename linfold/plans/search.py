@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linfold.operators.metrics import residuals
+from linfold.operators.models import LinearModel
 from linfold.plans import oracle as O
 from linfold.plans.pipeline import (
     GD_ITERATIONS, GRID_REGS, HEAT_ITERATIONS, HEAT_REGS, SGD_ITERATIONS, SGD_REG, SGD_STEP,
@@ -236,6 +237,31 @@ def queries(r6):
         return p.split("validation").select("point_id", r6("label").alias("label"),
                                             r6(m.prediction()).alias("prediction"))
 
+    @reg("sgd_sample_predict", _sgd_base("signal", lr1) + (
+        f"SELECT point_id, {O.r6('label')} AS label, {O.r6(pred1)} AS prediction FROM"
+        " (SELECT * FROM zp WHERE split = 'train' ORDER BY point_id, label, f0, f1, f2 LIMIT 1)"
+        " CROSS JOIN sgd_fin f"))
+    def _sample_predict(spark, sf_dir):
+        from linfold.operators.sampling import first_k
+        p = Pipeline.from_fixture(spark, sf_dir, "signal")
+        m = p.sgd(name="LR1")
+        return first_k(p.split("train"), 1).select(
+            "point_id", r6("label").alias("label"), r6(m.prediction()).alias("prediction"))
+
+    def _weights_rowwise(spark, sf_dir):
+        from linfold.operators.rowwise import sgd_rowwise
+        p = Pipeline.from_fixture(spark, sf_dir, "signal")
+        train = p.split("train").select("label", "features").persist()
+        try:
+            r = sgd_rowwise(train, d, SGD_ITERATIONS, SGD_STEP, SGD_REG, intercept=True)
+        finally:
+            train.unpersist()
+        m = LinearModel("LR1", r.weights, r.intercept, d, False, {"has_intercept": True})
+        return m.weights_frame(spark).select("feature", r6("weight").alias("weight"),
+                                             F.lit(int(r.iterations)).cast("bigint").alias("iterations"))
+    # same answer as sgd_weights, by the per-iteration row path
+    reg("sgd_weights_rowwise", out["sgd_weights"][1])(_weights_rowwise)
+
     gbase, _ = _grid_sql_parts("signal")
     predb = O.predict_expr("f.w", zs, True)
 

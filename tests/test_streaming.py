@@ -1,0 +1,19 @@
+import numpy as np
+
+from linfold.operators.models import LinearModel
+from linfold.streaming import score_text_stream
+
+
+def test_stream_scores_like_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("3.0,1.0,2.0\n5.0,2.0,0.5\nbad,1,2\n")
+    model = LinearModel("m", np.array([1.0, 0.5]), 0.25, 2)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    q = (score_text_stream(spark, str(src), model, 2).writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination(120)
+    rows = {r.label: r for r in spark.read.parquet(out).collect() if r.parse_ok}
+    assert rows[3.0].prediction == 1.0 + 1.0 + 0.25
+    assert rows[5.0].prediction == 2.0 + 0.25 + 0.25
+    assert spark.read.parquet(out).where("NOT parse_ok").count() == 1
