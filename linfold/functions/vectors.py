@@ -8,6 +8,7 @@ the higher-order-function forms are used (interpreted, still JVM-side).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,9 +19,52 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_double(x: float) -> str:
+    """An exact SQL DOUBLE literal (shortest round-trip digits, ``D`` suffix)."""
+    x = float(x)
+    if math.isnan(x):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    r = repr(x)
+    return f"({r}D)" if not r.startswith("-") else f"(-{r[1:]}D)"
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def term_sql(features: str, d: int, interactions: bool = False) -> list[str]:
+    """SQL text of the model terms: ``f[k]``, then ``f[i] * f[j]`` row-major."""
+    f = _quote(features)
+    terms = [f"{f}[{k}]" for k in range(d)]
+    if interactions:
+        terms += [f"({f}[{i}] * {f}[{j}])" for i in range(d) for j in range(d)]
+    return terms
+
+
+def linear_sql(features: str, weights: Sequence[float], intercept: float | None = None,
+               d: int | None = None, interactions: bool = False) -> str:
+    """SQL text of ``sum_k z_k * w_k (+ intercept)``, summed left to right.
+
+    Wide models are emitted as one expression string so building them costs
+    one call into the JVM, not one per term.
+    """
+    d = len(weights) if d is None else d
+    terms = term_sql(features, d, interactions)
+    if len(terms) != len(weights):
+        raise ValueError(f"{len(weights)} weights for {len(terms)} terms")
+    parts = [f"{t} * {sql_double(w)}" for t, w in zip(terms, weights)]
+    if intercept:
+        parts.append(sql_double(intercept))
+    return " + ".join(parts) if parts else "(0.0D)"
+
+
 def dot(features: Column | str, weights: Sequence[float]) -> Column:
     """``features . weights`` as a sum of ``features[k] * w_k`` terms."""
-    f = _col(features)
+    if isinstance(features, str):
+        return F.expr(linear_sql(features, weights))
+    f = features
     terms = [f.getItem(k) * F.lit(float(w)) for k, w in enumerate(weights)]
     if not terms:
         return F.lit(0.0)
@@ -33,6 +77,8 @@ def dot(features: Column | str, weights: Sequence[float]) -> Column:
 def predict(features: Column | str, weights: Sequence[float],
             intercept: float = 0.0) -> Column:
     """Linear prediction ``w . x + intercept``."""
+    if isinstance(features, str):
+        return F.expr(linear_sql(features, weights, intercept))
     out = dot(features, weights)
     if intercept:
         out = out + F.lit(float(intercept))

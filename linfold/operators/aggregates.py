@@ -18,26 +18,38 @@ from pyspark.sql import functions as F
 
 _LEVEL1 = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 _LEVEL2 = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}
+_LEVEL2_SQL = {"sum": "sum", "min": "min", "max": "max", "count": "sum"}
+
+
+def _level1(name: str, kind: str, expr) -> Column:
+    if isinstance(expr, str):  # SQL text: one JVM call per aggregate
+        return F.expr(f"{kind}({expr}) AS `{name}`")
+    return _LEVEL1[kind](expr).alias(name)
+
+
+def _level2(name: str, kind: str) -> Column:
+    return F.expr(f"{_LEVEL2_SQL[kind]}(`{name}`) AS `{name}`")
 
 
 def default_fanout(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-def tree_agg(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str, Column]],
+def tree_agg(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str, Column | str]],
              fanout: int | None = None) -> DataFrame:
-    """Aggregate ``specs`` = [(name, 'sum'|'min'|'max'|'count', expr)] per ``keys``.
+    """Aggregate ``specs`` = [(name, 'sum'|'min'|'max'|'count', expr)] per ``keys``;
+    ``expr`` is a Column or SQL text.
 
     ``fanout`` <= 1 gives a single-level aggregate.
     """
     fanout = default_fanout(df) if fanout is None else fanout
     keys = list(keys)
     if fanout <= 1:
-        aggs = [_LEVEL1[k](e).alias(n) for n, k, e in specs]
+        aggs = [_level1(n, k, e) for n, k, e in specs]
         return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     bucket = (F.spark_partition_id() % F.lit(fanout)).alias("_bucket")
-    lvl1 = df.groupBy(*keys, bucket).agg(*[_LEVEL1[k](e).alias(n) for n, k, e in specs])
-    aggs2 = [_LEVEL2[k](F.col(n)).alias(n) for n, k, _ in specs]
+    lvl1 = df.groupBy(*keys, bucket).agg(*[_level1(n, k, e) for n, k, e in specs])
+    aggs2 = [_level2(n, k) for n, k, _ in specs]
     if keys:
         return lvl1.groupBy(*keys).agg(*aggs2)
     return lvl1.agg(*aggs2)

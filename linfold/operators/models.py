@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linfold.functions.vectors import interaction_terms
+from linfold.functions.vectors import linear_sql
 
 
 @dataclass
@@ -26,22 +26,10 @@ class LinearModel:
     info: dict = field(default_factory=dict)
 
     def prediction(self, features: str = "features") -> Column:
-        f = F.col(features)
+        """One code-generated expression; interaction products are formed on
+        the fly from the base features, never materialised as an array."""
         d = self.d or len(self.weights)
-        z = [f.getItem(k) for k in range(d)]
-        if self.interactions:
-            z = z + interaction_terms(f, d)
-        if len(z) != len(self.weights):
-            raise ValueError(f"{self.name}: {len(self.weights)} weights for {len(z)} terms")
-        out = None
-        for c, w in zip(z, self.weights):
-            term = c * F.lit(float(w))
-            out = term if out is None else out + term
-        if out is None:
-            out = F.lit(0.0)
-        if self.intercept:
-            out = out + F.lit(float(self.intercept))
-        return out
+        return F.expr(linear_sql(features, self.weights, self.intercept, d, self.interactions))
 
     def weights_frame(self, spark: SparkSession) -> DataFrame:
         """``(feature BIGINT, weight DOUBLE)``; the intercept is feature -1."""

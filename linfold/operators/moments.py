@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linfold.functions.vectors import interaction_terms
+from linfold.functions.vectors import term_sql
 from linfold.operators.aggregates import tree_agg
 
 COLUMNS_MAX_WIDTH = 24
@@ -93,27 +93,23 @@ def moments_frame(points: DataFrame, d: int, by: str = "split", interactions: bo
 
 
 def _moments_columns(points, d, by, interactions, fanout):
-    f = F.col("features")
-    z = [f.getItem(k) for k in range(d)]
-    if interactions:
-        z = z + interaction_terms(f, d)
+    z = term_sql("features", d, interactions)
     width = len(z)
-    y = F.col("label")
-    specs = [("m0", "count", F.lit(1)), ("m1", "sum", y), ("m2", "sum", y * y)]
+    y = "label"
+    specs = [("m0", "count", "1"), ("m1", "sum", y), ("m2", "sum", f"{y} * {y}")]
     k = 3
     for c in z:
         specs.append((f"m{k}", "sum", c))
         k += 1
     for c in z:
-        specs.append((f"m{k}", "sum", c * y))
+        specs.append((f"m{k}", "sum", f"{c} * {y}"))
         k += 1
     for i, j in _triu(width):
-        specs.append((f"m{k}", "sum", z[i] * z[j]))
+        specs.append((f"m{k}", "sum", f"{z[i]} * {z[j]}"))
         k += 1
     wide = tree_agg(points, [by], specs, fanout)
-    longer = wide.select(by, F.posexplode(F.array(*[F.col(f"m{i}").cast("double")
-                                                    for i in range(k)])).alias("k", "value"))
-    return longer
+    arr = ", ".join(f"CAST(m{i} AS DOUBLE)" for i in range(k))
+    return wide.select(by, F.expr(f"posexplode(array({arr})) AS (k, value)"))
 
 
 def _moments_arrow(points, d, by, interactions):

@@ -17,6 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linfold.functions.vectors import linear_sql
 from linfold.operators.aggregates import tree_agg
 from linfold.operators.descent import (
     SGD_CONVERGENCE_TOL, SGD_INITIAL_INTERCEPT, SGDResult,
@@ -25,13 +26,10 @@ from linfold.operators.descent import (
 
 def _gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float, intercept: bool,
                    fanout: int | None) -> tuple[np.ndarray, float, int]:
-    f = F.col("features")
-    pred = F.lit(float(b)) if intercept else F.lit(0.0)
-    for k in range(d):
-        pred = pred + f.getItem(k) * F.lit(float(w[k]))
-    err = pred - F.col("label")
-    specs = [(f"g{k}", "sum", err * f.getItem(k)) for k in range(d)]
-    specs += [("gb", "sum", err), ("n", "count", F.lit(1))]
+    pred = linear_sql("features", w, b if intercept else None, d)
+    err = f"(({pred}) - label)"
+    specs = [(f"g{k}", "sum", f"{err} * features[{k}]") for k in range(d)]
+    specs += [("gb", "sum", err), ("n", "count", "1")]
     r = tree_agg(rows, [], specs, fanout).collect()[0]
     g = np.array([r[f"g{k}"] or 0.0 for k in range(d)])
     return g, float(r["gb"] or 0.0), int(r["n"])

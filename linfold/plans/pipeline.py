@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.operators.descent import gradient_descent, sgd
-from linfold.operators.features import shift_labels
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
 from linfold.operators.moments import Moments, collect_moments, moments_frame
@@ -55,7 +54,13 @@ class Pipeline:
         self.d = d
         self.fanout = fanout
         self.points = points
-        data = hash_split(shift_labels(points))
+        # The minimum label is resolved once (one small job over the label
+        # columns); every later pass over ``data`` then sees a literal.
+        lo = points.select(F.min("label")).collect()[0][0]
+        shifted = points.select(*[c for c in points.columns if c != "label"],
+                                (F.col("label") - F.lit(lo)).alias("label"))
+        self.min_label = lo
+        data = hash_split(shifted)
         if persist:
             data = data.persist(StorageLevel.MEMORY_AND_DISK)
         self.data = data

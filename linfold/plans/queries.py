@@ -179,6 +179,15 @@ def q_split_sizes_embed(spark, sf_dir):
     return split_sizes(_pipe(spark, sf_dir, "embed").data)
 
 
+@register("random_split_sizes", None)
+def q_random_split_sizes(spark, sf_dir):
+    # Bernoulli range split with seed 42, as randomSplit does; membership
+    # depends on partitioning, so it has no cross-engine oracle.
+    from linfold.operators.splits import random_split
+    p = _pipe(spark, sf_dir)
+    return split_sizes(random_split(p.data.drop("split")))
+
+
 @register("split_assign", O.with_(O.pts_cte("signal")) + "SELECT point_id, split FROM pts")
 def q_split_assign(spark, sf_dir):
     return _pipe(spark, sf_dir).data.select("point_id", "split")

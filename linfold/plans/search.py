@@ -79,7 +79,8 @@ def step_sweep(p: Pipeline, reg: float, steps=SWEEP_STEPS, budgets=SWEEP_ITERATI
         F.element_at(_lit_map({k: v[1] for k, v in meta.items()}), trial).cast("bigint").alias("num_iters"),
         F.element_at(_lit_map({k: v[2] for k, v in meta.items()}), trial).cast("bigint").alias("iterations_run"),
         F.when(finite, F.round(F.log10("rmse"), 4) + F.lit(0.0)).alias("log10_rmse"),
-        finite.alias("finite"))
+        finite.alias("finite")).withColumn(
+        "line", F.format_string("alpha = %.0e, numIters = %d", F.col("step"), F.col("num_iters")))
 
 
 def iter_reg_grid(p: Pipeline, budgets=HEAT_ITERATIONS, regs=HEAT_REGS,
@@ -163,7 +164,9 @@ def _sweep_sql(fx: str) -> str:
         "SELECT CAST(s.trial AS BIGINT) AS trial, t.step, CAST(t.iters AS BIGINT) AS num_iters,"
         " CAST(s.iters_run AS BIGINT) AS iterations_run,"
         " CASE WHEN isfinite(s.rmse) THEN round(log10(s.rmse), 4) + 0.0 END AS log10_rmse,"
-        " coalesce(isfinite(s.rmse), false) AS finite FROM sw_score s JOIN sw_t t ON s.trial = t.trial")
+        " coalesce(isfinite(s.rmse), false) AS finite,"
+        " printf('alpha = %.0e, numIters = %d', t.step, t.iters) AS line"
+        " FROM sw_score s JOIN sw_t t ON s.trial = t.trial")
 
 
 def queries(r6):

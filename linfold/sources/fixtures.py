@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linfold.functions.vectors import sql_double
 from linfold.session import scratch_path
-from linfold.sources.text import parse_points, points_to_lines, write_lines
+from linfold.sources.text import parse_points, points_to_lines, read_lines, write_lines
+
+TEXT_MIN_PARTITIONS = 2
 
 # Fixed values of the derived fixtures.
 EMBED_WIDTH = 12
@@ -27,9 +30,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> DataFrame:
     """``(point_id BIGINT, label DOUBLE, features ARRAY<DOUBLE>)`` from embeddings.
 
-    Each of the first ``d`` dimensions is min-max scaled over the whole table;
-    the 2d range ends are scalar subqueries over one plan (merged by the
-    optimizer into a single small job), so rows see them as constants.
+    Each of the first ``d`` dimensions is min-max scaled over the whole table.
+    The 2d range ends come from one small aggregate job (2d numbers whatever
+    the table size) and enter the row plan as literals.
     """
     emb = _table(spark, sf_dir, "embeddings")
     raw = emb.select(
@@ -37,12 +40,16 @@ def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> Data
         (F.lit(EMBED_LABEL_BASE) + F.col("label")).cast("double").alias("label"),
         *[F.col("embedding").getItem(k).cast("double").alias(f"_e{k}") for k in range(d)],
     )
-    lo = [raw.select(F.min(f"_e{k}")).scalar() for k in range(d)]
-    hi = [raw.select(F.max(f"_e{k}")).scalar() for k in range(d)]
-    scaled = [F.when(hi[k] == lo[k], F.lit(0.0))
-              .otherwise((F.col(f"_e{k}") - lo[k]) / (hi[k] - lo[k]))
-              for k in range(d)]
-    return raw.select("point_id", "label", F.array(*scaled).alias("features"))
+    rng = raw.agg(*[F.min(f"_e{k}").alias(f"lo{k}") for k in range(d)],
+                  *[F.max(f"_e{k}").alias(f"hi{k}") for k in range(d)]).collect()[0]
+    parts = []
+    for k in range(d):
+        lo, hi = rng[f"lo{k}"], rng[f"hi{k}"]
+        if lo is None or hi is None or hi == lo:
+            parts.append("(0.0D)")
+        else:
+            parts.append(f"((_e{k} - {sql_double(lo)}) / ({sql_double(hi)} - {sql_double(lo)}))")
+    return raw.select("point_id", "label", F.expr(f"array({', '.join(parts)})").alias("features"))
 
 
 def signal_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +76,5 @@ def embed_text_points(spark: SparkSession, sf_dir: str, mode: str = "strict",
     """
     path = path or scratch_path(spark, "points-text")
     write_lines(points_to_lines(embed_points(spark, sf_dir), EMBED_WIDTH), path)
-    lines = spark.read.text(path)
+    lines = read_lines(spark, path, min_partitions=TEXT_MIN_PARTITIONS)
     return parse_points(lines, mode=mode, expected_width=EMBED_WIDTH)

@@ -16,7 +16,7 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 40
-    assert set(q) - set(o) == {"interact_embed", "step_sweep_signal"}
+    assert set(q) - set(o) == {"interact_embed", "step_sweep_signal", "random_split_sizes"}
 
 
 def test_entry_runs(spark):
