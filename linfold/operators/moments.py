@@ -33,6 +33,9 @@ from linfold.functions.vectors import term_sql
 from linfold.operators.aggregates import tree_agg
 
 COLUMNS_MAX_WIDTH = 24
+# Above this width the D x D moments (D^2 / 2 doubles per split) stop being
+# "small"; training then uses the per-iteration row path instead.
+MOMENTS_MAX_WIDTH = 1024
 
 
 @dataclass

@@ -69,10 +69,13 @@ def random_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
 
 def split_sizes(points: DataFrame, split: str = "split") -> DataFrame:
     """``(split, n, total, sizes_add_up)``: per-split counts beside an
-    independent count of all points, and whether the split sizes add up."""
+    independent count of all points, and whether the split sizes add up.
+
+    Two passes by design (the check compares two computations); the sum of
+    the split sizes is a window over the few per-split rows, not a rescan."""
+    from pyspark.sql import Window
     per = tree_agg(points, [split], [("n", "count", F.lit(1))])
     total = tree_agg(points, [], [("total", "count", F.lit(1))])
-    split_total = per.agg(F.sum("n").alias("_split_total"))
-    out = per.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(split_total))
-    return out.select(split, "n", "total",
-                      (F.col("_split_total") == F.col("total")).alias("sizes_add_up"))
+    out = per.crossJoin(F.broadcast(total))
+    split_total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return out.select(split, "n", "total", (split_total == F.col("total")).alias("sizes_add_up"))

@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from linfold.operators.descent import gradient_descent, sgd
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
-from linfold.operators.moments import Moments, collect_moments, moments_frame
+from linfold.operators.features import add_interactions
+from linfold.operators.moments import MOMENTS_MAX_WIDTH, Moments, collect_moments, moments_frame
+from linfold.operators.rowwise import sgd_rowwise
 from linfold.operators.splits import hash_split
 from linfold.sources.fixtures import EMBED_WIDTH, embed_points, embed_text_points, signal_points
 
@@ -72,6 +74,10 @@ class Pipeline:
         loader, d = FIXTURES[name]
         return cls(spark, loader(spark, sf_dir), d, **kw)
 
+    def release(self) -> None:
+        """Drop the cached split frame (when built with ``persist=True``)."""
+        self.data.unpersist()
+
     # ---- data ---------------------------------------------------------
     def split(self, name: str) -> DataFrame:
         return self.data.where(F.col("split") == F.lit(name))
@@ -109,9 +115,21 @@ class Pipeline:
         return LinearModel(name, w, 0.0, self.d, False,
                            {"num_iters": num_iters, "alpha": alpha, "eta": eta}), trace
 
+    def width(self, interactions: bool = False) -> int:
+        return self.d + self.d * self.d if interactions else self.d
+
     def sgd(self, iterations: int = SGD_ITERATIONS, step: float = SGD_STEP, reg: float = SGD_REG,
             intercept: bool = True, interactions: bool = False, name: str = "LR1",
-            snapshots: Sequence[int] = ()) -> LinearModel:
+            snapshots: Sequence[int] = (), mini_batch_fraction: float = 1.0) -> LinearModel:
+        """The library rule. From moments when they are small; on the rows (one
+        aggregate per iteration) for very wide features or mini-batches."""
+        if mini_batch_fraction < 1.0 or self.width(interactions) > MOMENTS_MAX_WIDTH:
+            train = self.split("train").select("label", "features")
+            if interactions:
+                train = add_interactions(train, self.d)
+            r = sgd_rowwise(train, self.width(interactions), iterations, step, reg, intercept,
+                            mini_batch_fraction=mini_batch_fraction)
+            return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
         r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept,
                 snapshots=snapshots)
         return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
