@@ -22,7 +22,7 @@ from linfold.operators.models import ConstantModel, LinearModel
 from linfold.operators.features import add_interactions
 from linfold.operators.moments import MOMENTS_MAX_WIDTH, Moments, collect_moments, moments_frame
 from linfold.operators.rowwise import sgd_rowwise
-from linfold.operators.splits import hash_split
+from linfold.operators.splits import SPLIT_NAMES, hash_split
 from linfold.sources.fixtures import EMBED_WIDTH, embed_points, embed_text_points, signal_points
 
 # name -> (loader, feature width)
@@ -92,7 +92,12 @@ class Pipeline:
             if not interactions and True in self._moments:
                 self._moments[False] = {k: m.sub(self.d) for k, m in self._moments[True].items()}
             else:
-                self._moments[interactions] = collect_moments(self.moments_frame(interactions))
+                got = collect_moments(self.moments_frame(interactions))
+                w = self.width(interactions)
+                for name in SPLIT_NAMES:  # an empty split has zero moments
+                    got.setdefault(name, Moments(0, 0.0, 0.0, np.zeros(w), np.zeros(w),
+                                                 np.zeros((w, w))))
+                self._moments[interactions] = got
         return self._moments[interactions]
 
     # ---- models -------------------------------------------------------
@@ -153,10 +158,16 @@ class Pipeline:
 
     # ---- scoring ------------------------------------------------------
     def score(self, models: Mapping[str, object], splits: Sequence[str] | None = None) -> DataFrame:
-        """``(split, model, n, rmse)`` for every model, one pass over the rows."""
-        df = self.data if splits is None else self.data.where(F.col("split").isin(list(splits)))
+        """``(split, model, n, rmse)`` for every model and split, one pass over the
+        rows; an empty split gives ``n = 0`` and a null RMSE."""
+        names = list(SPLIT_NAMES if splits is None else splits)
+        df = self.data if splits is None else self.data.where(F.col("split").isin(names))
         preds: dict[str, Column] = {k: m.prediction() for k, m in models.items()}
-        return rmse_many(df, preds, by=("split",))
+        scored = rmse_many(df, preds, by=("split",))
+        grid = self.spark.createDataFrame([(s, m) for s in names for m in models],
+                                          "split string, model string")
+        out = F.broadcast(grid).join(scored, ["split", "model"], "left")
+        return out.select("split", "model", F.coalesce("n", F.lit(0)).alias("n"), "rmse")
 
     def rmse_of(self, prediction: Column, splits: Sequence[str] | None = None) -> DataFrame:
         df = self.data if splits is None else self.data.where(F.col("split").isin(list(splits)))
