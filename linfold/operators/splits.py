@@ -75,7 +75,7 @@ def split_sizes(points: DataFrame, split: str = "split") -> DataFrame:
     the split sizes is a window over the few per-split rows, not a rescan."""
     from pyspark.sql import Window
     per = tree_agg(points, [split], [("n", "count", F.lit(1))])
-    total = tree_agg(points, [], [("total", "count", F.lit(1))])
-    out = per.crossJoin(F.broadcast(total))
+    total = tree_agg(points, [], [("total", "count", F.lit(1))]).scalar()
     split_total = F.sum("n").over(Window.partitionBy(F.lit(0)))
-    return out.select(split, "n", "total", (split_total == F.col("total")).alias("sizes_add_up"))
+    return per.select(split, "n", total.alias("total"),
+                      (split_total == total).alias("sizes_add_up"))

@@ -105,16 +105,21 @@ def _zero_list(n: int, last: float | None = None) -> str:
     return "[" + ", ".join(vals) + "]"
 
 
-def sgd_ctes(width: int, trials: Sequence[tuple[int, float, float, int]], intercept: bool = True,
-             mom: str = "mom", name: str = "sgd", tol: float = TOL) -> str:
+def sgd_ctes(width: int, trials: Sequence[tuple[int, float, float, int]] | str,
+             intercept: bool = True, mom: str = "mom", name: str = "sgd", tol: float = TOL) -> str:
     """``<name>_p(trial, reg, step, iters)``, the recursive ``<name>(trial, i, w, stop)``
-    and ``<name>_fin(trial, w, iters_run)``."""
+    and ``<name>_fin(trial, w, iters_run)``. ``trials`` is a list of
+    (trial, reg, step, iters) or a SELECT producing those columns."""
     size = width + 1 if intercept else width
-    vals = ", ".join(f"({t}, {_dbl(reg)}, {_dbl(step)}, {int(it)})" for t, reg, step, it in trials)
+    if isinstance(trials, str):
+        params = f"{name}_p AS ({trials})"
+    else:
+        vals = ", ".join(f"({t}, {_dbl(reg)}, {_dbl(step)}, {int(it)})" for t, reg, step, it in trials)
+        params = f"{name}_p(trial, reg, step, iters) AS (VALUES {vals})"
     w0 = _zero_list(size, 1.0 if intercept else None)
     sq = "lambda q: (q[1] - q[2]) * (q[1] - q[2])"
     return (
-        f"{name}_p(trial, reg, step, iters) AS (VALUES {vals}),\n"
+        f"{params},\n"
         f"{name}(trial, i, w, stop) AS (\n"
         f"  SELECT trial, 0, {w0}, false FROM {name}_p\n"
         "  UNION ALL\n"

@@ -274,15 +274,26 @@ def q_moments(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- gradient descent (M2, M3)
-def _gd_sql(fx: str, eta: float, what: str) -> str:
+def _gd_ctes(fx: str, eta: float) -> str:
+    """Points, moments (no intercept), the recursive descent ``gd`` and the
+    final weights ``fw``."""
     d = O.WIDTH[fx]
     zs = O.z_names(d, False)
-    base = O.with_(O.pts_cte(fx), O.zp_cte(d, False), O.mom_cte(zs, False),
+    return O.with_(O.pts_cte(fx), O.zp_cte(d, False), O.mom_cte(zs, False),
                    O.gd_ctes(d, GD_ITERATIONS, 1.0, eta),
                    f"fw AS (SELECT w FROM gd WHERE i = {GD_ITERATIONS})")
+
+
+_WEIGHTS_SELECT = ("SELECT CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS feature,"
+                   f" {O.r6('unnest(w)')} AS weight FROM fw")
+
+
+def _gd_sql(fx: str, eta: float, what: str) -> str:
+    d = O.WIDTH[fx]
+    zs = O.z_names(d, False)
+    base = _gd_ctes(fx, eta)
     if what == "weights":
-        return base + ("SELECT CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS feature,"
-                       f" {O.r6('unnest(w)')} AS weight FROM fw")
+        return base + _WEIGHTS_SELECT
     if what == "trace":
         return base + (
             f"SELECT CAST(i AS BIGINT) AS iteration, {O.r6('rmse')} AS rmse,"
@@ -302,9 +313,7 @@ def _gd_sql(fx: str, eta: float, what: str) -> str:
             O.pts_cte(fx),
             "small AS (SELECT * FROM pts WHERE split = 'train' ORDER BY point_id LIMIT 10)",
             O.zp_cte(3, False, src="small"), O.mom_cte(O.z_names(3, False), False),
-            O.gd_ctes(3, 5, 1.0, eta), "fw AS (SELECT w FROM gd WHERE i = 5)") + (
-            "SELECT CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS feature,"
-            f" {O.r6('unnest(w)')} AS weight FROM fw")
+            O.gd_ctes(3, 5, 1.0, eta), "fw AS (SELECT w FROM gd WHERE i = 5)") + _WEIGHTS_SELECT
     raise ValueError(what)
 
 
@@ -337,7 +346,7 @@ for _fx, _sfx in (("signal", ""), ("embed", "_embed")):
             register(_name, _gd_sql(_fx, _eta, _what))(_gd_query(_fx, _eta, _what))
 
 
-@register("labeled_prediction", _gd_sql("signal", 0.0, "weights").split("SELECT CAST(generate")[0] + (
+@register("labeled_prediction", _gd_ctes("signal", 0.0) + (
     f"SELECT point_id, {O.r6('label')} AS label,"
     f" {O.r6(O.predict_expr('fw.w', O.z_names(3, False), False))} AS prediction"
     " FROM zp CROSS JOIN fw WHERE split = 'validation'"))
@@ -356,8 +365,7 @@ def q_label_hist_both(spark, sf_dir):
 
 
 def _tail_sql(eta: float) -> str:
-    base = _gd_sql("signal", eta, "trace").split("SELECT CAST(i AS BIGINT)")[0]
-    return base + (
+    return _gd_ctes("signal", eta) + (
         f"SELECT CAST(i AS BIGINT) AS iteration, {O.r6('rmse')} AS rmse,"
         f" {O.r6('(rmse - min(rmse) OVER ()) / (max(rmse) OVER () - min(rmse) OVER ())')}"
         f" AS scaled_rmse FROM gd WHERE i >= 6 AND i < {GD_ITERATIONS}")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from linfold.operators.metrics import residuals
 from linfold.operators.models import LinearModel
 from linfold.plans import oracle as O
+from linfold.session import shared_dir
 from linfold.plans.pipeline import (
     GD_ITERATIONS, GRID_REGS, HEAT_ITERATIONS, HEAT_REGS, SGD_ITERATIONS, SGD_REG, SGD_STEP,
     SWEEP_ITERATIONS, SWEEP_STEPS, Pipeline,
@@ -43,7 +44,11 @@ def grid_search(p: Pipeline, regs=GRID_REGS, incumbent_reg: float = SGD_REG,
     trial_regs = [incumbent_reg, *regs]
     models = {str(t): p.sgd(iterations, step, reg, True, name=f"t{t}")
               for t, reg in enumerate(trial_regs)}
-    scored = p.score(models, ["validation"]).persist()
+    # The few trial rows are needed twice (to pick the best, and as the
+    # result); a reliable checkpoint in the shared folder keeps them without
+    # a second scoring pass and survives executor loss.
+    shared_dir(p.spark)  # registers a folder only when the session names none
+    scored = p.score(models, ["validation"]).checkpoint(eager=True)
     got = {int(r["model"]): (r["rmse"] if r["rmse"] is not None else float("nan"))
            for r in scored.select("model", "rmse").collect()}
     best = 0
@@ -152,11 +157,11 @@ def _sweep_sql(fx: str) -> str:
             trials.append((t, step, b))
             t += 1
     vals = ", ".join(f"({t}, {O._dbl(s)}, {b})" for t, s, b in trials)
-    sw = O.sgd_ctes(d, [(0, 0.0, 0.0, 0)], name="sw").split(",\n", 1)[1]
+    sw = O.sgd_ctes(d, "SELECT t.trial, r.reg, t.step, t.iters FROM sw_t t CROSS JOIN sw_reg r",
+                    name="sw")
     return gbase.rstrip("\n") + ",\n" + (
         f"sw_t(trial, step, iters) AS (VALUES {vals}),\n"
         "sw_reg AS (SELECT p.reg FROM sgd_p p WHERE p.trial = (SELECT trial FROM gbest)),\n"
-        "sw_p AS (SELECT t.trial, r.reg, t.step, t.iters FROM sw_t t CROSS JOIN sw_reg r),\n"
         + sw + ",\nsw_score AS (SELECT f.trial, f.iters_run, "
         f"{_val_rmse_sql(O.predict_expr('f.w', zs, True))} AS rmse FROM sw_fin f CROSS JOIN zp"
         " WHERE split = 'validation' GROUP BY f.trial, f.iters_run)\n"

@@ -36,6 +36,7 @@ def get_spark(master: str | None = None, app: str = "linfold",
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    shared_dir(spark)
     return spark
 
 
