@@ -13,20 +13,20 @@ from linfold.operators.features import min_max_scale
 
 
 def rmse(pairs: DataFrame, label: str = "label", prediction: str = "prediction",
-         by: Sequence[str] = ()) -> DataFrame:
+         by: Sequence[str] = (), fanout: int | None = None) -> DataFrame:
     """``sqrt(sum((label - prediction)^2) / n)``; null for an empty group."""
     agg = tree_agg(pairs, by, [("sse", "sum", squared_error(label, prediction)),
-                               ("n", "count", F.lit(1))])
+                               ("n", "count", F.lit(1))], fanout)
     return agg.select(*by, "n", F.when(F.col("n") > 0, F.sqrt(F.col("sse") / F.col("n")))
                       .alias("rmse"))
 
 
 def rmse_many(points: DataFrame, predictions: Mapping[str, Column], label: str = "label",
-              by: Sequence[str] = ("split",)) -> DataFrame:
+              by: Sequence[str] = ("split",), fanout: int | None = None) -> DataFrame:
     """RMSE of several prediction columns in one pass: ``(by..., model, n, rmse)``."""
     names = list(predictions)
     specs = [(f"_sse{i}", "sum", squared_error(label, predictions[m])) for i, m in enumerate(names)]
-    agg = tree_agg(points, by, specs + [("n", "count", F.lit(1))])
+    agg = tree_agg(points, by, specs + [("n", "count", F.lit(1))], fanout)
     rows = F.explode(F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(f"_sse{i}").alias("sse"))
         for i, m in enumerate(names)

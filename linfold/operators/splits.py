@@ -67,15 +67,15 @@ def random_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
     return out
 
 
-def split_sizes(points: DataFrame, split: str = "split") -> DataFrame:
+def split_sizes(points: DataFrame, split: str = "split", fanout: int | None = None) -> DataFrame:
     """``(split, n, total, sizes_add_up)``: per-split counts beside an
     independent count of all points, and whether the split sizes add up.
 
     Two passes by design (the check compares two computations); the sum of
     the split sizes is a window over the few per-split rows, not a rescan."""
     from pyspark.sql import Window
-    per = tree_agg(points, [split], [("n", "count", F.lit(1))])
-    total = tree_agg(points, [], [("total", "count", F.lit(1))]).scalar()
+    per = tree_agg(points, [split], [("n", "count", F.lit(1))], fanout)
+    total = tree_agg(points, [], [("total", "count", F.lit(1))], fanout).scalar()
     split_total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     return per.select(split, "n", total.alias("total"),
                       (split_total == total).alias("sizes_add_up"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.operators.descent import gradient_descent, sgd
+from linfold.operators.aggregates import default_fanout
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
 from linfold.operators.features import add_interactions
@@ -54,8 +55,14 @@ class Pipeline:
                  fanout: int | None = None, persist: bool = False):
         self.spark = spark
         self.d = d
-        self.fanout = fanout
         self.points = points
+        if fanout is None:
+            # The two-level tree only pays when map tasks outnumber its
+            # reducers; the scan's partition count is known from planning
+            # alone (no job runs).
+            tasks = points.rdd.getNumPartitions()
+            fanout = default_fanout(points) if tasks > default_fanout(points) else 1
+        self.fanout = fanout
         # The minimum label is resolved once (one small job over the label
         # columns); every later pass over ``data`` then sees a literal.
         lo = points.select(F.min("label")).collect()[0][0]
@@ -163,7 +170,7 @@ class Pipeline:
         names = list(SPLIT_NAMES if splits is None else splits)
         df = self.data if splits is None else self.data.where(F.col("split").isin(names))
         preds: dict[str, Column] = {k: m.prediction() for k, m in models.items()}
-        scored = rmse_many(df, preds, by=("split",))
+        scored = rmse_many(df, preds, by=("split",), fanout=self.fanout)
         grid = self.spark.createDataFrame([(s, m) for s in names for m in models],
                                           "split string, model string")
         out = F.broadcast(grid).join(scored, ["split", "model"], "left")
@@ -171,7 +178,7 @@ class Pipeline:
 
     def rmse_of(self, prediction: Column, splits: Sequence[str] | None = None) -> DataFrame:
         df = self.data if splits is None else self.data.where(F.col("split").isin(list(splits)))
-        return rmse(df.withColumn("prediction", prediction), by=("split",))
+        return rmse(df.withColumn("prediction", prediction), by=("split",), fanout=self.fanout)
 
 
 def _model(name, r, d, interactions, intercept, step, reg, budget) -> LinearModel:

@@ -171,12 +171,14 @@ def _split_sizes_sql(fx):
 
 @register("split_sizes", _split_sizes_sql("signal"))
 def q_split_sizes(spark, sf_dir):
-    return split_sizes(_pipe(spark, sf_dir).data)
+    p = _pipe(spark, sf_dir)
+    return split_sizes(p.data, fanout=p.fanout)
 
 
 @register("split_sizes_embed", _split_sizes_sql("embed"))
 def q_split_sizes_embed(spark, sf_dir):
-    return split_sizes(_pipe(spark, sf_dir, "embed").data)
+    p = _pipe(spark, sf_dir, "embed")
+    return split_sizes(p.data, fanout=p.fanout)
 
 
 @register("random_split_sizes", None)
