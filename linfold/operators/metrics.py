@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import squared_error
-from linfold.operators.aggregates import tree_agg
+from linfold.operators.aggregates import default_fanout, tree_agg
 from linfold.operators.features import min_max_scale
 
 
@@ -36,6 +36,36 @@ def rmse_many(points: DataFrame, predictions: Mapping[str, Column], label: str =
                       F.when(F.col("n") > 0, F.sqrt(F.col("_r.sse") / F.col("n"))).alias("rmse"))
 
 
+def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
+                  fit: str = "train", fanout: int | None = None) -> DataFrame:
+    """RMSE per split of the constant model that predicts the mean label of
+    ``fit``, in one pass: ``rmse_s = sqrt(var_s + (mean_s - mean_fit)^2)``.
+
+    Count, mean and population variance are numerically stable partial
+    aggregates. With ``fanout`` > 1 they are first taken per (split, task
+    bucket) and merged per split with Chan's formula, so the hot split never
+    funnels one partial row per task into a single reducer."""
+    from pyspark.sql import Window
+    fanout = default_fanout(points) if fanout is None else fanout
+    y = F.col(label)
+    if fanout <= 1:
+        per = points.groupBy(split).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"),
+                                        F.var_pop(y).alias("var"))
+    else:
+        bucket = (F.spark_partition_id() % F.lit(fanout)).alias("_bucket")
+        lvl1 = points.groupBy(split, bucket).agg(F.count(F.lit(1)).alias("nb"),
+                                                 F.avg(y).alias("mb"), F.var_pop(y).alias("vb"))
+        w = Window.partitionBy(split)
+        lvl1 = lvl1.withColumn("_mean", F.sum(F.col("nb") * F.col("mb")).over(w) / F.sum("nb").over(w))
+        per = lvl1.groupBy(split).agg(
+            F.sum("nb").alias("n"), F.first("_mean").alias("mean"),
+            (F.sum(F.col("nb") * F.col("vb") + F.col("nb") * (F.col("mb") - F.col("_mean"))
+                   * (F.col("mb") - F.col("_mean"))) / F.sum("nb")).alias("var"))
+    c = per.where(F.col(split) == F.lit(fit)).select(F.first("mean")).scalar()
+    return per.select(split, "n", F.sqrt(F.col("var") + (F.col("mean") - c) * (F.col("mean") - c))
+                      .alias("rmse"))
+
+
 def label_histogram(points: DataFrame, label: str = "label") -> DataFrame:
     """Points per label: ``(label, n)`` (map-side combined hash aggregate)."""
     return tree_agg(points, [label], [("n", "count", F.lit(1))])

@@ -140,7 +140,7 @@ class Pipeline:
             if interactions:
                 train = add_interactions(train, self.d)
             r = sgd_rowwise(train, self.width(interactions), iterations, step, reg, intercept,
-                            mini_batch_fraction=mini_batch_fraction)
+                            mini_batch_fraction=mini_batch_fraction, fanout=self.fanout)
             return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
         r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept,
                 snapshots=snapshots)

@@ -208,9 +208,9 @@ def q_train_mean(spark, sf_dir):
 @register("baseline_rmse", _SIG + f"SELECT split, {O.r6(f'sqrt(avg(pow(label - {_MEAN}, 2)))')}"
           " AS rmse FROM pts GROUP BY split")
 def q_baseline_rmse(spark, sf_dir):
+    from linfold.operators.metrics import constant_rmse
     p = _pipe(spark, sf_dir)
-    from linfold.operators.metrics import rmse
-    return rmse(p.baseline_predictions(), by=("split",)).select("split", r6("rmse").alias("rmse"))
+    return constant_rmse(p.data, fanout=p.fanout).select("split", r6("rmse").alias("rmse"))
 
 
 def _resid_sql(pred: str, src_ctes: str, where: str = "split = 'validation'") -> str:

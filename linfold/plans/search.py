@@ -261,7 +261,8 @@ def queries(r6):
         p = Pipeline.from_fixture(spark, sf_dir, "signal")
         train = p.split("train").select("label", "features").persist()
         try:
-            r = sgd_rowwise(train, d, SGD_ITERATIONS, SGD_STEP, SGD_REG, intercept=True)
+            r = sgd_rowwise(train, d, SGD_ITERATIONS, SGD_STEP, SGD_REG, intercept=True,
+                            fanout=p.fanout)
         finally:
             train.unpersist()
         m = LinearModel("LR1", r.weights, r.intercept, d, False, {"has_intercept": True})

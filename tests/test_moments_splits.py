@@ -78,3 +78,15 @@ def test_tree_agg_equals_plain(spark, pts):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][1:] == b[k][1:] and a[k][0] == pytest.approx(b[k][0])
+
+
+def test_constant_rmse_tree_equals_rows(spark, pts):
+    from linfold.operators.metrics import constant_rmse, rmse
+    data = hash_split(pts)
+    mean = data.where("split = 'train'").agg(F.avg("label")).collect()[0][0]
+    want = {r.split: r.rmse for r in rmse(data.withColumn("prediction", F.lit(mean)), by=("split",)).collect()}
+    for fanout in (1, 4):
+        got = {r.split: r.rmse for r in constant_rmse(data.repartition(6), fanout=fanout).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k] == pytest.approx(want[k], rel=1e-12)
