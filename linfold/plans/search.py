@@ -35,26 +35,43 @@ def _is_better(a: float, b: float) -> bool:
     return not math.isnan(a) and (math.isnan(b) or a < b)
 
 
-def grid_search(p: Pipeline, regs=GRID_REGS, incumbent_reg: float = SGD_REG,
-                iterations: int = SGD_ITERATIONS, step: float = SGD_STEP):
+def grid_trials(p: Pipeline, regs=GRID_REGS, incumbent_reg: float = SGD_REG,
+                iterations: int = SGD_ITERATIONS, step: float = SGD_STEP) -> tuple[list, dict]:
     """Trial 0 is the incumbent (reg ``incumbent_reg``); trials 1.. try ``regs``.
-    A trial replaces the best only with a strictly smaller validation RMSE.
-
-    Returns (trial frame, best model, best reg)."""
+    Returns (regs by trial, models keyed by the trial number as a string)."""
     trial_regs = [incumbent_reg, *regs]
-    models = {str(t): p.sgd(iterations, step, reg, True, name=f"t{t}")
-              for t, reg in enumerate(trial_regs)}
-    # The few trial rows are needed twice (to pick the best, and as the
-    # result); a reliable checkpoint in the shared folder keeps them without
-    # a second scoring pass and survives executor loss.
-    shared_dir(p.spark)  # registers a folder only when the session names none
-    scored = p.score(models, ["validation"]).checkpoint(eager=True)
-    got = {int(r["model"]): (r["rmse"] if r["rmse"] is not None else float("nan"))
-           for r in scored.select("model", "rmse").collect()}
+    return trial_regs, {str(t): p.sgd(iterations, step, reg, True, name=f"t{t}")
+                        for t, reg in enumerate(trial_regs)}
+
+
+def pick_best(rmse_by_trial: dict[int, float | None], n_trials: int) -> int:
+    """The running best in trial order: a trial replaces the best only with a
+    strictly smaller RMSE, so ties keep the earlier trial and NaN never wins."""
+    got = {t: (v if v is not None else float("nan")) for t, v in rmse_by_trial.items()}
     best = 0
-    for t in range(1, len(trial_regs)):
+    for t in range(1, n_trials):
         if _is_better(got.get(t, float("nan")), got.get(best, float("nan"))):
             best = t
+    return best
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A small result needed twice (read on the driver and returned as a
+    frame): a reliable checkpoint in the shared folder keeps it without a
+    second pass and survives executor loss."""
+    shared_dir(df.sparkSession)  # registers a folder only when the session names none
+    return df.checkpoint(eager=True)
+
+
+def grid_search(p: Pipeline, regs=GRID_REGS, incumbent_reg: float = SGD_REG,
+                iterations: int = SGD_ITERATIONS, step: float = SGD_STEP):
+    """Validation RMSE of every trial and the strict-improvement winner.
+
+    Returns (trial frame, best model, best reg)."""
+    trial_regs, models = grid_trials(p, regs, incumbent_reg, iterations, step)
+    scored = checkpointed(p.score(models, ["validation"]))
+    best = pick_best({int(r["model"]): r["rmse"] for r in scored.select("model", "rmse").collect()},
+                     len(trial_regs))
     trial = F.col("model").cast("int")
     out = scored.select(
         trial.cast("bigint").alias("trial"),
