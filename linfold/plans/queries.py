@@ -255,6 +255,19 @@ def q_gradient_sum(spark, sf_dir):
         .select("feature", r6("mean_gradient").alias("mean_gradient"))
 
 
+@register("gradient_summand", _SIG + (
+    "SELECT point_id, CAST(generate_subscripts(g, 1) - 1 AS BIGINT) AS feature,"
+    f" {O.r6('unnest(g)')} AS summand FROM (SELECT point_id,"
+    " [(f0 + f1 + f2 - label) * f0, (f0 + f1 + f2 - label) * f1,"
+    " (f0 + f1 + f2 - label) * f2] AS g FROM pts WHERE split = 'train')"))
+def q_gradient_summand(spark, sf_dir):
+    from linfold.functions.vectors import gradient_summand
+    train = _pipe(spark, sf_dir).split("train")
+    g = train.select("point_id", gradient_summand("features", "label", [1.0, 1.0, 1.0]).alias("g"))
+    out = g.select("point_id", F.posexplode("g").alias("feature", "summand"))
+    return out.select("point_id", F.col("feature").cast("bigint"), r6("summand").alias("summand"))
+
+
 def _moments_sql(fx: str) -> str:
     d = O.WIDTH[fx]
     names = ["n", "y", "yy"] + [f"x{k}" for k in range(d)] + [f"xy{k}" for k in range(d)] + \

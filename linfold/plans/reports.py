@@ -193,6 +193,18 @@ def queries(r6):
         sc = p.score({"Baseline": p.baseline(), "LRInteract": m}, ["validation", "test"])
         return sc.select("split", "model", r6("rmse").alias("rmse"))
 
+    for sp, qname in (("validation", "interact_val_rmse"), ("test", "interact_test_rmse")):
+        def _one(spark, sf_dir, sp=sp):
+            p = Pipeline.from_fixture(spark, sf_dir, "signal")
+            m = p.sgd(SGD_ITERATIONS, SGD_STEP, INTERACT_REG, True, interactions=True, name="LRInteract")
+            sc = p.score({"Baseline": p.baseline(), "LRInteract": m}, [sp])
+            return sc.select("model", r6("rmse").alias("rmse"))
+        reg(qname, ibase + (
+            f"SELECT 'Baseline' AS model, {O.r6(f'sqrt(avg(pow(label - {mean}, 2)))')} AS rmse"
+            f" FROM zp WHERE split = '{sp}' UNION ALL "
+            f"SELECT 'LRInteract' AS model, {O.r6(f'sqrt(avg(pow(label - {predi}, 2)))')} AS rmse"
+            f" FROM zp CROSS JOIN sgd_fin f WHERE split = '{sp}'"))(_one)
+
     @reg("interact_embed", None)
     def _ie(spark, sf_dir):
         # 12 features -> 156; step 1 passes through a blow-up on this fixture, so
