@@ -10,11 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-# Fixed values shared with the Spark side (see linfold.plans.pipeline).
-from linfold.plans.pipeline import (
-    GD_ITERATIONS, GD_L2_ETA, GRID_REGS, HEAT_ITERATIONS, HEAT_REGS, INTERACT_REG,
-    SGD_ITERATIONS, SGD_REG, SGD_STEP, SWEEP_ITERATIONS, SWEEP_STEPS,
-)
 from linfold.sources.fixtures import EMBED_LABEL_BASE, EMBED_WIDTH, SIGNAL_LABEL_EXPR
 
 TOL = 0.001

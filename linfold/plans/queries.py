@@ -7,24 +7,17 @@ because the two engines sum in different orders.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linfold.operators.features import (
-    add_interactions, explode_features, label_range, min_max_scale, shift_labels, slice_features,
-)
+from linfold.operators.features import explode_features, label_range, shift_labels, slice_features
 from linfold.operators.metrics import label_histogram, residuals
 from linfold.operators.models import ideal_prediction
-from linfold.operators.moments import collect_moments, moments_frame
-from linfold.operators.descent import gradient_descent
-from linfold.operators.models import LinearModel
 from linfold.operators.sampling import first_k
 from linfold.operators.splits import split_sizes
-from linfold.functions.vectors import dot
 from linfold.plans import oracle as O
 from linfold.plans import reports, search
 from linfold.plans.pipeline import (
