@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import squared_error
@@ -45,7 +45,6 @@ def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
     aggregates. With ``fanout`` > 1 they are first taken per (split, task
     bucket) and merged per split with Chan's formula, so the hot split never
     funnels one partial row per task into a single reducer."""
-    from pyspark.sql import Window
     fanout = default_fanout(points) if fanout is None else fanout
     y = F.col(label)
     if fanout <= 1:
@@ -61,7 +60,9 @@ def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
             F.sum("nb").alias("n"), F.first("_mean").alias("mean"),
             (F.sum(F.col("nb") * F.col("vb") + F.col("nb") * (F.col("mb") - F.col("_mean"))
                    * (F.col("mb") - F.col("_mean"))) / F.sum("nb")).alias("var"))
-    c = per.where(F.col(split) == F.lit(fit)).select(F.first("mean")).scalar()
+    # ``per`` holds one row per split, so a key-less window over it is a
+    # bounded single-task step; the fit mean then needs no second scan.
+    c = F.max(F.when(F.col(split) == F.lit(fit), F.col("mean"))).over(Window.partitionBy())
     return per.select(split, "n", F.sqrt(F.col("var") + (F.col("mean") - c) * (F.col("mean") - c))
                       .alias("rmse"))
 
