@@ -44,9 +44,9 @@ def explode_features(points: DataFrame, keys=("point_id",), features: str = "fea
 def min_max_scale(df: DataFrame, col: str, out: str) -> DataFrame:
     """Linear map of ``col`` to [0, 1] with whole-frame min and max (0 when flat).
 
-    Both ends are scalar subqueries over the same plan, which the optimizer
-    merges into one job."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
-    scaled = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(col) - lo) / (hi - lo))
+    Both ends come from one struct-valued scalar subquery (one aggregate
+    job); the row plan then reads them as constants."""
+    ends = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, width = ends.getField("lo"), ends.getField("hi") - ends.getField("lo")
+    scaled = F.when(width == 0, F.lit(0.0)).otherwise((F.col(col) - lo) / width)
     return df.withColumn(out, scaled)
