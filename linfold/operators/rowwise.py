@@ -7,8 +7,11 @@ large for D x D moments (thousands of features), or for mini-batches
 (``mini_batch_fraction < 1``, sampled with seed ``seed + i`` as the
 library trainer does; statistically, not bitwise, equal to it).
 
-The loop holds only D numbers on the driver; every job is a fresh plan
-over the same input, so lineage does not grow with the iteration count.
+The training rows are staged once as parquet in the shared folder
+(``stage=True``), so each iteration reads a compact ``(label, features)``
+copy instead of re-deriving the rows from the source. The loop holds only
+D numbers on the driver; every job is a fresh plan over the staged rows,
+so lineage does not grow with the iteration count.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from linfold.functions.vectors import linear_sql
 from linfold.operators.aggregates import tree_agg
+from linfold.session import remove_path, stage_parquet
 from linfold.operators.descent import (
     SGD_CONVERGENCE_TOL, SGD_INITIAL_INTERCEPT, SGDResult,
 )
@@ -38,8 +42,22 @@ def _gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float, intercept:
 def sgd_rowwise(train: DataFrame, d: int, iterations: int = 100, step: float = 1.0,
                 reg: float = 0.0, intercept: bool = False, tol: float = SGD_CONVERGENCE_TOL,
                 mini_batch_fraction: float = 1.0, seed: int = 42,
-                fanout: int | None = None) -> SGDResult:
+                fanout: int | None = None, stage: bool = True) -> SGDResult:
     """The squared-L2 rule of ``linfold.operators.descent.sgd`` on the rows."""
+    if not stage:
+        return _sgd_loop(train, d, iterations, step, reg, intercept, tol,
+                         mini_batch_fraction, seed, fanout)
+    staged, path = stage_parquet(train.select("label", "features"), "rowwise-train")
+    try:
+        return _sgd_loop(staged, d, iterations, step, reg, intercept, tol,
+                         mini_batch_fraction, seed, fanout)
+    finally:
+        remove_path(train.sparkSession, path)
+
+
+def _sgd_loop(train: DataFrame, d: int, iterations: int, step: float, reg: float,
+              intercept: bool, tol: float, mini_batch_fraction: float, seed: int,
+              fanout: int | None) -> SGDResult:
     w = np.zeros(d)
     b = SGD_INITIAL_INTERCEPT if intercept else 0.0
     prev = None

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "linfold",
@@ -58,3 +58,25 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark)}/linfold-{tag}-{uuid.uuid4().hex}"
+
+
+def stage_parquet(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Loops that pass over the same rows many times read this compact copy
+    instead of re-deriving the rows from the source each time, and a lost
+    executor rereads a file rather than recomputing the lineage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder through the cluster's file system client."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001 -- best effort; the folder is scratch
+        pass
