@@ -56,6 +56,12 @@ class Moments:
         return Moments(self.n, self.sy, self.syy, self.sx[:k].copy(), self.xty[:k].copy(),
                        self.xtx[:k, :k].copy())
 
+    def shifted(self, delta: float) -> "Moments":
+        """Moments of the labels ``y + delta``."""
+        return Moments(self.n, self.sy + self.n * delta,
+                       self.syy + 2.0 * delta * self.sy + self.n * delta * delta,
+                       self.sx.copy(), self.xty + delta * self.sx, self.xtx.copy())
+
     def augmented(self) -> "Moments":
         """Moments with a constant-1 feature appended last (for an intercept)."""
         d = self.d
@@ -82,20 +88,24 @@ def _triu(d: int) -> list[tuple[int, int]]:
 
 
 def moments_frame(points: DataFrame, d: int, by: str = "split", interactions: bool = False,
-                  method: str = "auto", fanout: int | None = None) -> DataFrame:
+                  method: str = "auto", fanout: int | None = None,
+                  min_of: str | None = None) -> DataFrame:
     """Long moments ``(split, k INT, value DOUBLE)`` in the layout
-    ``[n, sy, syy, sx(D), xty(D), triu(xtx)]`` where D = d or d + d^2."""
+    ``[n, sy, syy, sx(D), xty(D), triu(xtx)]`` where D = d or d + d^2.
+
+    ``min_of`` names a column whose per-group minimum rides along in the
+    same pass, as the row ``k = -1``."""
     width = d + d * d if interactions else d
     if method == "auto":
         method = "columns" if width <= COLUMNS_MAX_WIDTH else "arrow"
     if method == "columns":
-        return _moments_columns(points, d, by, interactions, fanout)
+        return _moments_columns(points, d, by, interactions, fanout, min_of)
     if method == "arrow":
-        return _moments_arrow(points, d, by, interactions)
+        return _moments_arrow(points, d, by, interactions, min_of)
     raise ValueError(f"unknown moments method {method!r}")
 
 
-def _moments_columns(points, d, by, interactions, fanout):
+def _moments_columns(points, d, by, interactions, fanout, min_of=None):
     z = term_sql("features", d, interactions)
     width = len(z)
     y = "label"
@@ -110,19 +120,27 @@ def _moments_columns(points, d, by, interactions, fanout):
     for i, j in _triu(width):
         specs.append((f"m{k}", "sum", f"{z[i]} * {z[j]}"))
         k += 1
+    if min_of is not None:
+        specs.append(("mlo", "min", f"`{min_of}`"))
     wide = tree_agg(points, [by], specs, fanout)
     arr = ", ".join(f"CAST(m{i} AS DOUBLE)" for i in range(k))
-    return wide.select(by, F.expr(f"posexplode(array({arr})) AS (k, value)"))
+    if min_of is None:
+        return wide.select(by, F.expr(f"posexplode(array({arr})) AS (k, value)"))
+    long = wide.select(by, F.expr(f"posexplode(array({arr}, CAST(mlo AS DOUBLE))) AS (k, value)"))
+    return long.select(by, F.when(F.col("k") == k, F.lit(-1)).otherwise(F.col("k")).alias("k"),
+                       "value")
 
 
-def _moments_arrow(points, d, by, interactions):
+def _moments_arrow(points, d, by, interactions, min_of=None):
     width = d + d * d if interactions else d
     iu = np.triu_indices(width)
     size = 3 + 2 * width + len(iu[0])
+    with_min = min_of is not None
 
     def partial(batches):
         import pyarrow as pa
         acc: dict[str, np.ndarray] = {}
+        mins: dict[str, float] = {}
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -130,6 +148,8 @@ def _moments_arrow(points, d, by, interactions):
             y = rb.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
             x = np.asarray(rb.column(2).flatten().to_numpy(zero_copy_only=False),
                            dtype=np.float64).reshape(-1, d)
+            lo = rb.column(3).to_numpy(zero_copy_only=False).astype(np.float64) \
+                if with_min else None
             if interactions:
                 x = np.hstack([x, (x[:, :, None] * x[:, None, :]).reshape(x.shape[0], d * d)])
             for key in np.unique(keys):
@@ -146,23 +166,51 @@ def _moments_arrow(points, d, by, interactions):
                     acc[key] += vec
                 else:
                     acc[key] = vec
+                if with_min:
+                    m = float(np.nanmin(lo[sel])) if np.any(~np.isnan(lo[sel])) else np.nan
+                    mins[key] = np.fmin(mins.get(key, np.nan), m)
         for key, vec in acc.items():
+            ks = np.arange(size, dtype=np.int32)
+            if with_min:
+                ks, vec = np.append(ks, np.int32(-1)), np.append(vec, mins[key])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * size, pa.string()), pa.array(np.arange(size, dtype=np.int32)),
+                [pa.array([key] * len(ks), pa.string()), pa.array(ks, pa.int32()),
                  pa.array(vec)], names=[by, "k", "value"])
 
     schema = T.StructType([T.StructField(by, T.StringType()), T.StructField("k", T.IntegerType()),
                            T.StructField("value", T.DoubleType())])
-    src = points.select(F.col(by).cast("string"), F.col("label").cast("double"),
-                        F.col("features"))
-    return src.mapInArrow(partial, schema).groupBy(by, "k").agg(F.sum("value").alias("value"))
+    cols = [F.col(by).cast("string"), F.col("label").cast("double"), F.col("features")]
+    if with_min:
+        cols.append(F.col(min_of).cast("double"))
+    summed = points.select(*cols).mapInArrow(partial, schema).groupBy(by, "k")
+    if not with_min:
+        return summed.agg(F.sum("value").alias("value"))
+    # k = -1 carries a minimum; NaN marks a task that saw only null labels
+    v = F.when(F.isnan("value"), None).otherwise(F.col("value"))
+    return summed.agg(F.when(F.col("k") == -1, F.min(v)).otherwise(F.sum("value")).alias("value"))
 
 
 def collect_moments(frame: DataFrame, by: str = "split") -> dict[str, Moments]:
     """Bring the O(D^2) long moments to the driver as ``Moments`` per group."""
+    return _collect(frame, by)[0]
+
+
+def collect_moments_and_min(frame: DataFrame, by: str = "split"
+                            ) -> tuple[dict[str, Moments], float | None]:
+    """As ``collect_moments`` for a frame built with ``min_of``; also returns
+    the minimum over all groups (None when there are no rows)."""
+    return _collect(frame, by)
+
+
+def _collect(frame: DataFrame, by: str) -> tuple[dict[str, Moments], float | None]:
     rows = frame.select(by, "k", "value").collect()
     raw: dict[str, dict[int, float]] = {}
+    lows = []
     for r in rows:
+        if int(r[1]) == -1:
+            if r[2] is not None:
+                lows.append(float(r[2]))
+            continue
         raw.setdefault(r[0], {})[int(r[1])] = float(r[2])
     out = {}
     for key, kv in raw.items():
@@ -176,4 +224,4 @@ def collect_moments(frame: DataFrame, by: str = "split") -> dict[str, Moments]:
         g = g + np.triu(g, 1).T
         out[key] = Moments(int(round(vec[0])), float(vec[1]), float(vec[2]),
                            vec[3:3 + width].copy(), vec[3 + width:3 + 2 * width].copy(), g)
-    return out
+    return out, (min(lows) if lows else None)

@@ -21,7 +21,9 @@ from linfold.operators.aggregates import default_fanout
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
 from linfold.operators.features import add_interactions
-from linfold.operators.moments import MOMENTS_MAX_WIDTH, Moments, collect_moments, moments_frame
+from linfold.operators.moments import (
+    MOMENTS_MAX_WIDTH, Moments, collect_moments, collect_moments_and_min, moments_frame,
+)
 from linfold.operators.rowwise import sgd_rowwise
 from linfold.operators.splits import SPLIT_NAMES, hash_split
 from linfold.sources.fixtures import EMBED_WIDTH, embed_points, embed_text_points, signal_points
@@ -63,18 +65,42 @@ class Pipeline:
             tasks = points.rdd.getNumPartitions()
             fanout = default_fanout(points) if tasks > default_fanout(points) else 1
         self.fanout = fanout
-        # The minimum label is resolved once (one small job over the label
-        # columns); every later pass over ``data`` then sees a literal.
-        lo = points.select(F.min("label")).collect()[0][0]
-        shifted = points.select(*[c for c in points.columns if c != "label"],
-                                (F.col("label") - F.lit(lo)).alias("label"))
-        self.min_label = lo
-        data = hash_split(shifted)
-        if persist:
-            data = data.persist(StorageLevel.MEMORY_AND_DISK)
-        self.data = data
+        self._persist = persist
+        self._lo: float | None = None
+        self._lo_known = False
+        self._data: DataFrame | None = None
         self._moments: dict[bool, dict[str, Moments]] = {}
 
+    # The minimum label is resolved once; every later pass over ``data`` then
+    # sees it as a literal. A training query gets it from its moments pass
+    # (no pass of its own); other queries run one small aggregate over the
+    # label columns.
+    @property
+    def min_label(self) -> float | None:
+        if not self._lo_known:
+            self._set_min(self.points.select(F.min("label")).collect()[0][0])
+        return self._lo
+
+    def _set_min(self, lo: float | None) -> None:
+        self._lo, self._lo_known = lo, True
+
+    def _shifted_split(self, by: Column) -> DataFrame:
+        cols = [c for c in self.points.columns if c != "label"]
+        return hash_split(self.points.select(*cols, (F.col("label") - by).alias("label"),
+                                             F.col("label").alias("_label_raw")))
+
+    @property
+    def data(self) -> DataFrame:
+        """The split points with shifted labels: ``(..., label, split)``."""
+        if self._data is None:
+            lo = self.min_label
+            cols = [c for c in self.points.columns if c != "label"]
+            data = hash_split(self.points.select(*cols, (F.col("label") - F.lit(lo)).alias("label")))
+            if self._persist:
+                data = data.persist(StorageLevel.MEMORY_AND_DISK)
+            self._data = data
+        return self._data
+
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, name: str = "signal",
                      **kw) -> "Pipeline":
@@ -83,7 +109,8 @@ class Pipeline:
 
     def release(self) -> None:
         """Drop the cached split frame (when built with ``persist=True``)."""
-        self.data.unpersist()
+        if self._data is not None:
+            self._data.unpersist()
 
     # ---- data ---------------------------------------------------------
     def split(self, name: str) -> DataFrame:
@@ -98,8 +125,11 @@ class Pipeline:
         if interactions not in self._moments:
             if not interactions and True in self._moments:
                 self._moments[False] = {k: m.sub(self.d) for k, m in self._moments[True].items()}
-            else:
+            elif self._lo_known:
                 got = collect_moments(self.moments_frame(interactions))
+            else:
+                got = self._moments_resolving_min(interactions)
+            if interactions not in self._moments:
                 w = self.width(interactions)
                 for name in SPLIT_NAMES:  # an empty split has zero moments
                     got.setdefault(name, Moments(0, 0.0, 0.0, np.zeros(w), np.zeros(w),
@@ -107,6 +137,28 @@ class Pipeline:
                 self._moments[interactions] = got
         return self._moments[interactions]
 
+    def _moments_resolving_min(self, interactions: bool) -> dict[str, Moments]:
+        """Moments and the minimum label in one pass.
+
+        Labels are first shifted by a provisional ``c`` (one label read by a
+        ``limit(1)`` job, which touches a single split of the input, not the
+        table), so the sums stay as small as the shifted labels' and moving
+        them to the exact minimum ``lo`` afterwards (``y - lo = (y - c) +
+        (c - lo)``) loses no precision. The exact ``min(label)`` rides along
+        in the same aggregate."""
+        first = self.points.where(F.col("label").isNotNull()).select("label").limit(1).collect()
+        if not first:  # no labels at all: the minimum is null
+            self._set_min(None)
+            return collect_moments(self.moments_frame(interactions))
+        c = float(first[0][0])
+        frame = moments_frame(self._shifted_split(F.lit(c)), self.d, interactions=interactions,
+                              fanout=self.fanout, min_of="_label_raw")
+        got, lo = collect_moments_and_min(frame)
+        self._set_min(lo)
+        if lo is None:
+            return got
+        return {k: m.shifted(c - lo) for k, m in got.items()}
+
     # ---- models -------------------------------------------------------
     def baseline(self) -> ConstantModel:
         tr = self.moments()["train"]

@@ -90,3 +90,23 @@ def test_constant_rmse_tree_equals_rows(spark, pts):
         assert got.keys() == want.keys()
         for k in want:
             assert got[k] == pytest.approx(want[k], rel=1e-12)
+
+
+@pytest.mark.parametrize("interactions", [False, True])  # column path; Arrow path (width 30)
+def test_pipeline_resolves_min_inside_moments_pass(spark, pts, interactions):
+    from linfold.plans.pipeline import Pipeline
+    rng = np.random.default_rng(11)
+    rows = [(i, 1990.25 + float(rng.integers(0, 40)) * 0.5, [float(v) for v in rng.random(5)])
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "point_id long, label double, features array<double>")
+    p = Pipeline(spark, df, 5)
+    got = p.moments(interactions)           # one pass: moments and min(label)
+    assert p._lo_known and p.min_label == min(r[1] for r in rows)
+    want = collect_moments(moments_frame(p.data, 5, interactions=interactions))
+    for split, m in want.items():
+        g = got[split]
+        assert g.n == m.n
+        for a, b in [(g.sy, m.sy), (g.syy, m.syy)]:
+            assert a == pytest.approx(b, rel=1e-12, abs=1e-9)
+        assert np.allclose(g.xty, m.xty, rtol=1e-12, atol=1e-9)
+        assert np.allclose(g.xtx, m.xtx, rtol=1e-12) and np.allclose(g.sx, m.sx, rtol=1e-12)
