@@ -72,6 +72,20 @@ def label_histogram(points: DataFrame, label: str = "label") -> DataFrame:
     return tree_agg(points, [label], [("n", "count", F.lit(1))])
 
 
+def shifted_label_histogram(points: DataFrame, label: str = "label") -> DataFrame:
+    """Points per shifted label (``label - min(label)``), ``(label, n)``.
+
+    Built from the raw-label histogram, re-keyed by the shift: beside that
+    histogram (``label_histograms``) it reuses its exchange, so the pair
+    costs the minimum's pass plus one histogram pass, not two. Keys are
+    re-aggregated after the shift, so labels that round to the same shifted
+    value still form one group."""
+    hist = label_histogram(points, label)
+    lo = hist.select(F.min(label)).scalar()
+    return hist.select((F.col(label) - lo).alias(label), "n").groupBy(label) \
+        .agg(F.sum("n").alias("n"))
+
+
 def residuals(points: DataFrame, prediction: Column, label: str = "label",
               keys: Sequence[str] = ("point_id",)) -> DataFrame:
     """``(keys..., label, prediction, sq_error, scaled_error)``; the scaled error

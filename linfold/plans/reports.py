@@ -23,10 +23,9 @@ from linfold.plans.pipeline import (
 
 def label_histograms(points: DataFrame) -> DataFrame:
     """V2: points per label before and after the shift, tagged by ``kind``."""
-    from linfold.operators.features import shift_labels
-    from linfold.operators.metrics import label_histogram
+    from linfold.operators.metrics import label_histogram, shifted_label_histogram
     a = label_histogram(points).select(F.lit("original").alias("kind"), "label", "n")
-    b = label_histogram(shift_labels(points)).select(F.lit("shifted").alias("kind"), "label", "n")
+    b = shifted_label_histogram(points).select(F.lit("shifted").alias("kind"), "label", "n")
     return a.unionByName(b)
 
 

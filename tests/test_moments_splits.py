@@ -110,3 +110,10 @@ def test_pipeline_resolves_min_inside_moments_pass(spark, pts, interactions):
             assert a == pytest.approx(b, rel=1e-12, abs=1e-9)
         assert np.allclose(g.xty, m.xty, rtol=1e-12, atol=1e-9)
         assert np.allclose(g.xtx, m.xtx, rtol=1e-12) and np.allclose(g.sx, m.sx, rtol=1e-12)
+
+
+def test_shifted_histogram_from_raw_histogram(spark, pts):
+    from linfold.operators.metrics import shifted_label_histogram
+    direct = sorted(tuple(r) for r in label_histogram(shift_labels(pts)).collect())
+    derived = sorted(tuple(r) for r in shifted_label_histogram(pts).select("label", "n").collect())
+    assert derived == direct and derived[0][0] == 0.0
