@@ -3,9 +3,11 @@ shared folder for lineage cuts and round-trip files."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,3 +82,42 @@ def remove_path(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     except Exception:  # noqa: BLE001 -- best effort; the folder is scratch
         pass
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def derived_once(spark: SparkSession, tag: str, sources: list[str],
+                 write: Callable[[str], None]) -> str:
+    """Folder holding data derived from ``sources``, written at most once.
+
+    The folder sits under the shared folder and is named by the sources'
+    paths, sizes and modification times, so a changed input gets a new one.
+    It is written to a unique folder and renamed into place; a complete
+    folder (``_SUCCESS``) is reused. Without a file system client (no JVM
+    gateway) every call writes a fresh folder."""
+    try:
+        stamps = []
+        for src in sources:
+            p, fs = _fs(spark, src)
+            st = fs.getFileStatus(p)
+            stamps.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+    except Exception:  # noqa: BLE001
+        path = scratch_path(spark, tag)
+        write(path)
+        return path
+    key = hashlib.sha1("\n".join(stamps).encode()).hexdigest()[:16]
+    final = f"{shared_dir(spark)}/linfold-{tag}-{key}"
+    done, fs = _fs(spark, f"{final}/_SUCCESS")
+    if fs.exists(done):
+        return final
+    tmp = scratch_path(spark, f"{tag}-tmp")
+    write(tmp)
+    src, _ = _fs(spark, tmp)
+    dst, _ = _fs(spark, final)
+    if not fs.rename(src, dst):  # another writer finished first
+        remove_path(spark, tmp)
+    return final

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import sql_double
-from linfold.session import scratch_path
+from linfold.session import derived_once
 from linfold.sources.text import parse_points, points_to_lines, read_lines, write_lines
 
 TEXT_MIN_PARTITIONS = 2
@@ -23,8 +23,12 @@ SIGNAL_LABEL_EXPR = ("1922 + floor(40*(l_quantity/50) + 30*(l_discount*10)*(l_qu
                      " + 10*(l_tax*10))")
 
 
+def _table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(_table_path(sf_dir, name))
 
 
 def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> DataFrame:
@@ -72,9 +76,16 @@ def embed_text_points(spark: SparkSession, sf_dir: str, mode: str = "strict",
                       path: str | None = None) -> DataFrame:
     """embed points written once as text lines, then scanned and parsed.
 
-    The file goes to a fresh folder under the shared checkpoint folder.
+    The text is derived once per input table into a folder under the shared
+    checkpoint folder and reused by later queries (``derived_once``); a given
+    ``path`` is written afresh.
     """
-    path = path or scratch_path(spark, "points-text")
-    write_lines(points_to_lines(embed_points(spark, sf_dir), EMBED_WIDTH), path)
+    def write(target: str) -> None:
+        write_lines(points_to_lines(embed_points(spark, sf_dir), EMBED_WIDTH), target)
+
+    if path is None:
+        path = derived_once(spark, "points-text", [_table_path(sf_dir, "embeddings")], write)
+    else:
+        write(path)
     lines = read_lines(spark, path, min_partitions=TEXT_MIN_PARTITIONS)
     return parse_points(lines, mode=mode, expected_width=EMBED_WIDTH)
