@@ -146,9 +146,10 @@ class Pipeline:
         them to the exact minimum ``lo`` afterwards (``y - lo = (y - c) +
         (c - lo)``) loses no precision. The exact ``min(label)`` rides along
         in the same aggregate."""
-        first = self.points.where(F.col("label").isNotNull()).select("label").limit(1).collect()
-        if not first:  # no labels at all: the minimum is null
-            self._set_min(None)
+        y = F.col("label")
+        finite = y.isNotNull() & ~F.isnan(y) & (F.abs(y) < F.lit(float("inf")))
+        first = self.points.where(finite).select("label").limit(1).collect()
+        if not first:  # no finite label: resolve the minimum by its own pass
             return collect_moments(self.moments_frame(interactions))
         c = float(first[0][0])
         frame = moments_frame(self._shifted_split(F.lit(c)), self.d, interactions=interactions,
