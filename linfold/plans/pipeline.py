@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.operators.descent import gradient_descent, sgd
+from linfold.operators.descent import SGD_CONVERGENCE_TOL, gradient_descent, sgd
 from linfold.operators.aggregates import default_fanout
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
@@ -185,17 +185,20 @@ class Pipeline:
 
     def sgd(self, iterations: int = SGD_ITERATIONS, step: float = SGD_STEP, reg: float = SGD_REG,
             intercept: bool = True, interactions: bool = False, name: str = "LR1",
-            snapshots: Sequence[int] = (), mini_batch_fraction: float = 1.0) -> LinearModel:
+            snapshots: Sequence[int] = (), mini_batch_fraction: float = 1.0,
+            tol: float = SGD_CONVERGENCE_TOL) -> LinearModel:
         """The library rule. From moments when they are small; on the rows (one
-        aggregate per iteration) for very wide features or mini-batches."""
+        aggregate per iteration) for very wide features or mini-batches.
+        ``tol`` is the relative convergence tolerance; 0 runs every iteration
+        (the behaviour of library versions without a stop test)."""
         if mini_batch_fraction < 1.0 or self.width(interactions) > MOMENTS_MAX_WIDTH:
             train = self.split("train").select("label", "features")
             if interactions:
                 train = add_interactions(train, self.d)
             r = sgd_rowwise(train, self.width(interactions), iterations, step, reg, intercept,
-                            mini_batch_fraction=mini_batch_fraction, fanout=self.fanout)
+                            tol=tol, mini_batch_fraction=mini_batch_fraction, fanout=self.fanout)
             return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
-        r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept,
+        r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept, tol=tol,
                 snapshots=snapshots)
         return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
 

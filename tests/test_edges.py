@@ -43,3 +43,13 @@ def test_divergent_step_stays_representable(spark):
     r = {x.split: x.rmse for x in p.score({"m": m}).collect()}
     assert all(v is None or v > 0 or math.isnan(v) for v in r.values())
     assert p.stability(10.0) > 2.0
+
+
+def test_pipeline_sgd_tolerance_off_runs_every_iteration(spark):
+    from linfold.plans.pipeline import Pipeline
+    rows = [(i, float(i % 7), [float(i % 3), float(i % 5) / 5.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "point_id long, label double, features array<double>")
+    p = Pipeline(spark, df, 2)
+    stopped = p.sgd(200, 0.5, 0.0, True)
+    full = p.sgd(200, 0.5, 0.0, True, tol=0.0)
+    assert stopped.info["iterations"] < 200 and full.info["iterations"] == 200
