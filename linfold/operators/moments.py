@@ -182,7 +182,13 @@ def _moments_arrow(points, d, by, interactions, min_of=None):
     cols = [F.col(by).cast("string"), F.col("label").cast("double"), F.col("features")]
     if with_min:
         cols.append(F.col(min_of).cast("double"))
-    summed = points.select(*cols).mapInArrow(partial, schema).groupBy(by, "k")
+    # Every task emits one row per moment and split (O(D^2), ~12k rows for
+    # D = 156) whatever its input size, so the shuffle grows with the task
+    # count, not the data. A narrow coalesce to twice the cluster's cores
+    # (no shuffle; only ever lowers the count) keeps all cores busy while
+    # bounding those partial rows; each task still streams its batches.
+    src = points.select(*cols).coalesce(2 * points.sparkSession.sparkContext.defaultParallelism)
+    summed = src.mapInArrow(partial, schema).groupBy(by, "k")
     if not with_min:
         return summed.agg(F.sum("value").alias("value"))
     # k = -1 carries a minimum; NaN marks a task that saw only null labels
