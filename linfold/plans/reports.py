@@ -55,14 +55,21 @@ def moment_terms(d: int) -> list[str]:
 
 
 def moments_table(p: Pipeline) -> DataFrame:
-    """``(split, term, value)``: n itself, every other moment divided by n."""
-    mf = p.moments_frame()
-    names = F.array(*[F.lit(t) for t in moment_terms(p.d)])
-    n = mf.where(F.col("k") == 0).select("split", F.col("value").alias("_n"))
-    j = mf.join(F.broadcast(n), "split")
-    return j.select("split", F.element_at(names, F.col("k") + 1).alias("term"),
-                    F.when(F.col("k") == 0, F.col("value"))
-                    .otherwise(F.col("value") / F.col("_n")).alias("value"))
+    """``(split, term, value)``: n itself, every other moment divided by n.
+
+    The moments come from the pipeline's single pass (which also resolves
+    the label shift); the O(D^2) numbers per split become a small frame.
+    Empty splits have no rows."""
+    names = moment_terms(p.d)
+    iu = np.triu_indices(p.d)
+    rows = []
+    for split, m in sorted(p.moments().items()):
+        if m.n == 0:
+            continue
+        vals = [m.sy, m.syy, *m.sx, *m.xty, *m.xtx[iu]]
+        rows.append((split, names[0], float(m.n)))
+        rows.extend((split, t, float(v) / m.n) for t, v in zip(names[1:], vals))
+    return p.spark.createDataFrame(rows, "split string, term string, value double")
 
 
 def trace_table(spark: SparkSession, trace: np.ndarray) -> DataFrame:
