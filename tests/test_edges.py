@@ -53,3 +53,13 @@ def test_pipeline_sgd_tolerance_off_runs_every_iteration(spark):
     stopped = p.sgd(200, 0.5, 0.0, True)
     full = p.sgd(200, 0.5, 0.0, True, tol=0.0)
     assert stopped.info["iterations"] < 200 and full.info["iterations"] == 200
+
+
+def test_moments_table_one_row_lists_only_its_split(spark):
+    from linfold.plans.reports import moment_terms, moments_table
+    p = _pipe(spark, [(1, 2000.0, [0.5, 0.25])])
+    rows = moments_table(p).collect()
+    assert {r.split for r in rows} == {s for s, m in p.moments().items() if m.n == 1}
+    got = {r.term: r.value for r in rows}
+    assert list(got) == moment_terms(2) and got["n"] == 1.0 and got["y"] == 0.0
+    assert got["x0"] == 0.5 and got["xx0_1"] == 0.125 and got["xy1"] == 0.0
