@@ -118,6 +118,8 @@ def derived_once(spark: SparkSession, tag: str, sources: list[str],
     write(tmp)
     src, _ = _fs(spark, tmp)
     dst, _ = _fs(spark, final)
-    if not fs.rename(src, dst):  # another writer finished first
+    # rename onto an existing folder would nest ours inside it, so a folder
+    # another writer already placed wins and ours is dropped
+    if fs.exists(dst) or not fs.rename(src, dst):
         remove_path(spark, tmp)
     return final
