@@ -7,10 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from linfold.llm import oracle
+from linfold.llm.byte_bpe import round_trip
 from linfold.llm.common import documents
 from linfold.llm.exact_dedup import exact_dedup
+from linfold.llm.packing import pack
 from linfold.llm.quality_mcd import quality_rules
+from linfold.llm.token_counts import fresh_cache, token_counts
 from linfold.llm.url_filter import judge_urls
 
 #: The contract's rules: host, path, verdict.
@@ -22,18 +27,34 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own, so that every run encodes what its documents hold
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), fresh_cache(spark))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("select * from values " + ", ".join(map(str, URL_RULES)) + " as r(host, path, verdict)")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).drop("d2")
 
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, oracle.EXACT_DEDUP),
+    "op3_token_counts": (op3_token_counts, None),
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
+    "op6_byte_bpe": (op6_byte_bpe, None),
+    "op9_packing": (op9_packing, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
