@@ -13,6 +13,7 @@ from linfold.llm import oracle
 from linfold.llm.byte_bpe import round_trip
 from linfold.llm.common import documents
 from linfold.llm.exact_dedup import exact_dedup
+from linfold.llm.line_dedup import dedup_lines
 from linfold.llm.packing import pack
 from linfold.llm.quality_mcd import quality_rules
 from linfold.llm.token_counts import fresh_cache, token_counts
@@ -42,6 +43,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -55,6 +60,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_token_counts": (op3_token_counts, None),
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_line_dedup": (op7_line_dedup, oracle.LINE_DEDUP),
     "op9_packing": (op9_packing, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
