@@ -116,3 +116,46 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last[cut] = solid[cut]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` neighbours, by doubling."""
+    n = len(x) - width + 1
+    if n <= 0:
+        return x[:0]
+    span = 1
+    while 2 * span <= width:
+        x = np.minimum(x[:-span], x[span:])
+        span *= 2
+    return np.minimum(x[:n], x[width - span:width - span + n])
+
+
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a row of sorted columns differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new) > 1:
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def whole_groups(batches, names: list[str], key: str) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of batches sorted by ``key``, never ending inside a group."""
+    kept: dict[str, list[np.ndarray]] = {c: [] for c in names}
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+        last = int(np.searchsorted(cols[key], cols[key][-1]))
+        if last:
+            yield {c: np.concatenate([*kept[c], cols[c][:last]]) for c in names}
+            kept = {c: [cols[c][last:]] for c in names}
+        else:  # one group so far, or more of the last one
+            if kept[key] and kept[key][-1][-1] != cols[key][0]:
+                yield {c: np.concatenate(kept[c]) for c in names}
+                kept = {c: [] for c in names}
+            for c in names:
+                kept[c].append(cols[c])
+    if kept[key]:
+        yield {c: np.concatenate(kept[c]) for c in names}

@@ -23,6 +23,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM d GROUP BY doc_id
 """
 
+SUBSTRING_DEDUP = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM t WHERE len(w) >= 13),
+h AS (
+  SELECT doc_id, p, md5(array_to_string(w[p:p + 12], ' ')) AS h FROM s),
+r AS (
+  SELECT doc_id, p FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM h) WHERE doc_id > first),
+c AS (
+  SELECT DISTINCT doc_id, p + k AS i FROM r, range(13) AS x(k)),
+w AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+k AS (
+  SELECT w.doc_id, count(*) AS kept, string_agg(word, ' ' ORDER BY w.i) AS text
+  FROM w ANTI JOIN c ON w.doc_id = c.doc_id AND w.i = c.i GROUP BY w.doc_id)
+SELECT t.doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(kept, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM t LEFT JOIN k ON t.doc_id = k.doc_id
+"""
+
 
 def url_filter(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(map(str, rules))

@@ -16,6 +16,7 @@ from linfold.llm.exact_dedup import exact_dedup
 from linfold.llm.line_dedup import dedup_lines
 from linfold.llm.packing import pack
 from linfold.llm.quality_mcd import quality_rules
+from linfold.llm.substring_dedup import dedup_substrings
 from linfold.llm.token_counts import fresh_cache, token_counts
 from linfold.llm.url_filter import judge_urls
 
@@ -47,6 +48,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -61,6 +66,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_line_dedup": (op7_line_dedup, oracle.LINE_DEDUP),
+    "op8_substring_dedup": (op8_substring_dedup, oracle.SUBSTRING_DEDUP),
     "op9_packing": (op9_packing, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
