@@ -17,6 +17,7 @@ from linfold.llm.line_dedup import dedup_lines
 from linfold.llm.packing import pack
 from linfold.llm.quality_mcd import quality_rules
 from linfold.llm.substring_dedup import dedup_substrings
+from linfold.llm.suffix_array import dedup_bytes
 from linfold.llm.token_counts import fresh_cache, token_counts
 from linfold.llm.url_filter import judge_urls
 
@@ -40,6 +41,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(documents(spark, sf_dir))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -64,6 +69,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_exact_dedup": (op1_exact_dedup, oracle.EXACT_DEDUP),
     "op3_token_counts": (op3_token_counts, None),
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
+    "op5_suffix_array_dedup": (op5_suffix_array_dedup, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_line_dedup": (op7_line_dedup, oracle.LINE_DEDUP),
     "op8_substring_dedup": (op8_substring_dedup, oracle.SUBSTRING_DEDUP),
