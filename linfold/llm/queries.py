@@ -13,6 +13,7 @@ from linfold.llm import oracle
 from linfold.llm.byte_bpe import round_trip
 from linfold.llm.common import documents
 from linfold.llm.exact_dedup import exact_dedup
+from linfold.llm.jaccard_join import jaccard_components
 from linfold.llm.line_dedup import dedup_lines
 from linfold.llm.packing import pack
 from linfold.llm.quality_mcd import quality_rules
@@ -30,6 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a cache of its own, so that every run encodes what its documents hold
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), fresh_cache(spark))
@@ -67,6 +72,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, oracle.EXACT_DEDUP),
+    "op2_jaccard_join": (op2_jaccard_join, oracle.JACCARD_JOIN),
     "op3_token_counts": (op3_token_counts, None),
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
     "op5_suffix_array_dedup": (op5_suffix_array_dedup, None),
