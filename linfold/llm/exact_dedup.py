@@ -26,9 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.common import SPACE, documents_of, staged, unstage
+from linfold.llm.common import documents_of, staged, unstage
 
 BLOCK_BYTES = 4096
+#: Runs of white space that are not already one space: most runs need no replacing.
+NOT_ONE_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
 def _digest(bits: int, *cols: Column) -> Column:
@@ -69,7 +71,7 @@ def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bits: int =
     """(doc_id, text_sha256, n_blocks, name): ``name`` with ``n_blocks``
     identifies the normalised text. ``bits`` shortens the digests (tests use it
     to make blocks share them)."""
-    norm = (documents_of(docs).select("doc_id", F.regexp_replace("text", SPACE, " ").alias("norm"))
+    norm = (documents_of(docs).select("doc_id", F.regexp_replace("text", NOT_ONE_SPACE, " ").alias("norm"))
             .select(F.struct("doc_id", F.sha2("norm", 256).alias("sha")).alias("key"),
                     F.col("norm").cast("binary").alias("bytes")))
     cut = F.expr("transform(sequence(0, greatest(octet_length(bytes) - 1, 0) div {0}), "
@@ -84,19 +86,17 @@ def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bits: int =
     while most > 1:
         pairs = F.expr("transform(sequence(0, (size(names) - 1) div 2), j -> "
                        "struct(names[2 * j] as l, try_element_at(names, cast(2 * j + 2 as int)) as r))")
-        paired = names.where(F.size("names") > 1).select("key", "n_blocks", pairs.alias("pairs"))
+        paired = names.select("key", "n_blocks", "names", F.when(F.size("names") > 1, pairs).alias("pairs"))
         spread = (paired.select("key", F.posexplode("pairs").alias("i", "p")).select("key", "i", "p.l", "p.r")
                   .withColumn("h", _digest(bits, F.col("l"), F.col("r"))))
         shared = _shared(spread.select("h", "l", "r"), ["l", "r"])
-        if shared is None:
+        if shared is None:  # each row goes on by itself, one name as it is
             name = F.transform("pairs", lambda p: F.struct(_digest(bits, p["l"], p["r"]).alias("h"), F.lit(0).alias("ord")))
-            higher = paired.select("key", name.alias("names"), "n_blocks")
+            names = paired.select("key", F.coalesce(name, "names").alias("names"), "n_blocks")
         else:
             higher = (_renumber(spread, shared, ["l", "r"])
                       .join(names.select("key", "n_blocks").distinct(), "key").select("key", "names", "n_blocks"))
-        names = names.where(F.size("names") == 1).unionByName(higher)
-        if shared is not None:
-            names = staged(names, "names")
+            names = staged(names.where(F.size("names") == 1).unionByName(higher), "names")
         most = (most + 1) // 2
     return names.select("key.doc_id", F.col("key.sha").alias("text_sha256"), "n_blocks", F.col("names")[0].alias("name"))
 
