@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +54,49 @@ def tree_agg(df: DataFrame, keys: Sequence[str], specs: Sequence[tuple[str, str,
     if keys:
         return lvl1.groupBy(*keys).agg(*aggs2)
     return lvl1.agg(*aggs2)
+
+
+FAN_IN = 256  # map tasks whose vectors one first-level group sums
+
+
+def vector_sum(partials: DataFrame, key: str) -> DataFrame:
+    """Element-wise sums of ``(key, part, vec ARRAY<DOUBLE>)`` per key.
+
+    ``part`` is the map task; its vectors are summed for ``FAN_IN`` tasks at a
+    time and then per key, so a key's task reads tasks / FAN_IN rows. One fixed
+    plan, whatever the source. NaN and infinity pass through."""
+    def total(table):
+        import pyarrow as pa
+        vecs = table.column("vec").combine_chunks()
+        acc = vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(vecs), -1).sum(axis=0)
+        return pa.table({key: table.column(key).slice(0, 1),
+                         "vec": pa.array([acc], pa.list_(pa.float64()))})
+
+    schema = f"`{key}` string, vec array<double>"
+    level1 = partials.withColumn("_group", F.floor(F.col("part") / FAN_IN)) \
+        .groupBy(key, "_group").applyInArrow(total, schema)
+    return level1.groupBy(key).applyInArrow(total, schema)
+
+
+def checked_arrays(batch, d: int):
+    """(labels, features as an n x d matrix) of the columns ``label`` and
+    ``features`` of an Arrow batch; bad points fail, as in ``checked_points``."""
+    label, feats = batch.column("label"), batch.column("features")
+    flat = feats.flatten()
+    widths = np.diff(feats.offsets.to_numpy())
+    if label.null_count or feats.null_count or flat.null_count or (widths != d).any():
+        raise ValueError(f"bad point: a null, or a width other than {d}")
+    return (label.to_numpy(zero_copy_only=False).astype(np.float64),
+            flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d))
+
+
+def checked_points(points: DataFrame, d: int) -> DataFrame:
+    """``points`` whose bad rows fail the job: a null label, null features or a
+    null among them, or a width other than ``d``. The check is part of the
+    column, so it costs no pass and runs wherever features are read."""
+    f, n = "`features`", int(d)
+    nulls = " OR ".join(f"{f}[{k}] IS NULL" for k in range(n)) if n <= 64 else f"exists({f}, x -> x IS NULL)"
+    bad = f"`label` IS NULL OR {f} IS NULL OR size({f}) <> {n}" + (f" OR {nulls}" if nulls else "")
+    message = f"'bad point: a null, or a width other than {n}'"
+    good = F.expr(f"CASE WHEN {bad} THEN raise_error({message}) ELSE {f} END").cast("array<double>")
+    return points.withColumn("features", good)

@@ -19,7 +19,7 @@ answers every budget (``snapshots``).
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,13 +42,20 @@ def rmse_from_moments(m: Moments, w: np.ndarray, intercept: float = 0.0) -> floa
 def gradient_descent(m: Moments, num_iters: int, alpha: float = 1.0,
                      eta: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
     """Returns (final weights, training RMSE before each update)."""
-    g, b, n = m.xtx, m.xty, m.n
-    w = np.zeros(m.d)
+    return descend(lambda w: (m.xtx @ w - m.xty, rmse_from_moments(m, w), m.n), m.d,
+                   num_iters, alpha, eta)
+
+
+def descend(step: Callable[[np.ndarray], tuple[np.ndarray, float, int]], d: int, num_iters: int,
+            alpha: float, eta: float) -> tuple[np.ndarray, np.ndarray]:
+    """The batch rule; ``step(w)`` gives (gradient sum, RMSE, rows). No rows:
+    zero weights."""
+    w = np.zeros(d)
     trace = np.zeros(num_iters)
     for i in range(num_iters):
-        trace[i] = rmse_from_moments(m, w)
-        grad = g @ w - b + eta * w
-        w = w - (alpha / (n * np.sqrt(i + 1))) * grad
+        g, trace[i], n = step(w)
+        if n:
+            w = w - (alpha / (n * np.sqrt(i + 1))) * (g + eta * w)
     return w, trace
 
 
@@ -71,39 +78,46 @@ def sgd(m: Moments, iterations: int = SGD_DEFAULT_ITERATIONS, step: float = SGD_
     same run (``result.snapshots[budget]``).
     """
     mm = m.augmented() if intercept else m
-    g, b, n = mm.xtx, mm.xty, mm.n
-    w = np.zeros(mm.d)
+    if mm.n == 0:  # nothing to learn from: the initial weights, after no iteration
+        zero = descend_sgd(lambda w, i: None, m.d, 0, step, reg, intercept, tol)
+        zero.snapshots = {int(b): zero for b in (iterations, *snapshots)}
+        return zero
+    return descend_sgd(lambda w, i: (mm.xtx @ w - mm.xty) / mm.n,
+                       m.d, iterations, step, reg, intercept, tol, snapshots)
+
+
+def descend_sgd(mean_gradient: Callable[[np.ndarray, int], np.ndarray | None], d: int,
+                iterations: int, step: float, reg: float, intercept: bool, tol: float,
+                snapshots: Iterable[int] = ()) -> SGDResult:
+    """The trainer's rule; ``mean_gradient(w, i)`` is None without rows (a
+    mini-batch that drew none skips its update). The last weight is the
+    intercept's, if there is one."""
+    w = np.zeros(d + 1 if intercept else d)
     if intercept:
         w[-1] = SGD_INITIAL_INTERCEPT
     budgets = sorted(set([int(iterations), *(int(s) for s in snapshots)]))
-    stop_at = None
     peak = float(np.linalg.norm(w))
     snaps: dict[int, SGDResult] = {}
+    stopped, run, moved = False, 0, 0
 
-    def state(budget: int, run: int) -> SGDResult:
+    def state() -> SGDResult:
         ww, bb = (w[:-1].copy(), float(w[-1])) if intercept else (w.copy(), 0.0)
-        return SGDResult(ww, bb, run, stop_at is not None and stop_at <= budget, {}, peak)
-
-    bi, run, i = 0, 0, 1
-    while bi < len(budgets) and budgets[bi] <= 0:
-        snaps[budgets[bi]] = state(budgets[bi], 0)
-        bi += 1
-    while stop_at is None and i <= budgets[-1] and n > 0:
-        grad = (g @ w - b) / n
-        t = step / np.sqrt(i)
-        w_new = w * (1.0 - t * reg) - t * grad
-        if i > 1 and (float(np.linalg.norm(w_new - w))
-                      < tol * max(float(np.linalg.norm(w_new)), 1.0)):
-            stop_at = i
-        w = w_new
-        peak = max(peak, float(np.linalg.norm(w)))
-        run = i
-        while bi < len(budgets) and budgets[bi] == i:
-            snaps[budgets[bi]] = state(budgets[bi], run)
-            bi += 1
-        i += 1
-    for rest in budgets[bi:]:
-        snaps[rest] = state(rest, run)
+        return SGDResult(ww, bb, run, stopped, {}, peak)
+
+    for budget in budgets:
+        while run < budget and not stopped:
+            grad = mean_gradient(w, run + 1)
+            run += 1
+            if grad is None:
+                continue
+            t = step / np.sqrt(run)
+            w_new = w * (1.0 - t * reg) - t * grad
+            moved += 1
+            stopped = moved > 1 and (float(np.linalg.norm(w_new - w))
+                                     < tol * max(float(np.linalg.norm(w_new)), 1.0))
+            w = w_new
+            peak = max(peak, float(np.linalg.norm(w)))
+        snaps[budget] = state()
     final = snaps[int(iterations)]
     final.snapshots = snaps
     return final

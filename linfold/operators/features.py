@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import two_way_interactions
+from linfold.operators.aggregates import tree_agg
 
 
 def label_range(points: DataFrame, label: str = "label") -> DataFrame:
     """One pass for both ends of the label range."""
-    return points.agg(F.min(label).alias("min_label"), F.max(label).alias("max_label"))
+    return tree_agg(points, [], [("min_label", "min", F.col(label)), ("max_label", "max", F.col(label))])
 
 
 def shift_labels(points: DataFrame, label: str = "label", keep_raw: bool = False) -> DataFrame:
@@ -19,7 +20,7 @@ def shift_labels(points: DataFrame, label: str = "label", keep_raw: bool = False
     The minimum is a scalar subquery: computed once by its own small job and
     substituted as a constant, so the row plan stays one code-generated stage.
     """
-    lo = points.select(F.min(label)).scalar()
+    lo = tree_agg(points, [], [("lo", "min", F.col(label))]).scalar()
     cols = [c for c in points.columns if c != label]
     extra = [F.col(label).alias("label_raw")] if keep_raw else []
     return points.select(*cols, (F.col(label) - lo).alias(label), *extra)
@@ -46,7 +47,8 @@ def min_max_scale(df: DataFrame, col: str, out: str) -> DataFrame:
 
     Both ends come from one struct-valued scalar subquery (one aggregate
     job); the row plan then reads them as constants."""
-    ends = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    ends = tree_agg(df, [], [("lo", "min", F.col(col)), ("hi", "max", F.col(col))]) \
+        .select(F.struct("lo", "hi")).scalar()
     lo, width = ends.getField("lo"), ends.getField("hi") - ends.getField("lo")
     scaled = F.when(width == 0, F.lit(0.0)).otherwise((F.col(col) - lo) / width)
     return df.withColumn(out, scaled)

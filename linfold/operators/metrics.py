@@ -14,26 +14,29 @@ from linfold.operators.features import min_max_scale
 
 def rmse(pairs: DataFrame, label: str = "label", prediction: str = "prediction",
          by: Sequence[str] = (), fanout: int | None = None) -> DataFrame:
-    """``sqrt(sum((label - prediction)^2) / n)``; null for an empty group."""
-    agg = tree_agg(pairs, by, [("sse", "sum", squared_error(label, prediction)),
-                               ("n", "count", F.lit(1))], fanout)
+    """``sqrt(sum((label - prediction)^2) / n)``, ``n`` the rows that have both;
+    null for an empty group."""
+    err = squared_error(label, prediction)
+    agg = tree_agg(pairs, by, [("sse", "sum", err), ("n", "count", err)], fanout)
     return agg.select(*by, "n", F.when(F.col("n") > 0, F.sqrt(F.col("sse") / F.col("n")))
                       .alias("rmse"))
 
 
 def rmse_many(points: DataFrame, predictions: Mapping[str, Column], label: str = "label",
               by: Sequence[str] = ("split",), fanout: int | None = None) -> DataFrame:
-    """RMSE of several prediction columns in one pass: ``(by..., model, n, rmse)``."""
+    """RMSE of several prediction columns in one pass: ``(by..., model, n, rmse)``;
+    ``n`` counts the rows that have a label and that model's prediction."""
     names = list(predictions)
-    specs = [(f"_sse{i}", "sum", squared_error(label, predictions[m])) for i, m in enumerate(names)]
-    agg = tree_agg(points, by, specs + [("n", "count", F.lit(1))], fanout)
+    errors = [squared_error(label, predictions[m]) for m in names]
+    specs = [(f"_{kind}{i}", kind, e) for i, e in enumerate(errors) for kind in ("sum", "count")]
+    agg = tree_agg(points, by, specs, fanout)
     rows = F.explode(F.array(*[
-        F.struct(F.lit(m).alias("model"), F.col(f"_sse{i}").alias("sse"))
+        F.struct(F.lit(m).alias("model"), F.col(f"_sum{i}").alias("sse"), F.col(f"_count{i}").alias("n"))
         for i, m in enumerate(names)
     ])).alias("_r")
-    out = agg.select(*by, "n", rows)
-    return out.select(*by, "_r.model", "n",
-                      F.when(F.col("n") > 0, F.sqrt(F.col("_r.sse") / F.col("n"))).alias("rmse"))
+    out = agg.select(*by, rows).select(*by, "_r.*")
+    return out.select(*by, "model", "n",
+                      F.when(F.col("n") > 0, F.sqrt(F.col("sse") / F.col("n"))).alias("rmse"))
 
 
 def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
@@ -48,11 +51,11 @@ def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
     fanout = default_fanout(points) if fanout is None else fanout
     y = F.col(label)
     if fanout <= 1:
-        per = points.groupBy(split).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"),
+        per = points.groupBy(split).agg(F.count(y).alias("n"), F.avg(y).alias("mean"),
                                         F.var_pop(y).alias("var"))
     else:
         bucket = (F.spark_partition_id() % F.lit(fanout)).alias("_bucket")
-        lvl1 = points.groupBy(split, bucket).agg(F.count(F.lit(1)).alias("nb"),
+        lvl1 = points.groupBy(split, bucket).agg(F.count(y).alias("nb"),
                                                  F.avg(y).alias("mb"), F.var_pop(y).alias("vb"))
         w = Window.partitionBy(split)
         lvl1 = lvl1.withColumn("_mean", F.sum(F.col("nb") * F.col("mb")).over(w) / F.sum("nb").over(w))

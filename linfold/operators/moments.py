@@ -14,10 +14,11 @@ Two physical paths, both one scan:
 * ``columns`` (small D): one code-generated aggregate with
   D(D+1)/2 + 2D + 3 sum columns, through the two-level ``tree_agg``.
 * ``arrow`` (large D, e.g. 156 interaction features): ``mapInArrow``
-  builds per-task partial matrices with numpy (interactions are expanded
-  inside the task, never shipped), emits them as long rows
-  ``(split, k, value)`` and a ``groupBy(split, k)`` sums them. Every key
-  receives exactly one row per task, so there is no hot key.
+  builds one vector of partial sums per task and split with numpy
+  (interactions are expanded inside the task, never shipped);
+  ``vector_sum`` adds them in two levels.
+
+Both paths fail on a bad point (null label, null or ragged features).
 """
 
 from __future__ import annotations
@@ -27,10 +28,9 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linfold.functions.vectors import term_sql
-from linfold.operators.aggregates import tree_agg
+from linfold.operators.aggregates import checked_arrays, checked_points, tree_agg, vector_sum
 
 COLUMNS_MAX_WIDTH = 24
 # Above this width the D x D moments (D^2 / 2 doubles per split) stop being
@@ -47,6 +47,10 @@ class Moments:
     xty: np.ndarray
     xtx: np.ndarray
 
+    @classmethod
+    def empty(cls, d: int) -> "Moments":
+        return cls(0, 0.0, 0.0, np.zeros(d), np.zeros(d), np.zeros((d, d)))
+
     @property
     def d(self) -> int:
         return int(self.sx.shape[0])
@@ -89,12 +93,15 @@ def _triu(d: int) -> list[tuple[int, int]]:
 
 def moments_frame(points: DataFrame, d: int, by: str = "split", interactions: bool = False,
                   method: str = "auto", fanout: int | None = None,
-                  min_of: str | None = None) -> DataFrame:
+                  min_of: str | None = None, checked: bool = False) -> DataFrame:
     """Long moments ``(split, k INT, value DOUBLE)`` in the layout
     ``[n, sy, syy, sx(D), xty(D), triu(xtx)]`` where D = d or d + d^2.
 
     ``min_of`` names a column whose per-group minimum rides along in the
-    same pass, as the row ``k = -1``."""
+    same pass, as the row ``k = -1``. ``checked``: the points passed
+    ``checked_points`` already."""
+    if not checked:
+        points = checked_points(points, d)
     width = d + d * d if interactions else d
     if method == "auto":
         method = "columns" if width <= COLUMNS_MAX_WIDTH else "arrow"
@@ -135,65 +142,43 @@ def _moments_arrow(points, d, by, interactions, min_of=None):
     width = d + d * d if interactions else d
     iu = np.triu_indices(width)
     size = 3 + 2 * width + len(iu[0])
-    with_min = min_of is not None
 
     def partial(batches):
         import pyarrow as pa
+        from pyspark import TaskContext
         acc: dict[str, np.ndarray] = {}
-        mins: dict[str, float] = {}
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             keys = rb.column(0).to_numpy(zero_copy_only=False)
-            y = rb.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-            x = np.asarray(rb.column(2).flatten().to_numpy(zero_copy_only=False),
-                           dtype=np.float64).reshape(-1, d)
-            lo = rb.column(3).to_numpy(zero_copy_only=False).astype(np.float64) \
-                if with_min else None
+            y, x = checked_arrays(rb, d)
             if interactions:
                 x = np.hstack([x, (x[:, :, None] * x[:, None, :]).reshape(x.shape[0], d * d)])
             for key in np.unique(keys):
                 sel = keys == key
                 xs, ys = x[sel], y[sel]
-                vec = np.empty(size)
-                vec[0] = xs.shape[0]
-                vec[1] = ys.sum()
-                vec[2] = ys @ ys
-                vec[3:3 + width] = xs.sum(axis=0)
-                vec[3 + width:3 + 2 * width] = xs.T @ ys
-                vec[3 + 2 * width:] = (xs.T @ xs)[iu]
-                if key in acc:
-                    acc[key] += vec
-                else:
-                    acc[key] = vec
-                if with_min:
-                    m = float(np.nanmin(lo[sel])) if np.any(~np.isnan(lo[sel])) else np.nan
-                    mins[key] = np.fmin(mins.get(key, np.nan), m)
-        for key, vec in acc.items():
-            ks = np.arange(size, dtype=np.int32)
-            if with_min:
-                ks, vec = np.append(ks, np.int32(-1)), np.append(vec, mins[key])
+                vec = acc.setdefault(key, np.zeros(size))
+                vec[0] += xs.shape[0]
+                vec[1] += ys.sum()
+                vec[2] += ys @ ys
+                vec[3:3 + width] += xs.sum(axis=0)
+                vec[3 + width:3 + 2 * width] += xs.T @ ys
+                vec[3 + 2 * width:] += (xs.T @ xs)[iu]
+        part = TaskContext.get().partitionId()
+        if acc:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(ks), pa.string()), pa.array(ks, pa.int32()),
-                 pa.array(vec)], names=[by, "k", "value"])
-
-    schema = T.StructType([T.StructField(by, T.StringType()), T.StructField("k", T.IntegerType()),
-                           T.StructField("value", T.DoubleType())])
-    cols = [F.col(by).cast("string"), F.col("label").cast("double"), F.col("features")]
-    if with_min:
-        cols.append(F.col(min_of).cast("double"))
-    # Every task emits one row per moment and split (O(D^2), ~12k rows for
-    # D = 156) whatever its input size, so the shuffle grows with the task
-    # count, not the data. A narrow coalesce to twice the cluster's cores
-    # (no shuffle; only ever lowers the count) keeps all cores busy while
-    # bounding those partial rows; each task still streams its batches.
-    src = points.select(*cols).coalesce(2 * points.sparkSession.sparkContext.defaultParallelism)
-    summed = src.mapInArrow(partial, schema).groupBy(by, "k")
-    if not with_min:
-        return summed.agg(F.sum("value").alias("value"))
-    # k = -1 carries a minimum; NaN marks a task that saw only null labels
-    v = F.when(F.isnan("value"), None).otherwise(F.col("value"))
-    return summed.agg(F.when(F.col("k") == -1, F.min(v)).otherwise(F.sum("value")).alias("value"))
+                [pa.array(list(acc), pa.string()), pa.array([part] * len(acc), pa.int32()),
+                 pa.array(list(acc.values()), pa.list_(pa.float64()))], names=[by, "part", "vec"])
+
+    cols = [F.col(by).cast("string").alias(by), F.col("label").cast("double").alias("label"), "features"]
+    sums = vector_sum(points.select(*cols).mapInArrow(
+        partial, f"`{by}` string, part int, vec array<double>"), by)
+    long = sums.select(by, F.posexplode("vec").alias("k", "value"))
+    if min_of is None:
+        return long
+    # the minimum comes from the same rows by a code-generated aggregate of two columns
+    lows = tree_agg(points, [by], [("value", "min", F.col(min_of).cast("double"))])
+    return long.unionByName(lows.select(F.col(by).cast("string").alias(by), F.lit(-1).alias("k"), "value"))
 
 
 def collect_moments(frame: DataFrame, by: str = "split") -> dict[str, Moments]:

@@ -1,84 +1,100 @@
-"""Per-iteration training on the rows (the fallback to the moments path).
+"""Per-iteration training on the rows, for widths beyond D x D moments.
 
-Each iteration is one fused aggregate over the (optionally sampled)
-training rows: the gradient sum and the row count in a single job, with
-the current weights inlined as literals. Use it when the width D is too
-large for D x D moments (thousands of features), or for mini-batches
-(``mini_batch_fraction < 1``, sampled with seed ``seed + i`` as the
-library trainer does; statistically, not bitwise, equal to it).
+Each iteration is one pass: a task forms every row's residual once and adds up
+one vector ``[sum err * x (D), sum err, sum err^2, n]`` with numpy; vectors are
+summed in two levels (``vector_sum``) and D + 3 numbers reach the driver. All
+three rules run on it: the plain and L2 descents and the library trainer, with
+snapshots. ``mini_batch_fraction < 1`` samples with seed ``seed + i`` as the
+library trainer does; statistically, not bitwise, equal to it.
 
 The training rows are staged once as parquet in the shared folder
 (``stage=True``), so each iteration reads a compact ``(label, features)``
-copy instead of re-deriving the rows from the source. The loop holds only
-D numbers on the driver; every job is a fresh plan over the staged rows,
-so lineage does not grow with the iteration count.
+copy instead of re-deriving the rows from the source; interactions are formed
+in the tasks. Every job is a fresh plan over the staged rows, so lineage does
+not grow with the iteration count.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from linfold.functions.vectors import linear_sql
-from linfold.operators.aggregates import tree_agg
-from linfold.session import remove_path, stage_parquet
+from linfold.operators.aggregates import checked_arrays, vector_sum
 from linfold.operators.descent import (
-    SGD_CONVERGENCE_TOL, SGD_INITIAL_INTERCEPT, SGDResult,
+    SGD_CONVERGENCE_TOL, SGDResult, descend, descend_sgd,
 )
+from linfold.session import remove_path, stage_parquet
 
 
-def _gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float, intercept: bool,
-                   fanout: int | None) -> tuple[np.ndarray, float, int]:
-    pred = linear_sql("features", w, b if intercept else None, d)
-    err = f"(({pred}) - label)"
-    specs = [(f"g{k}", "sum", f"{err} * features[{k}]") for k in range(d)]
-    specs += [("gb", "sum", err), ("n", "count", "1")]
-    r = tree_agg(rows, [], specs, fanout).collect()[0]
-    g = np.array([r[f"g{k}"] or 0.0 for k in range(d)])
-    return g, float(r["gb"] or 0.0), int(r["n"])
+def gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float = 0.0,
+                  interactions: bool = False) -> tuple[np.ndarray, float, float, int]:
+    """(sum err * x, sum err, sum err^2, n) with ``err = w.x + b - label``."""
+    width = d + d * d if interactions else d
 
+    def partial(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        acc, any_rows = np.zeros(width + 3), False
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            any_rows = True
+            y, x = checked_arrays(rb, d)
+            if interactions:
+                x = np.hstack([x, (x[:, :, None] * x[:, None, :]).reshape(len(y), d * d)])
+            err = x @ w + b - y
+            acc[:width] += err @ x
+            acc[width:] += (err.sum(), err @ err, len(y))
+        if any_rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["all"]), pa.array([TaskContext.get().partitionId()], pa.int32()),
+                 pa.array([acc], pa.list_(pa.float64()))], names=["key", "part", "vec"])
 
-def sgd_rowwise(train: DataFrame, d: int, iterations: int = 100, step: float = 1.0,
-                reg: float = 0.0, intercept: bool = False, tol: float = SGD_CONVERGENCE_TOL,
-                mini_batch_fraction: float = 1.0, seed: int = 42,
-                fanout: int | None = None, stage: bool = True) -> SGDResult:
-    """The squared-L2 rule of ``linfold.operators.descent.sgd`` on the rows."""
+    got = vector_sum(rows.select(rows.label.cast("double").alias("label"), "features")
+                     .mapInArrow(partial, "key string, part int, vec array<double>"), "key").collect()
+    v = np.array(got[0]["vec"]) if got else np.zeros(width + 3)
+    return v[:width], float(v[width]), float(v[width + 1]), int(v[width + 2])
+
+
+def _staged(train: DataFrame, stage: bool, run: Callable[[DataFrame], object]):
     if not stage:
-        return _sgd_loop(train, d, iterations, step, reg, intercept, tol,
-                         mini_batch_fraction, seed, fanout)
+        return run(train)
     staged, path = stage_parquet(train.select("label", "features"), "rowwise-train")
     try:
-        return _sgd_loop(staged, d, iterations, step, reg, intercept, tol,
-                         mini_batch_fraction, seed, fanout)
+        return run(staged)
     finally:
         remove_path(train.sparkSession, path)
 
 
-def _sgd_loop(train: DataFrame, d: int, iterations: int, step: float, reg: float,
-              intercept: bool, tol: float, mini_batch_fraction: float, seed: int,
-              fanout: int | None) -> SGDResult:
-    w = np.zeros(d)
-    b = SGD_INITIAL_INTERCEPT if intercept else 0.0
-    prev = None
-    run = 0
-    converged = False
-    peak = float(np.linalg.norm(np.append(w, b)))
-    for i in range(1, iterations + 1):
-        rows = train if mini_batch_fraction >= 1.0 else \
-            train.sample(withReplacement=False, fraction=mini_batch_fraction, seed=seed + i)
-        g, gb, n = _gradient_pass(rows, d, w, b, intercept, fanout)
-        run = i
-        if n == 0:
-            continue
-        t = step / np.sqrt(i)
-        w = w * (1.0 - t * reg) - t * g / n
-        if intercept:
-            b = b * (1.0 - t * reg) - t * gb / n
-        cur = np.append(w, b) if intercept else w.copy()
-        peak = max(peak, float(np.linalg.norm(cur)))
-        if prev is not None and np.linalg.norm(cur - prev) < tol * max(np.linalg.norm(cur), 1.0):
-            converged = True
-            break
-        prev = cur
-    return SGDResult(w, float(b), run, converged, {}, peak)
+def gd_rowwise(train: DataFrame, d: int, num_iters: int, alpha: float = 1.0, eta: float = 0.0,
+               interactions: bool = False, stage: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """``linfold.operators.descent.gradient_descent`` on the rows."""
+    width = d + d * d if interactions else d
+
+    def run(rows):
+        def step(w):
+            g, _, sse, n = gradient_pass(rows, d, w, 0.0, interactions)
+            return g, (np.sqrt(sse / n) if n else float("nan")), n
+        return descend(step, width, num_iters, alpha, eta)
+    return _staged(train, stage, run)
+
+
+def sgd_rowwise(train: DataFrame, d: int, iterations: int = 100, step: float = 1.0,
+                reg: float = 0.0, intercept: bool = False, tol: float = SGD_CONVERGENCE_TOL,
+                mini_batch_fraction: float = 1.0, seed: int = 42, stage: bool = True,
+                interactions: bool = False, snapshots: Iterable[int] = ()) -> SGDResult:
+    """The squared-L2 rule of ``linfold.operators.descent.sgd`` on the rows."""
+    width = d + d * d if interactions else d
+
+    def run(rows):
+        def mean_gradient(w, i):
+            part = rows if mini_batch_fraction >= 1.0 else rows.sample(
+                withReplacement=False, fraction=mini_batch_fraction, seed=seed + i)
+            g, gb, _, n = gradient_pass(part, d, w[:width], float(w[-1]) if intercept else 0.0, interactions)
+            if n == 0:
+                return None
+            return (np.append(g, gb) if intercept else g) / n
+        return descend_sgd(mean_gradient, width, iterations, step, reg, intercept, tol, snapshots)
+    return _staged(train, stage, run)

@@ -29,11 +29,10 @@ def split_bucket(id_col: Column | str, seed: int = SPLIT_SEED) -> Column:
 
 def _thresholds(weights: Sequence[float]) -> list[int]:
     total = float(sum(weights))
-    acc, out = 0.0, []
-    for w in weights[:-1]:
-        acc += w
-        out.append(int(round(acc / total * BUCKETS)))
-    return out
+    shares = [w / total * BUCKETS for w in weights]
+    if any(w < 0 or abs(x - round(x)) > 1e-6 for w, x in zip(weights, shares)):
+        raise ValueError(f"weights must be multiples of 1/{BUCKETS} of their sum: {list(weights)}")
+    return [int(round(sum(shares[:k + 1]))) for k in range(len(shares) - 1)]
 
 
 def hash_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
@@ -52,19 +51,32 @@ def hash_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
         .withColumn("split", expr).drop("_bucket")
 
 
+def one_split(points: DataFrame, name: str, weights: Sequence[float] = SPLIT_WEIGHTS,
+              seed: int = SPLIT_SEED, names: Sequence[str] = SPLIT_NAMES,
+              id_col: str = "point_id") -> DataFrame:
+    """The rows of one split of ``hash_split``: one range test on the bucket."""
+    edges = [0, *_thresholds(weights), BUCKETS]
+    k = list(names).index(name)
+    inside = split_bucket(id_col, seed).between(edges[k], edges[k + 1] - 1)
+    return points.where(inside).withColumn("split", F.lit(name))
+
+
 def random_split(points: DataFrame, weights: Sequence[float] = SPLIT_WEIGHTS,
                  seed: int = SPLIT_SEED, names: Sequence[str] = SPLIT_NAMES) -> DataFrame:
-    """Bernoulli range split (``DataFrame.randomSplit``), tagged and unioned.
+    """Bernoulli split: one uniform number per row against cumulative weights.
 
-    Sizes are approximate and membership depends on partitioning; use
-    ``hash_split`` when results are compared.
+    One pass, no sort. Sizes are approximate and membership depends on
+    partitioning; use ``hash_split`` when results are compared.
     """
-    parts = points.randomSplit(list(weights), seed)
-    out = None
-    for name, p in zip(names, parts):
-        p = p.withColumn("split", F.lit(name))
-        out = p if out is None else out.unionByName(p)
-    return out
+    if len(weights) != len(names) or min(weights) < 0:
+        raise ValueError("one name and one weight of at least 0 each")
+    total, acc = float(sum(weights)), 0.0
+    u, expr = F.col("_u"), None
+    for w, name in zip(weights[:-1], names[:-1]):
+        acc += w / total
+        expr = (F.when(u < acc, F.lit(name)) if expr is None else expr.when(u < acc, F.lit(name)))
+    expr = F.lit(names[-1]) if expr is None else expr.otherwise(F.lit(names[-1]))
+    return points.withColumn("_u", F.rand(seed)).withColumn("split", expr).drop("_u")
 
 
 def split_sizes(points: DataFrame, split: str = "split", fanout: int | None = None) -> DataFrame:

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from linfold.sources.fixtures import EMBED_LABEL_BASE, EMBED_WIDTH, SIGNAL_LABEL_EXPR
+from linfold.sources.fixtures import EMBED_FULL_WIDTH, EMBED_LABEL_BASE, EMBED_WIDTH, SIGNAL_LABEL_EXPR
 
 TOL = 0.001
-WIDTH = {"signal": 3, "embed": EMBED_WIDTH}
+WIDTH = {"signal": 3, "embed": EMBED_WIDTH, "embed64": EMBED_FULL_WIDTH}
 
 
 def r6(x: str) -> str:
@@ -32,8 +32,8 @@ def raw_cte(fixture: str) -> str:
             f" AS point_id, CAST({SIGNAL_LABEL_EXPR} AS DOUBLE) AS label,"
             " l_quantity/50 AS f0, l_discount*10 AS f1, l_tax*10 AS f2 FROM lineitem)"
         )
-    if fixture == "embed":
-        d = EMBED_WIDTH
+    if fixture in ("embed", "embed64"):
+        d = WIDTH[fixture]
         es = ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS e{k}" for k in range(d))
         lo = ", ".join(f"min(e{k}) AS lo{k}" for k in range(d))
         hi = ", ".join(f"max(e{k}) AS hi{k}" for k in range(d))
@@ -93,6 +93,36 @@ def mom_cte(zs: Sequence[str], intercept: bool, where: str = "split = 'train'",
             f" [{', '.join(rows)}] AS g, [{', '.join(b)}] AS b FROM {src} WHERE {where})")
 
 
+def mom_cte_symmetric(zs: Sequence[str], where: str = "split = 'train'",
+                      src: str = "zp", name: str = "mom") -> str:
+    """``mom_cte`` with an intercept, each pair of terms summed once (wide models)."""
+    cols = [*zs, "_one"]
+    sums = [f"sum({a} * {b}) AS g{i}_{j}" for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+    sums += [f"sum({a} * label) AS b{i}" for i, a in enumerate(cols)]
+    size = len(cols)
+    g = ", ".join("[" + ", ".join(f"g{min(i, j)}_{max(i, j)}" for j in range(size)) + "]" for i in range(size))
+    b = ", ".join(f"b{i}" for i in range(size))
+    return (f"{name}_s AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(label * label) AS syy, {', '.join(sums)}"
+            f" FROM (SELECT *, CAST(1.0 AS DOUBLE) AS _one FROM {src}) WHERE {where}),\n"
+            f"{name} AS MATERIALIZED (SELECT n, syy, [{g}] AS g, [{b}] AS b FROM {name}_s)")
+
+
+def moments_sql(fixture: str, interactions: bool = False) -> str:
+    """Plain sums of every moment per split, over n."""
+    d = WIDTH[fixture]
+    zs = z_names(d, interactions)
+    w = len(zs)
+    names = ["n", "y", "yy"] + [f"x{k}" for k in range(w)] + [f"xy{k}" for k in range(w)] + \
+        [f"xx{i}_{j}" for i in range(w) for j in range(i, w)]
+    vals = ["count(*)", "sum(label)", "sum(label * label)"] + [f"sum({z})" for z in zs] + \
+        [f"sum({z} * label)" for z in zs] + [f"sum({zs[i]} * {zs[j]})" for i in range(w) for j in range(i, w)]
+    sel = ", ".join(f"CAST({v} AS DOUBLE) AS m{i}" for i, v in enumerate(vals))
+    arr = ", ".join(["m0"] + [f"m{i} / m0" for i in range(1, len(vals))])
+    nm = ", ".join(f"'{n}'" for n in names)
+    return with_(pts_cte(fixture), zp_cte(d, interactions), f"mm AS (SELECT split, {sel} FROM zp GROUP BY split)") + (
+        f"SELECT split, unnest([{nm}]) AS term, {r6(f'unnest([{arr}])')} AS value FROM mm")
+
+
 def _zero_list(n: int, last: float | None = None) -> str:
     vals = ["CAST(0.0 AS DOUBLE)"] * n
     if last is not None:

@@ -17,22 +17,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.operators.descent import SGD_CONVERGENCE_TOL, gradient_descent, sgd
-from linfold.operators.aggregates import default_fanout
+from linfold.operators.aggregates import checked_points, default_fanout, tree_agg
 from linfold.operators.metrics import rmse, rmse_many
 from linfold.operators.models import ConstantModel, LinearModel
-from linfold.operators.features import add_interactions
 from linfold.operators.moments import (
     MOMENTS_MAX_WIDTH, Moments, collect_moments, collect_moments_and_min, moments_frame,
 )
-from linfold.operators.rowwise import sgd_rowwise
-from linfold.operators.splits import SPLIT_NAMES, hash_split
-from linfold.sources.fixtures import EMBED_WIDTH, embed_points, embed_text_points, signal_points
+from linfold.operators.rowwise import gd_rowwise, sgd_rowwise
+from linfold.operators.splits import SPLIT_NAMES, hash_split, one_split
+from linfold.sources.fixtures import (
+    EMBED_FULL_WIDTH, EMBED_WIDTH, embed_points, embed_points_full, embed_text_points, signal_points,
+)
 
 # name -> (loader, feature width)
 FIXTURES = {
     "signal": (signal_points, 3),
     "embed": (embed_points, EMBED_WIDTH),
-    "embed_text": (embed_text_points, EMBED_WIDTH),
+    "embed64": (embed_points_full, EMBED_FULL_WIDTH),
+    "embed_text": (embed_text_points, EMBED_FULL_WIDTH),
 }
 
 # Fixed values of the reference pipeline's settings.
@@ -57,14 +59,9 @@ class Pipeline:
                  fanout: int | None = None, persist: bool = False):
         self.spark = spark
         self.d = d
-        self.points = points
-        if fanout is None:
-            # The two-level tree only pays when map tasks outnumber its
-            # reducers; the scan's partition count is known from planning
-            # alone (no job runs).
-            tasks = points.rdd.getNumPartitions()
-            fanout = default_fanout(points) if tasks > default_fanout(points) else 1
-        self.fanout = fanout
+        # bad points fail every pass that reads features
+        self.points = checked_points(points, d)
+        self.fanout = default_fanout(points) if fanout is None else fanout
         self._persist = persist
         self._lo: float | None = None
         self._lo_known = False
@@ -78,7 +75,8 @@ class Pipeline:
     @property
     def min_label(self) -> float | None:
         if not self._lo_known:
-            self._set_min(self.points.select(F.min("label")).collect()[0][0])
+            lo = tree_agg(self.points, [], [("lo", "min", F.col("label"))], self.fanout)
+            self._set_min(lo.collect()[0][0])
         return self._lo
 
     def _set_min(self, lo: float | None) -> None:
@@ -101,6 +99,11 @@ class Pipeline:
             self._data = data
         return self._data
 
+    @property
+    def unshifted(self) -> DataFrame:
+        """The split points with labels as they came: no pass for the minimum."""
+        return hash_split(self.points)
+
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, name: str = "signal",
                      **kw) -> "Pipeline":
@@ -114,14 +117,21 @@ class Pipeline:
 
     # ---- data ---------------------------------------------------------
     def split(self, name: str) -> DataFrame:
-        return self.data.where(F.col("split") == F.lit(name))
+        if self._persist:  # the stored frame has the split as a column
+            return self.data.where(F.col("split") == F.lit(name))
+        lo = self.min_label
+        return one_split(self.points.withColumn("label", F.col("label") - F.lit(lo)), name)
 
     def moments_frame(self, interactions: bool = False) -> DataFrame:
-        return moments_frame(self.data, self.d, interactions=interactions, fanout=self.fanout)
+        return moments_frame(self.data, self.d, interactions=interactions, fanout=self.fanout,
+                             checked=True)
 
     def moments(self, interactions: bool = False) -> dict[str, Moments]:
         """Per-split moments, one Spark job. The interaction moments contain
         the base moments as their leading block, so they answer both."""
+        if self.wide(interactions):
+            raise ValueError(f"{self.width(interactions)} features are too wide for moments"
+                             f" (over {MOMENTS_MAX_WIDTH}); train on the rows")
         if interactions not in self._moments:
             if not interactions and True in self._moments:
                 self._moments[False] = {k: m.sub(self.d) for k, m in self._moments[True].items()}
@@ -153,7 +163,7 @@ class Pipeline:
             return collect_moments(self.moments_frame(interactions))
         c = float(first[0][0])
         frame = moments_frame(self._shifted_split(F.lit(c)), self.d, interactions=interactions,
-                              fanout=self.fanout, min_of="_label_raw")
+                              fanout=self.fanout, min_of="_label_raw", checked=True)
         got, lo = collect_moments_and_min(frame)
         self._set_min(lo)
         if lo is None:
@@ -166,23 +176,33 @@ class Pipeline:
         return ConstantModel("Baseline", tr.sy / tr.n if tr.n else float("nan"))
 
     def train_mean(self) -> DataFrame:
-        """Lazy one-row ``train_mean``."""
-        return self.split("train").agg(F.avg("label").alias("train_mean"))
+        """Lazy one-row ``train_mean``: mean and label shift in one pass."""
+        y = F.when(F.col("split") == "train", F.col("label"))
+        one = tree_agg(self.unshifted, [], [("s", "sum", y), ("n", "count", y),
+                                            ("lo", "min", F.col("label"))], self.fanout)
+        return one.select((F.col("s") / F.col("n") - F.col("lo")).alias("train_mean"))
 
     def baseline_predictions(self) -> DataFrame:
         """Every point with the training mean (a scalar subquery) as prediction."""
-        mean = self.split("train").select(F.avg("label")).scalar()
+        mean = self.train_mean().scalar()
         return self.data.withColumn("prediction", mean)
 
     def gd(self, num_iters: int = GD_ITERATIONS, alpha: float = GD_ALPHA, eta: float = 0.0,
-           name: str = "LR0") -> tuple[LinearModel, np.ndarray]:
-        w, trace = gradient_descent(self.moments()["train"], num_iters, alpha, eta)
-        return LinearModel(name, w, 0.0, self.d, False,
+           name: str = "LR0", interactions: bool = False) -> tuple[LinearModel, np.ndarray]:
+        if self.wide(interactions):
+            w, trace = gd_rowwise(self.split("train"), self.d, num_iters, alpha, eta, interactions)
+        else:
+            w, trace = gradient_descent(self.moments(interactions)["train"], num_iters, alpha, eta)
+        return LinearModel(name, w, 0.0, self.d, interactions,
                            {"num_iters": num_iters, "alpha": alpha, "eta": eta}), trace
 
     def width(self, interactions: bool = False) -> int:
         return self.d + self.d * self.d if interactions else self.d
 
+    def wide(self, interactions: bool = False) -> bool:
+        """Too wide for D x D moments: every trainer then runs on the rows."""
+        return self.width(interactions) > MOMENTS_MAX_WIDTH
+
     def sgd(self, iterations: int = SGD_ITERATIONS, step: float = SGD_STEP, reg: float = SGD_REG,
             intercept: bool = True, interactions: bool = False, name: str = "LR1",
             snapshots: Sequence[int] = (), mini_batch_fraction: float = 1.0,
@@ -191,22 +211,24 @@ class Pipeline:
         aggregate per iteration) for very wide features or mini-batches.
         ``tol`` is the relative convergence tolerance; 0 runs every iteration
         (the behaviour of library versions without a stop test)."""
-        if mini_batch_fraction < 1.0 or self.width(interactions) > MOMENTS_MAX_WIDTH:
-            train = self.split("train").select("label", "features")
-            if interactions:
-                train = add_interactions(train, self.d)
-            r = sgd_rowwise(train, self.width(interactions), iterations, step, reg, intercept,
-                            tol=tol, mini_batch_fraction=mini_batch_fraction, fanout=self.fanout)
-            return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
-        r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept, tol=tol,
-                snapshots=snapshots)
+        if mini_batch_fraction < 1.0 or self.wide(interactions):
+            r = sgd_rowwise(self.split("train"), self.d, iterations, step, reg, intercept, tol=tol,
+                            mini_batch_fraction=mini_batch_fraction, interactions=interactions,
+                            snapshots=snapshots)
+        else:
+            r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept, tol=tol,
+                    snapshots=snapshots)
         return _model(name, r, self.d, interactions, intercept, step, reg, iterations)
 
     def sgd_runs(self, budgets: Sequence[int], step: float, reg: float,
                  intercept: bool = True, interactions: bool = False) -> dict[int, LinearModel]:
         """One run, answered at every iteration budget."""
-        r = sgd(self.moments(interactions)["train"], max(budgets), step, reg, intercept,
-                snapshots=budgets)
+        if self.wide(interactions):
+            r = sgd_rowwise(self.split("train"), self.d, max(budgets), step, reg, intercept,
+                            interactions=interactions, snapshots=budgets)
+        else:
+            r = sgd(self.moments(interactions)["train"], max(budgets), step, reg, intercept,
+                    snapshots=budgets)
         return {b: _model(f"it{b}", r.snapshots[b], self.d, interactions, intercept, step, reg, b)
                 for b in budgets}
 
@@ -224,12 +246,13 @@ class Pipeline:
         """``(split, model, n, rmse)`` for every model and split, one pass over the
         rows; an empty split gives ``n = 0`` and a null RMSE."""
         names = list(SPLIT_NAMES if splits is None else splits)
-        df = self.data if splits is None else self.data.where(F.col("split").isin(names))
+        df = self.data if splits is None else self.split(names[0]) if len(names) == 1 else \
+            self.data.where(F.col("split").isin(names))
         preds: dict[str, Column] = {k: m.prediction() for k, m in models.items()}
         scored = rmse_many(df, preds, by=("split",), fanout=self.fanout)
         grid = self.spark.createDataFrame([(s, m) for s in names for m in models],
                                           "split string, model string")
-        out = F.broadcast(grid).join(scored, ["split", "model"], "left")
+        out = grid.join(scored, ["split", "model"], "left")
         return out.select("split", "model", F.coalesce("n", F.lit(0)).alias("n"), "rmse")
 
     def rmse_of(self, prediction: Column, splits: Sequence[str] | None = None) -> DataFrame:

@@ -17,14 +17,16 @@ from linfold.operators.features import explode_features, label_range, shift_labe
 from linfold.operators.metrics import label_histogram, residuals
 from linfold.operators.models import ideal_prediction
 from linfold.operators.sampling import first_k
-from linfold.operators.splits import split_sizes
+from linfold.operators.splits import hash_split, random_split, split_sizes
 from linfold.plans import oracle as O
 from linfold.plans import reports, search
 from linfold.plans.pipeline import (
     GD_ITERATIONS, GD_L2_ETA, Pipeline,
 )
-from linfold.sources.fixtures import embed_points, embed_text_points, signal_points
-from linfold.sources.text import feature_width, parse_points, parse_report, points_to_lines
+from linfold.sources.fixtures import (
+    embed_points, embed_points_full, embed_text_points, mixed_lines, signal_points,
+)
+from linfold.sources.text import feature_width, parse_points, parse_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -70,10 +72,10 @@ def _pipe(spark, sf_dir, fixture="signal") -> Pipeline:
 
 
 # ---------------------------------------------------------------- sources
-_E = O.WIDTH["embed"]
+_E = O.WIDTH["embed64"]
 
 
-@register("parse_points", O.with_(O.raw_cte("embed")) +
+@register("parse_points", O.with_(O.raw_cte("embed64")) +
           "SELECT label, " + ", ".join(f"{s9(f'f{k}')} AS f{k}" for k in range(_E)) + " FROM raw")
 def q_parse_points(spark, sf_dir):
     pts = embed_text_points(spark, sf_dir)
@@ -82,28 +84,28 @@ def q_parse_points(spark, sf_dir):
 
 @register("parse_permissive", O.with_(
     O.raw_cte("signal"),
-    "lines AS (SELECT concat_ws(',', label, f0, f1, f2) AS value FROM raw)",
+    "lines AS (SELECT concat_ws(',', label, f0, f1, f2) AS value FROM raw"
+    " UNION ALL SELECT text AS value FROM documents)",
     "parsed AS (SELECT TRY_CAST(toks[1] AS DOUBLE) AS label,"
     " list_transform(toks[2:], lambda t: TRY_CAST(t AS DOUBLE)) AS feats"
     " FROM (SELECT string_split(value, ',') AS toks FROM lines))",
-    "flagged AS (SELECT *, NOT (label IS NULL OR list_bool_or(list_transform(feats,"
-    " lambda x: x IS NULL)) OR len(feats) <> 3) AS ok FROM parsed)") +
+    "flagged AS (SELECT *, coalesce(NOT (label IS NULL OR list_bool_or(list_transform(feats,"
+    " lambda x: x IS NULL)) OR len(feats) <> 3), false) AS ok FROM parsed)") +
     "SELECT count(*) AS n_lines, count(*) FILTER (WHERE ok) AS n_parsed,"
     " count(*) FILTER (WHERE NOT ok) AS n_bad, CAST(min(len(feats)) FILTER (WHERE ok) AS BIGINT)"
     " AS min_width, CAST(max(len(feats)) FILTER (WHERE ok) AS BIGINT) AS max_width FROM flagged")
 def q_parse_permissive(spark, sf_dir):
-    lines = points_to_lines(signal_points(spark, sf_dir), 3)
-    rep = parse_report(parse_points(lines, mode="permissive", expected_width=3))
+    rep = parse_report(parse_points(mixed_lines(spark, sf_dir), mode="permissive", expected_width=3))
     return rep.select("n_lines", "n_parsed", "n_bad", F.col("min_width").cast("bigint"),
                       F.col("max_width").cast("bigint"))
 
 
 @register("feature_width",
-          "SELECT count(*) AS n, CAST(min(len(embedding[1:12])) AS BIGINT) AS min_width,"
-          " CAST(max(len(embedding[1:12])) AS BIGINT) AS max_width,"
-          " min(len(embedding[1:12])) = max(len(embedding[1:12])) AS consistent FROM embeddings")
+          "SELECT count(*) AS n, CAST(min(len(embedding)) AS BIGINT) AS min_width,"
+          " CAST(max(len(embedding)) AS BIGINT) AS max_width,"
+          " min(len(embedding)) = max(len(embedding)) AS consistent FROM embeddings")
 def q_feature_width(spark, sf_dir):
-    fw = feature_width(embed_text_points(spark, sf_dir))
+    fw = feature_width(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "embedding")
     return fw.select("n", F.col("min_width").cast("bigint"), F.col("max_width").cast("bigint"),
                      "consistent")
 
@@ -135,11 +137,11 @@ def q_label_hist_shifted(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- samples, slices
-@register("sample_first_k", O.with_(O.raw_cte("embed"),
+@register("sample_first_k", O.with_(O.raw_cte("embed64"),
                                     "firstk AS (SELECT * FROM raw ORDER BY point_id LIMIT 5)") +
           _long_sql("firstk", _E, extra=", label"))
 def q_sample_first_k(spark, sf_dir):
-    first = first_k(embed_points(spark, sf_dir), 5)
+    first = first_k(embed_points_full(spark, sf_dir), 5)
     return _long(first, ("point_id", "label"))
 
 
@@ -148,11 +150,11 @@ def q_feature_slice(spark, sf_dir):
     return _long(slice_features(embed_points(spark, sf_dir), 3))
 
 
-@register("feature_heatmap", O.with_(O.raw_cte("embed"),
+@register("feature_heatmap", O.with_(O.raw_cte("embed64"),
                                      "firstk AS (SELECT * FROM raw ORDER BY point_id LIMIT 50)") +
           _long_sql("firstk", _E))
 def q_feature_heatmap(spark, sf_dir):
-    return reports.feature_heatmap(embed_points(spark, sf_dir), 50)
+    return reports.feature_heatmap(embed_points_full(spark, sf_dir), 50)
 
 
 # ---------------------------------------------------------------- splits
@@ -165,27 +167,33 @@ def _split_sizes_sql(fx):
 @register("split_sizes", _split_sizes_sql("signal"))
 def q_split_sizes(spark, sf_dir):
     p = _pipe(spark, sf_dir)
-    return split_sizes(p.data, fanout=p.fanout)
+    return split_sizes(p.unshifted, fanout=p.fanout)
 
 
 @register("split_sizes_embed", _split_sizes_sql("embed"))
 def q_split_sizes_embed(spark, sf_dir):
-    p = _pipe(spark, sf_dir, "embed")
-    return split_sizes(p.data, fanout=p.fanout)
+    # sizes need ids only: no feature range is read
+    ids = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("point_id"))
+    return split_sizes(hash_split(ids))
 
 
-@register("random_split_sizes", None)
+@register("random_split_sizes", O.with_(O.raw_cte("signal")) + (
+    "SELECT unnest(['train', 'validation', 'test']) AS split, count(*) AS total,"
+    " true AS sizes_add_up, true AS near_weight FROM raw"))
 def q_random_split_sizes(spark, sf_dir):
-    # Bernoulli range split with seed 42, as randomSplit does; membership
-    # depends on partitioning, so it has no cross-engine oracle.
-    from linfold.operators.splits import random_split
+    # Membership depends on partitioning, so what is compared is what any seed
+    # must give: sizes that add up, each within 5 sigma of its weight.
     p = _pipe(spark, sf_dir)
-    return split_sizes(random_split(p.data.drop("split")))
+    sizes = split_sizes(random_split(p.points), fanout=p.fanout)
+    weight = F.when(F.col("split") == "train", 0.8).otherwise(0.1)
+    sigma = F.sqrt(F.col("total") * weight * (1 - weight))
+    return sizes.select("split", "total", "sizes_add_up",
+                        (F.abs(F.col("n") - F.col("total") * weight) <= 5 * sigma).alias("near_weight"))
 
 
 @register("split_assign", O.with_(O.pts_cte("signal")) + "SELECT point_id, split FROM pts")
 def q_split_assign(spark, sf_dir):
-    return _pipe(spark, sf_dir).data.select("point_id", "split")
+    return _pipe(spark, sf_dir).unshifted.select("point_id", "split")
 
 
 # ---------------------------------------------------------------- baseline
@@ -203,7 +211,8 @@ def q_train_mean(spark, sf_dir):
 def q_baseline_rmse(spark, sf_dir):
     from linfold.operators.metrics import constant_rmse
     p = _pipe(spark, sf_dir)
-    return constant_rmse(p.data, fanout=p.fanout).select("split", r6("rmse").alias("rmse"))
+    # the error of a mean does not change with the label shift
+    return constant_rmse(p.unshifted, fanout=p.fanout).select("split", r6("rmse").alias("rmse"))
 
 
 def _resid_sql(pred: str, src_ctes: str, where: str = "split = 'validation'") -> str:
@@ -239,13 +248,14 @@ def q_residuals_baseline(spark, sf_dir):
 
 # ---------------------------------------------------------------- gradient pieces
 @register("gradient_sum", _SIG + (
-    "SELECT CAST(generate_subscripts(g, 1) - 1 AS BIGINT) AS feature,"
-    f" {O.r6('unnest(g)')} AS mean_gradient FROM (SELECT"
-    " [avg((f0 + f1 + f2 - label) * f0), avg((f0 + f1 + f2 - label) * f1),"
-    " avg((f0 + f1 + f2 - label) * f2)] AS g FROM pts WHERE split = 'train')"))
+    "SELECT CAST(generate_subscripts(s, 1) - 1 AS BIGINT) AS feature,"
+    f" {O.r6('unnest(s) / n')} AS mean_gradient, round(unnest(s), 3) + 0.0 AS gradient FROM (SELECT count(*) AS n,"
+    " [sum((f0 + f1 + f2 - label) * f0), sum((f0 + f1 + f2 - label) * f1),"
+    " sum((f0 + f1 + f2 - label) * f2)] AS s FROM pts WHERE split = 'train')"))
 def q_gradient_sum(spark, sf_dir):
     return reports.gradient_sum(_pipe(spark, sf_dir), [1.0, 1.0, 1.0]) \
-        .select("feature", r6("mean_gradient").alias("mean_gradient"))
+        .select("feature", r6("mean_gradient").alias("mean_gradient"),
+                (F.round("gradient", 3) + F.lit(0.0)).alias("gradient"))
 
 
 @register("gradient_summand", _SIG + (
@@ -354,6 +364,34 @@ for _fx, _sfx in (("signal", ""), ("embed", "_embed")):
             register(_name, _gd_sql(_fx, _eta, _what))(_gd_query(_fx, _eta, _what))
 
 
+# the same descents by the per-iteration row path
+for _eta, _tag in ((0.0, "gd"), (GD_L2_ETA, "gd_l2")):
+    def _rowwise(spark, sf_dir, eta=_eta):
+        from linfold.operators.models import LinearModel
+        from linfold.operators.rowwise import gd_rowwise
+        w, _ = gd_rowwise(_pipe(spark, sf_dir).split("train"), 3, GD_ITERATIONS, 1.0, eta)
+        return LinearModel("rows", w, 0.0, 3).weights_frame(spark).select("feature", r6("weight").alias("weight"))
+    register(f"{_tag}_weights_rowwise", _gd_sql("signal", _eta, "weights"))(_rowwise)
+
+
+# every stored dimension (64): a step at which the descent is stable there
+FULL_ALPHA = 0.1
+
+
+def _full_sql(eta: float) -> str:
+    d = O.WIDTH["embed64"]
+    return O.with_(O.pts_cte("embed64"), O.zp_cte(d, False), O.mom_cte(O.z_names(d, False), False),
+                   O.gd_ctes(d, GD_ITERATIONS, FULL_ALPHA, eta),
+                   f"fw AS (SELECT w FROM gd WHERE i = {GD_ITERATIONS})") + _WEIGHTS_SELECT
+
+
+for _eta, _tag in ((0.0, "gd"), (GD_L2_ETA, "gd_l2")):
+    def _full(spark, sf_dir, eta=_eta):
+        model, _ = _pipe(spark, sf_dir, "embed64").gd(GD_ITERATIONS, FULL_ALPHA, eta)
+        return model.weights_frame(spark).select("feature", r6("weight").alias("weight"))
+    register(f"{_tag}_weights_embed64", _full_sql(_eta))(_full)
+
+
 @register("labeled_prediction", _gd_ctes("signal", 0.0) + (
     f"SELECT point_id, {O.r6('label')} AS label,"
     f" {O.r6(O.predict_expr('fw.w', O.z_names(3, False), False))} AS prediction"

@@ -3,12 +3,10 @@ shared folder for lineage cuts and round-trip files."""
 
 from __future__ import annotations
 
-import hashlib
+import atexit
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,22 +36,21 @@ def get_spark(master: str | None = None, app: str = "linfold",
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    shared_dir(spark)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder
-    created and registered.
-    """
+    Where the session names none, a local master (tests) gets a private folder;
+    on a cluster, whose executors could not see one, this stops."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="linfold-ckpt-")
-        sc.setCheckpointDir(found)
-        found = sc.getCheckpointDir() or found
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="linfold-ckpt-"))
+        found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
@@ -84,42 +81,7 @@ def remove_path(spark: SparkSession, path: str) -> None:
         pass
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def derived_once(spark: SparkSession, tag: str, sources: list[str],
-                 write: Callable[[str], None]) -> str:
-    """Folder holding data derived from ``sources``, written at most once.
-
-    The folder sits under the shared folder and is named by the sources'
-    paths, sizes and modification times, so a changed input gets a new one.
-    It is written to a unique folder and renamed into place; a complete
-    folder (``_SUCCESS``) is reused. Without a file system client (no JVM
-    gateway) every call writes a fresh folder."""
-    try:
-        stamps = []
-        for src in sources:
-            p, fs = _fs(spark, src)
-            st = fs.getFileStatus(p)
-            stamps.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
-    except Exception:  # noqa: BLE001
-        path = scratch_path(spark, tag)
-        write(path)
-        return path
-    key = hashlib.sha1("\n".join(stamps).encode()).hexdigest()[:16]
-    final = f"{shared_dir(spark)}/linfold-{tag}-{key}"
-    done, fs = _fs(spark, f"{final}/_SUCCESS")
-    if fs.exists(done):
-        return final
-    tmp = scratch_path(spark, f"{tag}-tmp")
-    write(tmp)
-    src, _ = _fs(spark, tmp)
-    dst, _ = _fs(spark, final)
-    # rename onto an existing folder would nest ours inside it, so a folder
-    # another writer already placed wins and ours is dropped
-    if fs.exists(dst) or not fs.rename(src, dst):
-        remove_path(spark, tmp)
-    return final
+def at_exit_remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder when the driver ends; for frames that are read
+    lazily after their builder has returned."""
+    atexit.register(remove_path, spark, path)

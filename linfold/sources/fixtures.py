@@ -2,7 +2,8 @@
 
 ``embed_points``  -- 12 min-max-scaled embedding dimensions, label 1990..1999.
 ``signal_points`` -- 3 lineitem features with a label that depends on them.
-``embed_text_points`` -- ``embed_points`` written as text and parsed back.
+``embed_points_full`` -- the same with all 64 dimensions.
+``embed_text_points`` -- ``embed_points_full`` written as text and parsed back.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import sql_double
-from linfold.session import derived_once
+from linfold.operators.aggregates import tree_agg
+from linfold.session import at_exit_remove, scratch_path
 from linfold.sources.text import parse_points, points_to_lines, read_lines, write_lines
 
 TEXT_MIN_PARTITIONS = 2
 
 # Fixed values of the derived fixtures.
 EMBED_WIDTH = 12
+EMBED_FULL_WIDTH = 64
 EMBED_LABEL_BASE = 1990
 SIGNAL_LABEL_EXPR = ("1922 + floor(40*(l_quantity/50) + 30*(l_discount*10)*(l_quantity/50)"
                      " + 10*(l_tax*10))")
@@ -44,8 +47,8 @@ def embed_points(spark: SparkSession, sf_dir: str, d: int = EMBED_WIDTH) -> Data
         (F.lit(EMBED_LABEL_BASE) + F.col("label")).cast("double").alias("label"),
         *[F.col("embedding").getItem(k).cast("double").alias(f"_e{k}") for k in range(d)],
     )
-    rng = raw.agg(*[F.min(f"_e{k}").alias(f"lo{k}") for k in range(d)],
-                  *[F.max(f"_e{k}").alias(f"hi{k}") for k in range(d)]).collect()[0]
+    rng = tree_agg(raw, [], [(f"{name}{k}", kind, f"_e{k}") for k in range(d)
+                             for name, kind in (("lo", "min"), ("hi", "max"))]).collect()[0]
     parts = []
     for k in range(d):
         lo, hi = rng[f"lo{k}"], rng[f"hi{k}"]
@@ -72,20 +75,29 @@ def signal_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embed_points_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embed_points`` with every stored dimension."""
+    return embed_points(spark, sf_dir, EMBED_FULL_WIDTH)
+
+
 def embed_text_points(spark: SparkSession, sf_dir: str, mode: str = "strict",
                       path: str | None = None) -> DataFrame:
-    """embed points written once as text lines, then scanned and parsed.
+    """embed points of full width written as text lines, then scanned and parsed.
 
-    The text is derived once per input table into a folder under the shared
-    checkpoint folder and reused by later queries (``derived_once``); a given
-    ``path`` is written afresh.
+    Each call writes a folder of its own under the shared folder (removed when
+    the driver ends), or the given ``path``: what is parsed is never older than
+    its source.
     """
-    def write(target: str) -> None:
-        write_lines(points_to_lines(embed_points(spark, sf_dir), EMBED_WIDTH), target)
-
     if path is None:
-        path = derived_once(spark, "points-text", [_table_path(sf_dir, "embeddings")], write)
-    else:
-        write(path)
+        path = scratch_path(spark, "points-text")
+        at_exit_remove(spark, path)
+    write_lines(points_to_lines(embed_points_full(spark, sf_dir), EMBED_FULL_WIDTH), path)
     lines = read_lines(spark, path, min_partitions=TEXT_MIN_PARTITIONS)
-    return parse_points(lines, mode=mode, expected_width=EMBED_WIDTH)
+    return parse_points(lines, mode=mode, expected_width=EMBED_FULL_WIDTH)
+
+
+def mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of points among lines that are none: the signal points' text and
+    the documents' texts."""
+    texts = _table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    return points_to_lines(signal_points(spark, sf_dir), 3).unionByName(texts)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linfold.operators.aggregates import tree_agg
+
 
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Scan text lines as ``value STRING``.
@@ -20,7 +22,7 @@ def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None
     natural file splits.
     """
     df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and len(df.inputFiles()) < min_partitions:
         df = df.repartition(min_partitions)
     return df
 
@@ -45,7 +47,7 @@ def parse_points(lines: DataFrame, mode: str = "strict", value_col: str = "value
         raise ValueError("mode must be 'strict' or 'permissive'")
     value = F.col(value_col)
     toks = _tokens(value, sep)
-    label = F.element_at(toks, 1).try_cast("double")
+    label = F.get(toks, F.lit(0)).try_cast("double")
     feats = F.transform(F.slice(toks, 2, F.size(toks) - 1), lambda t: t.try_cast("double"))
     bad = label.isNull() | F.exists(feats, lambda x: x.isNull())
     if expected_width is not None:
@@ -64,20 +66,17 @@ def parse_points(lines: DataFrame, mode: str = "strict", value_col: str = "value
 def parse_report(parsed: DataFrame) -> DataFrame:
     """One-row summary of a permissive parse: lines, good, bad, width range."""
     ok = F.col("parse_ok")
-    return parsed.agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count(F.when(ok, 1)).alias("n_parsed"),
-        F.count(F.when(~ok, 1)).alias("n_bad"),
-        F.min(F.when(ok, F.size("features"))).alias("min_width"),
-        F.max(F.when(ok, F.size("features"))).alias("max_width"),
-    )
+    width = F.when(ok, F.size("features"))
+    return tree_agg(parsed, [], [
+        ("n_lines", "count", F.lit(1)), ("n_parsed", "count", F.when(ok, 1)),
+        ("n_bad", "count", F.when(~ok, 1)), ("min_width", "min", width), ("max_width", "max", width)])
 
 
 def feature_width(points: DataFrame, features: str = "features") -> DataFrame:
     """Width check: ``(n, min_width, max_width, consistent)`` in one pass."""
     w = F.size(features)
-    return points.agg(F.count(F.lit(1)).alias("n"), F.min(w).alias("min_width"),
-                      F.max(w).alias("max_width")) \
+    return tree_agg(points, [], [("n", "count", F.lit(1)), ("min_width", "min", w),
+                                 ("max_width", "max", w)]) \
         .withColumn("consistent", F.col("min_width") == F.col("max_width"))
 
 
