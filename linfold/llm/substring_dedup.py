@@ -48,6 +48,8 @@ WINDOW, GRAM = 13, 4
 GROUP = 10_000  # texts that may share a stretch before its suffixes are dealt out by whole windows
 HELD = 2_000_000  # rows that a task settles at a time
 LAST = (1 << 63) - 1
+TH_BITS = 24
+TH = (1 << TH_BITS) - 1
 ASK, WITNESS, KNOWN = 0, 1, 2
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -124,7 +126,7 @@ def _flush_suffixes(held):
     size = np.diff(np.append(first, len(h)))
     known = owner > np.repeat(owner[first], size) if len(h) else np.zeros(0, bool)
     route = np.where(known, mix(h ^ (owner.view(np.uint64) * np.uint64(31) + p.view(np.uint64))), route)
-    cols = [route.view(np.int64), h.view(np.int64), owner, p.astype(np.int32), np.where(known, KNOWN, ASK).astype(np.int32)]
+    cols = [route.view(np.int64), h.view(np.int64), owner, p, np.where(known, KNOWN, ASK).astype(np.int32)]
     for x in range(0, len(h), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(c[x:x + 100_000]) for c in cols], ["route", "h", "owner", "p", "state"])
 
@@ -133,7 +135,7 @@ def _suffixes(batches, window, gram):
     """The suffixes whose stretch is listed for their text."""
     held, n = [], 0
     for batch in batches:
-        owner = batch.column("owner").to_numpy()
+        owner, th = batch.column("owner").to_numpy(), batch.column("th").to_numpy() & TH
         lists = {c: (batch.column(c).combine_chunks() if hasattr(batch.column(c), "combine_chunks") else batch.column(c)) for c in ("shared", "large")}
         for a, b, data, offsets in segments(batch):
             row, p, first, by_word, grams, least = _windows(data, offsets, window, gram)
@@ -154,7 +156,7 @@ def _suffixes(batches, window, gram):
                 upto[grams[p + k] == least] = k
             large = np.isin(own, pairs("large"))
             end = np.where(large, p + window, p + upto + gram)
-            held.append((by_word.of(p, end), by_word.of(p, p + window), owner[a + row], p - first[row]))
+            held.append((by_word.of(p, end), by_word.of(p, p + window), owner[a + row], ((p - first[row]) << TH_BITS) | th[a + row]))
             n += len(p)
             if n > HELD:
                 yield from _flush_suffixes(held)
@@ -226,11 +228,14 @@ def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
              .join(first.select("th", "owner"), "th"))
     # one text per group of copies goes on, spread by document
     suffixes = (texts.join(lists.hint("shuffle_hash"), ["owner", "th"])
-                .select("owner", "text", "shared", "large")
-                .mapInArrow(lambda it: _suffixes(it, window, gram), "route long, h long, owner long, p int, state int"))
-    starts = (suffixes.repartition("route").sortWithinPartitions("route").mapInArrow(_removed, "owner long, p int")
-              .groupBy("owner").agg(F.collect_list("p").alias("starts")))
-    found = starts.join(first.select("owner", "th"), "owner").select("owner", "th", "starts")
+                .select("owner", "th", "text", "shared", "large")
+                .mapInArrow(lambda it: _suffixes(it, window, gram), "route long, h long, owner long, p long, state int"))
+    # a start carries a few bits of its text's digest, for rows that repeat a doc_id
+    starts = (suffixes.repartition("route").sortWithinPartitions("route").mapInArrow(_removed, "owner long, p long")
+              .groupBy("owner", F.col("p").bitwiseAND(TH).alias("bits"))
+              .agg(F.collect_list(F.shiftright("p", TH_BITS).cast("int")).alias("starts")))
+    found = (starts.join(first.select("owner", "th", F.col("th").bitwiseAND(TH).alias("bits")), ["owner", "bits"])
+             .select("owner", "th", "starts"))
     copies = base.alias("b").join(first.alias("f"), ["th", "sha"]).select(
         "b.owner", "th", "n_words", "sha", (F.col("b.owner") > F.col("f.owner")).alias("copy"))
     return copies, found
