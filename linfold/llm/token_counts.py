@@ -5,8 +5,8 @@ SHA-256 of the tokenizer's file, count. A run digests its texts, joins the
 distinct digests to the stored counts of its tokenizer version, encodes one
 text for each digest that has none, appends these counts, and joins counts back
 to the documents. A group of copies is encoded once, however large: copies are
-found by partial aggregates over digests, and one row of each misses group goes
-to the encoder, spread by digest and doc_id.
+found by partial aggregates over digests, and one row of each group that misses
+goes to the encoder, spread by digest and doc_id.
 
 Defined results: a null text is the empty text with 0 tokens. Rows that repeat a
 doc_id, null doc_ids and empty tables are handled like any others; there is one
@@ -26,6 +26,7 @@ from linfold.llm.common import documents_of
 from linfold.llm.tokens import file_bytes, worker_encoder
 from linfold.session import scratch_path
 
+NULL = -(1 << 63)
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -49,11 +50,12 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
     rows = documents_of(docs).withColumn("digest", F.unhex(F.sha2("text", 256)))
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     stored = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("version") == version)
-    misses = (rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    keyed = rows.select("digest", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)).alias("owner"), "text")
+    misses = (keyed.groupBy("digest").agg(F.min("owner").alias("owner"))
               .join(stored, "digest", "left_anti"))
-    chosen = rows.alias("r").join(
-        misses.hint("shuffle_hash").alias("m"), (F.col("r.digest") == F.col("m.digest")) & F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")),
-        "left_semi").select("digest", "text")
+    # rows that repeat a document are combined inside the tasks
+    once = keyed.groupBy("digest", "owner").agg(F.first("text").alias("text"))
+    chosen = once.join(misses.hint("shuffle_hash"), ["digest", "owner"], "left_semi").select("digest", "text")
     made = chosen.mapInArrow(lambda it: _count(it, kind, content), "digest binary, n_tokens long")
     made.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("version") == version)
