@@ -82,24 +82,36 @@ def grid_search(p: Pipeline, regs=GRID_REGS, incumbent_reg: float = SGD_REG,
     return out, models[str(best)], trial_regs[best]
 
 
-def step_sweep(p: Pipeline, reg: float, steps=SWEEP_STEPS, budgets=SWEEP_ITERATIONS) -> DataFrame:
-    """Trials in nested order (step outer, iteration budget inner); one run per step."""
-    models, meta = {}, {}
-    t = 0
+def _sweep_models(p: Pipeline, reg: float, steps, budgets) -> list[tuple]:
+    """(step, budget, model) in nested order (step outer, iteration budget
+    inner); one run per step."""
+    out = []
     for step in steps:
         runs = p.sgd_runs(budgets, step, reg)
-        for b in budgets:
-            models[str(t)] = runs[b]
-            meta[t] = (float(step), int(b), int(runs[b].info["iterations"]))
-            t += 1
-    scored = p.score(models, ["validation"])
-    trial = F.col("model").cast("int")
+        out += [(float(step), int(b), runs[b]) for b in budgets]
+    return out
+
+
+def step_sweep(p: Pipeline, regs=GRID_REGS, steps=SWEEP_STEPS, budgets=SWEEP_ITERATIONS) -> DataFrame:
+    """The sweep at the grid's best regularisation.
+
+    Which one is best is known only after scoring, so the sweeps of all
+    candidates are scored in the grid's own pass: one pass in all."""
+    trial_regs, grid = grid_trials(p, regs)
+    sweeps = {f"{t}|{k}": trial for t, reg in enumerate(trial_regs)
+              for k, trial in enumerate(_sweep_models(p, reg, steps, budgets))}
+    scored = held(p.score({**grid, **{name: m for name, (_, _, m) in sweeps.items()}}, ["validation"]))
+    best = pick_best({int(r["model"]): r["rmse"] for r in scored.collect() if "|" not in r["model"]},
+                     len(trial_regs))
+    chosen = scored.where(F.col("model").startswith(f"{best}|"))
+    meta = {int(name.split("|")[1]): v for name, v in sweeps.items() if name.startswith(f"{best}|")}
+    trial = F.split("model", r"\|")[1].cast("int")
+    pick = lambda f: F.element_at(_lit_map({k: f(v) for k, v in meta.items()}), trial)
     finite = F.col("rmse").isNotNull() & ~F.isnan("rmse") & (F.col("rmse") < F.lit(float("inf")))
-    return scored.select(
-        trial.cast("bigint").alias("trial"),
-        F.element_at(_lit_map({k: v[0] for k, v in meta.items()}), trial).alias("step"),
-        F.element_at(_lit_map({k: v[1] for k, v in meta.items()}), trial).cast("bigint").alias("num_iters"),
-        F.element_at(_lit_map({k: v[2] for k, v in meta.items()}), trial).cast("bigint").alias("iterations_run"),
+    return chosen.select(
+        trial.cast("bigint").alias("trial"), pick(lambda v: v[0]).alias("step"),
+        pick(lambda v: v[1]).cast("bigint").alias("num_iters"),
+        pick(lambda v: int(v[2].info["iterations"])).cast("bigint").alias("iterations_run"),
         F.when(finite, F.round(F.log10("rmse"), 4) + F.lit(0.0)).alias("log10_rmse"),
         # six digits: a diverged run's error has many more before the point
         F.when(finite, F.format_string("%.5e", "rmse").cast("double")).alias("rmse"),
@@ -310,9 +322,7 @@ def queries(r6):
     # ---- step sweep: the grid's best reg, then four trials
     def _sweep_query(fx, steps=SWEEP_STEPS):
         def run(spark, sf_dir):
-            p = Pipeline.from_fixture(spark, sf_dir, fx)
-            _, _, best_reg = grid_search(p)
-            return step_sweep(p, best_reg, steps)
+            return step_sweep(Pipeline.from_fixture(spark, sf_dir, fx), steps=steps)
         return run
 
     # On the embedding fixture step 10 diverges cleanly (log10 RMSE grows
