@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linfold.operators.features import explode_features, label_range, shift_labels, slice_features
 from linfold.operators.metrics import label_histogram, residuals
@@ -271,21 +270,7 @@ def q_gradient_summand(spark, sf_dir):
     return out.select("point_id", F.col("feature").cast("bigint"), r6("summand").alias("summand"))
 
 
-def _moments_sql(fx: str) -> str:
-    d = O.WIDTH[fx]
-    names = ["n", "y", "yy"] + [f"x{k}" for k in range(d)] + [f"xy{k}" for k in range(d)] + \
-        [f"xx{i}_{j}" for i in range(d) for j in range(i, d)]
-    vals = ["count(*)", "sum(label)", "sum(label*label)"] + [f"sum(f{k})" for k in range(d)] + \
-        [f"sum(f{k}*label)" for k in range(d)] + \
-        [f"sum(f{i}*f{j})" for i in range(d) for j in range(i, d)]
-    sel = ", ".join(f"CAST({v} AS DOUBLE) AS m{i}" for i, v in enumerate(vals))
-    arr = ", ".join(["m0"] + [f"m{i} / m0" for i in range(1, len(vals))])
-    nm = ", ".join(f"'{n}'" for n in names)
-    return O.with_(O.pts_cte(fx), f"mm AS (SELECT split, {sel} FROM pts GROUP BY split)") + (
-        f"SELECT split, unnest([{nm}]) AS term, {O.r6(f'unnest([{arr}])')} AS value FROM mm")
-
-
-@register("moments", _moments_sql("signal"))
+@register("moments", O.moments_sql("signal"))
 def q_moments(spark, sf_dir):
     return reports.moments_table(_pipe(spark, sf_dir)) \
         .select("split", "term", r6("value").alias("value"))

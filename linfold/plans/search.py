@@ -11,7 +11,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linfold.operators.metrics import residuals
 from linfold.operators.models import LinearModel
