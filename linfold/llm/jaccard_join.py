@@ -212,11 +212,15 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
 
 def one_per_component(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns as they came, whose doc_id names their
-    component: the smallest of each. Rows that repeat that doc_id all stay."""
-    stay = jaccard_components(docs.select("doc_id", "text"), shingle, percent).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    component: the smallest of each. Rows that share a doc_id stay if one does.
+    The doc_ids that go, far fewer than those that stay, are stored first, so
+    that Spark knows their size and moves the texts only if it must."""
+    gone = staged(jaccard_components(docs.select("doc_id", "text"), shingle, percent)
+                  .groupBy(F.col("doc_id").alias("gone_id"))
+                  .agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
+                  .where("not stays").select("gone_id"), "gone")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.join(stay, F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
