@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.llm.common import lower_ascii
+from linfold.llm.common import lower_ascii, staged
 from linfold.session import remove_path, scratch_path
 
 MIN_CHARS = 10
@@ -164,18 +164,19 @@ def _maybe(key, keys: pa.Table, filters: pa.Table) -> pa.Table:
 
 # -- lines --------------------------------------------------------------------
 
-def _key(line: Column) -> Column:
-    return lower_ascii(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+def _lowered(line: Column) -> Column:
+    """A-Z lower-cased: by the fast function where all characters are ASCII."""
+    return F.when(F.octet_length(line) == F.length(line), F.lower(line)).otherwise(lower_ascii(line))
 
 
 def line_rows(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, th, i, digest) of every line whose key is long enough; ``th``
     tells apart texts of rows that repeat a doc_id."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return (docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("i", "line"))
-            .select("doc_id", "th", "i", _key(F.col("line")).alias("key"))
+    return (docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode_outer(F.split(text, "\n", -1)).alias("i", "line"))
+            .select("doc_id", "th", "i", F.trim("line", F.lit(" \t\n\v\f\r")).alias("key"))
             .where(F.length("key") >= min_chars)
-            .select("doc_id", "th", "i", F.substring(F.unhex(F.sha2("key", 256)), 1, DIGEST).alias("digest")))
+            .select("doc_id", "th", "i", F.substring(F.unhex(F.sha2(_lowered(F.col("key")), 256)), 1, DIGEST).alias("digest")))
 
 
 class LineIndex:
@@ -219,9 +220,10 @@ class LineIndex:
         self.filters = self._store(filters, "filters")
         self.lines = fresh
 
-    def insert(self, docs: DataFrame) -> LineIndex:
-        """Count the lines of documents; a doc_id already in the index gains the new lines."""
-        new = line_rows(docs, self.min_chars).select("digest", "doc_id").distinct()
+    def insert(self, docs: DataFrame, rows: DataFrame | None = None) -> LineIndex:
+        """Count the lines of documents; a doc_id already in the index gains the
+        new lines. ``rows``: their ``line_rows``, if these are stored already."""
+        new = (line_rows(docs, self.min_chars) if rows is None else rows).select("digest", "doc_id").distinct()
         self._update(self.lines.union(new).distinct() if self.shards else new)
         return self
 
@@ -238,10 +240,10 @@ class LineIndex:
         maybe = asked.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_maybe, "digest binary")
         return self.counts().where("n_docs > 1").join(maybe, "digest", "left_semi").select("digest", "first_doc")
 
-    def clean(self, docs: DataFrame) -> DataFrame:
+    def clean(self, docs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
         """(row, lines, dropped): each row of ``docs`` as a struct, its text's
         lines, and the places of those that the index drops."""
-        rows = line_rows(docs, self.min_chars)
+        rows = line_rows(docs, self.min_chars) if rows is None else rows
         dropped = (rows.join(self.duplicates(rows), "digest")
                    .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
                    .groupBy("doc_id", "th").agg(F.collect_set("i").alias("dropped")))
@@ -256,22 +258,26 @@ class LineIndex:
             remove_path(self.spark, path)
 
 
+def _cleaned(docs: DataFrame, min_chars: int) -> DataFrame:
+    """``docs`` judged against itself; its lines are digested once."""
+    rows = staged(line_rows(docs, min_chars), "lines")
+    return LineIndex(docs.sparkSession, min_chars=min_chars).insert(docs, rows).clean(docs, rows)
+
+
 KEPT_TEXT = ("array_join(transform(array_except(sequence(0, size(lines) - 1), dropped), i -> lines[i]), '\n')")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of every row, its lines judged
     against all of ``docs``."""
-    index = LineIndex(docs.sparkSession, min_chars=min_chars).insert(docs.select("doc_id", "text"))
-    return index.clean(docs.select("doc_id", "text")).select(
+    return _cleaned(docs.select("doc_id", "text"), min_chars).select(
         F.col("row.doc_id").alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),
         F.size("dropped").cast("long").alias("n_dropped"), F.sha2(F.expr(KEPT_TEXT), 256).alias("kept_sha256"))
 
 
 def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with all its columns, ``text`` (and ``n_chars``) without the dropped lines."""
-    index = LineIndex(docs.sparkSession, min_chars=min_chars).insert(docs.select("doc_id", "text"))
-    cleaned = index.clean(docs).select("row", F.expr(KEPT_TEXT).alias("kept"))
+    cleaned = _cleaned(docs, min_chars).select("row", F.expr(KEPT_TEXT).alias("kept"))
     return cleaned.select(*[
         F.col("kept").alias(c) if c == "text" else F.length("kept").cast(docs.schema[c].dataType).alias(c)
         if c == "n_chars" else F.col("row").getField(c).alias(c) for c in docs.columns])
