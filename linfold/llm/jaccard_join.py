@@ -13,14 +13,15 @@ least ``percent`` * union. What is asked for is each document's component.
    the lists it settled itself.
 2. T-occurrence on the lists: with ``c`` lists in common, the overlap is at most
    ``c`` plus what either set has behind its prefix, so a pair is a candidate
-   only from ``c`` lists on. Long lists (over ``LONG``) are not paired with
-   themselves: first each of their classes meets the list's smallest one, and
-   linked classes merge. Then, over all lists, classes of different components
-   that share a list are counted. So the copies of one page, however many, cost
-   a row each, and no link between components is lost.
-3. Search. Candidates are verified in blocks: a component's classes, cut into
-   pieces by the size of their sets, and with each piece the classes to query
-   it with. A block holds inverted lists of whole sets. DivideSkip answers each
+   only from ``c`` lists on. In lists of up to ``LONG`` classes the pairs are
+   counted, a shared long list being assumed wherever both have one more. Long
+   lists are not paired with themselves: each of their classes meets one class,
+   the least of lists it is in, linked classes merge, and then only classes of different
+   components that meet in long lists are counted. So the copies of one page,
+   however many, cost a row each, and no link between components is lost.
+3. Search. Candidates are verified in blocks: the classes whose queries share
+   their least neighbour, cut into pieces by the size of their sets, and with
+   each piece the classes to query it with. A block holds inverted lists of whole sets. DivideSkip answers each
    query: the longest lists (fewer than the required overlap) are put aside,
    the short ones merged, and the classes with enough hits looked up in the
    long ones by binary search.
@@ -75,8 +76,8 @@ def _sizes(batches, shingle):
         yield pa.RecordBatch.from_arrays([batch.column("owner"), pa.array(n, pa.int64()), pa.array(x, pa.int64())], ["owner", "n", "x"])
 
 
-def _distinct_sets(batches, shingle):
-    """The sets of a task, those of copies once, in portions."""
+def _distinct_sets(batches, shingle, portion):
+    """The sets of a task, those of copies once, in portions of so many shingles."""
     held, n, seen = [], 0, set()
     for batch in batches:
         for _, _, data, offsets in segments(batch):
@@ -85,7 +86,7 @@ def _distinct_sets(batches, shingle):
                     seen.add(key)
                     held.append((s, key))
                     n += len(s)
-            if n > 2 * HELD:
+            if n > portion:
                 yield held
                 held, n, seen = [], 0, set()
     if held:
@@ -93,7 +94,7 @@ def _distinct_sets(batches, shingle):
 
 
 def _common(batches, shingle):
-    for held in _distinct_sets(batches, shingle):
+    for held in _distinct_sets(batches, shingle, 2 * HELD):
         a, many = np.unique(np.concatenate([s for s, _ in held]), return_counts=True)
         a, many = a[many >= LOCAL], many[many >= LOCAL]
         if len(a) > HOT:
@@ -103,7 +104,7 @@ def _common(batches, shingle):
 
 
 def _prefixes(batches, shingle, percent, hot):
-    for held in _distinct_sets(batches, shingle):
+    for held in _distinct_sets(batches, shingle, HELD // 2):
         sizes = np.array([len(s) for s, _ in held])
         flat, row = np.concatenate([s for s, _ in held]), np.repeat(np.arange(len(held)), sizes)
         late = np.isin(flat, hot)
@@ -140,7 +141,8 @@ def divide_skip(query: np.ndarray, lists, owners, sizes, percent: int) -> np.nda
 
 
 def _links(key, table: pa.Table, percent: int) -> pa.Table:
-    """The links between a block's queries and all its sets."""
+    """Links between a block's queries and its sets: of those found the ones
+    that join two groups, so a block yields fewer links than it has sets."""
     once = np.unique(table.column("x").to_numpy(), return_index=True)[1]  # rows that repeat a document come alike
     table = table.take(pa.array(once))
     x, ask = table.column("x").to_numpy(), table.column("ask").to_numpy()
@@ -151,8 +153,21 @@ def _links(key, table: pa.Table, percent: int) -> pa.Table:
     flat, owner = flat[order], owner[order]
     start = np.flatnonzero(runs(flat))
     lists = flat[start], start, np.append(start[1:], len(flat))
-    out = [(x[q], x[y]) for q in np.flatnonzero(ask) for y in divide_skip(sets[q], lists, owner, sizes, percent) if y != q]
-    u, v = zip(*out, strict=True) if out else ((), ())
+    up, groups, u, v = list(range(len(sets))), len(sets), [], []
+
+    def root(k):
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+    for q in np.flatnonzero(ask).tolist():
+        if groups == 1:
+            break
+        for y in divide_skip(sets[q], lists, owner, sizes, percent).tolist():
+            if (a := root(q)) != (b := root(y)):
+                up[b] = a
+                groups -= 1
+                u.append(x[q])
+                v.append(x[y])
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
@@ -164,8 +179,7 @@ def _sets_of(batches, shingle):
                 if key == x[a + k]:  # a repeated doc_id may have another text
                     rows.append(a + k)
                     sets.append(s.tobytes())
-        part = batch.select(["x", "blocks"]).take(pa.array(rows, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sets, pa.binary())], ["x", "blocks", "set"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[rows], pa.int64()), pa.array(sets, pa.binary())], ["x", "set"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -176,8 +190,7 @@ def components(edges: DataFrame) -> DataFrame:
         near = (both.join(label, both.v == label.x).groupBy("u").agg(F.min("label").alias("near")))
         new = label.join(near, label.x == near.u).select("x", F.least("label", "near").alias("label"))
         jump = new.select(F.col("x").alias("j"), F.col("label").alias("far"))
-        new = new.join(jump, new.label == jump.j).select("x", F.least("label", "far").alias("label"))
-        new = staged(new, "label")
+        new = staged(new.join(jump, new.label == jump.j).select("x", F.least("label", "far").alias("label")), "label")
         changed = not new.join(label, ["x", "label"], "left_anti").isEmpty()
         unstage(label)
         label = new
@@ -185,21 +198,27 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """(x, set) of the classes in ``wanted`` (x), from one text of each."""
+    ids = staged(wanted.join(classes.select("x", "owner"), "x"), "wanted")
+    return staged(texts.join(ids, "owner").select("x", "text")
+                  .mapInArrow(lambda it: _sets_of(it, shingle), "x long, set binary"), "members")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The links among candidate ``pairs`` (u, v), u the query."""
-    label = components(pairs)
-    load = label.join(classes, "x").groupBy("label").agg(F.sum("n").alias("load"))
-    place = label.join(load, "label").withColumn("pieces", F.ceil(F.col("load") / BLOCK))
+    # a pair's block goes by the least neighbour of its query, which those of one group mostly share
+    label = (pairs.union(pairs.select("v", "u")).toDF("x", "y").groupBy("x").agg(F.min("y").alias("least"))
+             .select("x", F.least("x", "least").alias("label")))
+    located = pairs.join(label, pairs.u == label.x).select("u", "v", "label")
+    load = (located.select("label", F.col("v").alias("x")).distinct().join(classes, "x")
+            .groupBy("label").agg(F.ceil(F.sum("n") / BLOCK).alias("pieces")))
     block = F.struct(F.col("label"), F.pmod(F.xxhash64("v"), F.col("pieces")).alias("piece"))
-    located = pairs.join(place, pairs.v == place.x).select("u", "v", block.alias("block"))
+    located = staged(located.join(load, "label").select("u", "v", block.alias("block")), "blocks")
     members = (located.select(F.col("v").alias("x"), "block", F.lit(False).alias("ask"))
                .union(located.select("u", "block", F.lit(True)))
-               .groupBy("x", "block").agg(F.max("ask").alias("ask"))
-               .groupBy("x").agg(F.collect_list(F.struct("block", "ask")).alias("blocks")))
-    wanted = staged(members.join(classes.select("x", "owner"), "x"), "blocks")
-    sets = (texts.join(wanted, "owner").select("x", "blocks", "text")
-            .mapInArrow(lambda it: _sets_of(it, shingle), wanted.select("x", "blocks").schema.add("set", "binary")))
-    rows = sets.select("x", F.explode("blocks").alias("b"), "set").select("x", "b.block.*", "b.ask", "set")
+               .groupBy("x", "block").agg(F.max("ask").alias("ask")))
+    rows = sets.join(members, "x").select("x", "block.*", "ask", "set")
     return rows.groupBy("label", "piece").applyInArrow(lambda key, t: _links(key, t, percent), "u long, v long")
 
 
@@ -207,7 +226,7 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
     """(u, v) of the counted pairs (u, nu, v, nv, c) that can reach the overlap."""
     behind = lambda n: F.ceil(F.col(n) * percent / 100) - 1
     need = F.ceil(percent * (F.col("nu") + F.col("nv")) / (100 + percent))
-    return shared.where(F.col("c") + F.greatest(behind("nu"), behind("nv")) >= need).select("u", "v")
+    return shared.where(F.col("c") + F.greatest(behind("nu"), behind("nv")) >= need).select("u", "v", "c")
 
 
 def one_per_component(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -225,37 +244,52 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row. ``component_id``
-    is the smallest doc_id reachable by links; ``n_links`` counts the links
-    found from the document's class, enough to connect its component."""
+    is the smallest doc_id reachable by links; ``n_links`` counts those of the
+    document's class that were needed to connect its component."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
     base = staged(texts.mapInArrow(lambda it: _sizes(it, shingle), "owner long, n long, x long"), "sets")
     classes = staged(base.where("n > 0").groupBy("x", "n").agg(F.min("owner").alias("owner")), "classes")
     top = texts.select("text").mapInArrow(lambda it: _common(it, shingle), "a long, many long")
     top = top.groupBy("a").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "a").limit(HOT).select("a")
     hot = np.array([r["a"] for r in top.collect()], np.int64).view(np.uint64)  # at most HOT numbers
-    rows = texts.select("text").mapInArrow(lambda it: _prefixes(it, shingle, percent, hot), "route long, a long, th long, state int")
+    rows = texts.select("text").mapInArrow(lambda it: _prefixes(it, shingle, percent, hot), "route long, th long, b long")
     lists = staged(rows.repartition("route").sortWithinPartitions("route").mapInArrow(_shared_stretches, "th long, a long")
                    .select("a", F.col("th").alias("x")).distinct().join(classes.select("x", "n"), "x"), "lists")
-    links = docs.sparkSession.createDataFrame([], "u long, v long")
     fits = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+
+    def counted(rows):
+        """Candidates among the classes of a list that have different labels."""
+        left, right = (rows.select("a", *[F.col(c).alias(f"{c}{s}") for c in ("x", "n", "label")]) for s in "uv")
+        shared = (left.join(right, (left.a == right.a) & (F.col("xu") < F.col("xv")) & (F.col("labelu") != F.col("labelv")) & fits("nu", "nv"))
+                  .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv").agg(F.count(F.lit(1)).alias("c")))
+        return staged(_candidates(shared, percent).select("u", "v"), "pairs")
+
+    # each class of a long list with the least of a list: of several the one it shares most lists with
     long = staged(lists.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("x", "n")).alias("least")).where(F.col("m") > LONG), "long")
-    if not long.isEmpty():
-        star = (lists.join(long, "a").select(F.col("least.x").alias("u"), F.col("least.n").alias("nu"), F.col("x").alias("v"), F.col("n").alias("nv"))
-                .where((F.col("u") != F.col("v")) & fits("nu", "nv")).groupBy("u", "nu", "v", "nv").agg(F.count(F.lit(1)).alias("c")))
-        pairs = staged(_candidates(star, percent), "pairs")
-        if not pairs.isEmpty():
-            links = staged(_verified(pairs, classes, texts, shingle, percent), "links")
+    star = (lists.join(long, "a").select(F.col("least.x").alias("u"), F.col("least.n").alias("nu"), F.col("x").alias("v"), F.col("n").alias("nv"))
+            .where((F.col("u") != F.col("v")) & fits("nu", "nv")).groupBy("u", "nu", "v", "nv").agg(F.count(F.lit(1)).alias("c")))
+    # and all pairs of short ones, which long lists add at most their number to
+    few = lists.join(long.select("a"), "a", "left_anti")
+    spare = lists.join(long.select("a"), "a", "left_semi").groupBy("x").agg(F.count(F.lit(1)).alias("more"))
+    few = few.join(spare, "x", "left").select("a", "x", "n", F.coalesce("more", F.lit(0)).alias("more"))
+    left, right = (few.select("a", *[F.col(c).alias(f"{c}{s}") for c in ("x", "n", "more")]) for s in "uv")
+    near = (left.join(right, (left.a == right.a) & (F.col("xu") < F.col("xv")) & fits("nu", "nv"))
+            .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv")
+            .agg((F.count(F.lit(1)) + F.least(F.max("moreu"), F.max("morev"))).alias("c")))
+    star = _candidates(star, percent).groupBy("v").agg(F.max(F.struct("c", "u")).alias("best")).select("best.u", "v")
+    first = staged(star.union(_candidates(near, percent).select("u", "v")).distinct(), "pairs")
+    ids = lambda pairs: pairs.select(F.col("u").alias("x")).union(pairs.select("v")).distinct()
+    sets = _sets(ids(first), classes, texts, shingle)
+    links = staged(_verified(first, classes, sets, percent), "links")
+    # what may still link different components meets in a long list
     merged = lists.withColumn("label", F.col("x"))
     if not links.isEmpty():
         merged = lists.join(components(links), "x", "left").withColumn("label", F.coalesce("label", "x"))
-    open_lists = merged.groupBy("a").agg(F.min("label").alias("one"), F.max("label").alias("two")).where("one < two").select("a")
-    merged = staged(merged.join(open_lists, "a", "left_semi").select("a", "x", "n", "label"), "open")
-    left, right = (merged.select("a", *[F.col(c).alias(f"{c}{s}") for c in ("x", "n", "label")]) for s in "uv")
-    shared = (left.join(right, (left.a == right.a) & (F.col("xu") < F.col("xv")) & (F.col("labelu") != F.col("labelv")) & fits("nu", "nv"))
-              .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv").agg(F.count(F.lit(1)).alias("c")))
-    pairs = staged(_candidates(shared, percent), "pairs")
+    pairs = counted(merged.join(long.select("a"), "a", "left_semi"))
     if not pairs.isEmpty():
-        links = staged(links.union(_verified(pairs, classes, texts, shingle, percent)).distinct(), "links")
+        missing = ids(pairs).join(sets.select("x"), "x", "left_anti")
+        sets = sets.union(_sets(missing, classes, texts, shingle))
+        links = staged(links.union(_verified(pairs, classes, sets, percent)).distinct(), "links")
     if links.isEmpty():
         label = classes.select("x", F.col("x").alias("label"))
         degree = None

@@ -48,7 +48,7 @@ WINDOW, GRAM = 13, 4
 GROUP = 10_000  # texts that may share a stretch before its suffixes are dealt out by whole windows
 HELD = 2_000_000  # rows that a task settles at a time
 LAST = (1 << 63) - 1
-TH_BITS = 24
+TH_BITS = 12
 TH = (1 << TH_BITS) - 1
 ASK, WITNESS, KNOWN = 0, 1, 2
 _EMPTY = hashlib.sha256(b"").hexdigest()
@@ -76,13 +76,15 @@ def _flush_stretches(held):
     new = runs(a)
     many = np.diff(np.append(np.flatnonzero(new), len(a)))
     several = np.repeat(many > 1, many)
-    state = np.where(several, KNOWN, ASK)
+    # a row carries its stretch as its route, or, if settled, beside a route that spreads it
+    a = np.where(a <= KNOWN, a + np.uint64(KNOWN + 1), a)
+    b = np.where(several, a, np.uint64(ASK))
     route = np.where(several, mix((a ^ th.view(np.uint64)) + np.uint64(1)), a)
     w = several & new  # one more row of each settled stretch, for the other tasks
-    cols = [np.concatenate([route, a[w]]).view(np.int64), np.concatenate([a, a[w]]).view(np.int64),
-            np.concatenate([th, th[w]]), np.concatenate([state, np.full(int(w.sum()), WITNESS)]).astype(np.int32)]
+    cols = [np.concatenate([route, a[w]]).view(np.int64), np.concatenate([th, th[w]]),
+            np.concatenate([b, np.full(int(w.sum()), WITNESS, np.uint64)]).view(np.int64)]
     for x in range(0, len(cols[0]), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[x:x + 100_000]) for c in cols], ["route", "a", "th", "state"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[x:x + 100_000]) for c in cols], ["route", "th", "b"])
 
 
 def _stretches(batches, window, gram):
@@ -103,10 +105,10 @@ def _stretches(batches, window, gram):
 
 def _shared_stretches(batches):
     """Sorted by route: the texts of stretches that several texts have."""
-    for g in whole_groups(batches, ["route", "a", "th", "state"], "route"):
-        known = g["state"] == KNOWN
-        out = [(g["th"][known], g["a"][known])]
-        a, th, state = g["a"][~known], g["th"][~known], g["state"][~known]
+    for g in whole_groups(batches, ["route", "th", "b"], "route"):
+        known = (g["b"] != ASK) & (g["b"] != WITNESS)
+        out = [(g["th"][known], g["b"][known])]
+        a, th, state = g["route"][~known], g["th"][~known], g["b"][~known]
         if len(a):
             order = np.lexsort((th, a))
             a, th, state = a[order], th[order], state[order]
@@ -126,9 +128,10 @@ def _flush_suffixes(held):
     size = np.diff(np.append(first, len(h)))
     known = owner > np.repeat(owner[first], size) if len(h) else np.zeros(0, bool)
     route = np.where(known, mix(h ^ (owner.view(np.uint64) * np.uint64(31) + p.view(np.uint64))), route)
-    cols = [route.view(np.int64), h.view(np.int64), owner, p, np.where(known, KNOWN, ASK).astype(np.int32)]
+    # a settled start is a negative one; 32 bits deal groups out, the whole digest tells them apart
+    cols = [(route >> np.uint64(32)).astype(np.uint32).view(np.int32), h.view(np.int64), owner, np.where(known, ~p, p)]
     for x in range(0, len(h), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(c[x:x + 100_000]) for c in cols], ["route", "h", "owner", "p", "state"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[x:x + 100_000]) for c in cols], ["route", "h", "owner", "p"])
 
 
 def _suffixes(batches, window, gram):
@@ -167,9 +170,9 @@ def _suffixes(batches, window, gram):
 
 def _removed(batches):
     """Sorted by route: the starts that a smaller document has too."""
-    for g in whole_groups(batches, ["route", "h", "owner", "p", "state"], "route"):
-        known = g["state"] == KNOWN
-        out = [(g["owner"][known], g["p"][known])]
+    for g in whole_groups(batches, ["route", "h", "owner", "p"], "route"):
+        known = g["p"] < 0
+        out = [(g["owner"][known], ~g["p"][known])]
         h, owner, p = g["h"][~known], g["owner"][~known], g["p"][~known]
         if len(h):
             order = np.lexsort((owner, h))
@@ -191,6 +194,7 @@ def _rewritten(batches, window):
                 lo, hi = first[k - a], first[k - a + 1]
                 gone = np.zeros(hi - lo + 1, np.int64)
                 at = np.unique(np.asarray(starts[k].values))
+                at = at[at + window <= hi - lo]
                 np.add.at(gone, at, 1)
                 np.add.at(gone, np.minimum(at + window, hi - lo), -1)
                 kept = np.flatnonzero(np.cumsum(gone[:-1]) == 0) + lo
@@ -220,7 +224,7 @@ def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
     base = staged(prepared.select("owner", "th", n.cast("long").alias("n_words"), F.sha2("norm", 256).alias("sha")), "words")
     first = base.groupBy("th", "sha").agg(F.min("owner").alias("owner"))
     texts = prepared.select("owner", "th", "text")
-    rows = texts.select("th", "text").mapInArrow(lambda it: _stretches(it, window, gram), "route long, a long, th long, state int")
+    rows = texts.select("th", "text").mapInArrow(lambda it: _stretches(it, window, gram), "route long, th long, b long")
     shared = staged(rows.repartition("route").sortWithinPartitions("route").mapInArrow(_shared_stretches, "th long, a long"), "stretches")
     large = shared.groupBy("a").count().where(F.col("count") > group).select("a", F.lit(True).alias("large"))
     lists = (shared.join(large, "a", "left").groupBy("th")
@@ -229,7 +233,7 @@ def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
     # one text per group of copies goes on, spread by document
     suffixes = (texts.join(lists.hint("shuffle_hash"), ["owner", "th"])
                 .select("owner", "th", "text", "shared", "large")
-                .mapInArrow(lambda it: _suffixes(it, window, gram), "route long, h long, owner long, p long, state int"))
+                .mapInArrow(lambda it: _suffixes(it, window, gram), "route int, h long, owner long, p long"))
     # a start carries a few bits of its text's digest, for rows that repeat a doc_id
     starts = (suffixes.repartition("route").sortWithinPartitions("route").mapInArrow(_removed, "owner long, p long")
               .groupBy("owner", F.col("p").bitwiseAND(TH).alias("bits"))
