@@ -78,7 +78,8 @@ def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bits: int =
                  "b -> substring(bytes, cast(b * {0} + 1 as int), {0}))".format(int(block_bytes)))
     blocks = norm.select("key", cut.alias("blocks"))
     named = F.transform("blocks", lambda b: F.struct(_digest(bits, b).alias("h"), F.lit(0).alias("ord")))
-    spread = blocks.select("key", F.posexplode("blocks").alias("i", "block")).withColumn("h", _digest(bits, F.col("block")))
+    # the outer form: the other gets a filter that would normalise a text again for each of its blocks
+    spread = blocks.select("key", F.posexplode_outer("blocks").alias("i", "block")).withColumn("h", _digest(bits, F.col("block")))
     shared = _shared(spread.select("h", "block"), ["block"])
     names = blocks.select("key", named.alias("names")) if shared is None else _renumber(spread, shared, ["block"])
     names = staged(names.withColumn("n_blocks", F.size("names")), "names")
@@ -87,7 +88,7 @@ def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bits: int =
         pairs = F.expr("transform(sequence(0, (size(names) - 1) div 2), j -> "
                        "struct(names[2 * j] as l, try_element_at(names, cast(2 * j + 2 as int)) as r))")
         paired = names.select("key", "n_blocks", "names", F.when(F.size("names") > 1, pairs).alias("pairs"))
-        spread = (paired.select("key", F.posexplode("pairs").alias("i", "p")).select("key", "i", "p.l", "p.r")
+        spread = (paired.select("key", F.posexplode_outer("pairs").alias("i", "p")).where("i is not null").select("key", "i", "p.l", "p.r")
                   .withColumn("h", _digest(bits, F.col("l"), F.col("r"))))
         shared = _shared(spread.select("h", "l", "r"), ["l", "r"])
         if shared is None:  # each row goes on by itself, one name as it is
