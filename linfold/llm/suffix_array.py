@@ -129,7 +129,8 @@ def _settled_runs(batches):
             a, c, owner, span, state = a[order], c[order], owner[order], span[order], state[order]
             first, klass = np.flatnonzero(runs(a)), runs(a, c)
             size = np.diff(np.append(first, len(a)))
-            many = np.repeat(np.add.reduceat(klass.astype(np.int64), first) > 1, size)
+            # a witness stands for several classes, its own too: their rows of that task are ranked singly
+            many = np.repeat((np.add.reduceat(klass.astype(np.int64), first) > 1) | np.logical_or.reduceat(state == WITNESS, first), size)
             kfirst = np.flatnonzero(klass)
             ksize = np.diff(np.append(kfirst, len(a)))
             past = np.repeat((ksize > 1) | (np.maximum.reduceat(state // 4, kfirst) > 0), ksize)

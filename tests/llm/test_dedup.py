@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from helpers import awkward, byte_spans, components, exact, lines, sha, strings, substrings, table, tuples
+from linfold.llm.bytescan import Digests
 from linfold.llm.exact_dedup import exact_dedup
 from linfold.llm.jaccard_join import divide_skip, jaccard_components, one_per_component
 from linfold.llm.line_dedup import Cuckoo, LineIndex, dedup_lines, without_repeated_lines
@@ -156,6 +157,23 @@ def test_bytes_at_half_depth(docs):
     assert all(sha(bytes(r.kept)) == r.kept_sha256 for r in got)
 
 
+@pytest.mark.parametrize("less", [True, False])
+def test_bytes_of_a_class_that_another_task_holds_alone(spark, less):
+    """One task holds a text and a variant of it, another one the text alone,
+    with the text's digest below and above the variant's."""
+    rows = []
+    for k in range(6):
+        x = sha(f"text {k}")[:40]
+        digest = lambda t: Digests(np.frombuffer(t.encode(), np.uint8)).of(np.array([0]), np.array([40]))[0]
+        y = next(x[:-1] + c for c in map(chr, range(33, 127)) if (digest(x) < digest(x[:-1] + c)) == less)
+        rows.append([(k, x), (10 + k, y), (20 + k, x)])
+    parts = [[r for three in rows for r in three[:2]], [three[2] for three in rows]]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(parts, 2).flatMap(list), "doc_id long, text string")
+    assert docs.rdd.getNumPartitions() == 2
+    got = dedup_bytes(docs, 40).collect()
+    assert tuples(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_spans(parts[0] + parts[1], 40)
+
+
 @pytest.mark.parametrize("run", [exact_dedup, jaccard_components, one_per_component, dedup_lines, without_repeated_lines,
                                  dedup_substrings, without_repeated_substrings, dedup_bytes])
 def test_empty_table(nothing, run):
