@@ -2,7 +2,8 @@
 
 A document's set holds the digests of its distinct word shingles; documents
 with equal sets are one class. Two classes link when 100 * intersection is at
-least ``percent`` * union. What is asked for is each document's component.
+least ``percent`` * union. What is asked for is each document's component, and
+the number of its links.
 
 1. Inverted lists. In one order of all shingles, sets that link share one of
    the first ``n - ceil(t * n) + 1`` of each: only these are put into lists.
@@ -26,6 +27,12 @@ least ``percent`` * union. What is asked for is each document's component.
    the short ones merged, and the classes with enough hits looked up in the
    long ones by binary search.
 4. Components by least labels and pointer jumps over the links.
+5. Links. Steps 2 and 3 stop at the links that connect; what they leave out
+lies inside the components. To count all links, each component is cut into
+pieces of about ``BLOCK`` shingles, every two pieces (and each with itself)
+make a block, and DivideSkip answers every class of the one in the other. A
+block sums the sizes of the linked classes, so it sends a row per class and no
+pairs. A set goes into as many blocks as its component has pieces.
 
 Defined results: a null or blank text has no shingles, links with nothing and
 is its own component; fewer words than a shingle are one shingle. Rows that
@@ -128,18 +135,39 @@ def divide_skip(query: np.ndarray, lists, owners, sizes, percent: int) -> np.nda
     # long lists: those that cost more to merge than to probe, fewer than required
     n_long = min(required - 1, int((length > 16 * (1 + np.log2(1 + length))).sum()))
     short = at[n_long:]
-    found, hits = np.unique(owners[ragged(start[short], end[short] - start[short])], return_counts=True)
+    merged = owners[ragged(start[short], end[short] - start[short])]
+    if len(merged) > len(sizes):  # a count per set costs less than sorting the hits
+        hits = np.bincount(merged, minlength=len(sizes))
+        found = np.flatnonzero(hits)
+        hits = hits[found]
+    else:
+        found, hits = np.unique(merged, return_counts=True)
     keep = hits >= required - n_long
     found, hits = found[keep], hits[keep]
     for k, i in enumerate(at[:n_long].tolist()):
         keep = hits >= required - (n_long - k)
         found, hits = found[keep], hits[keep]
         one = owners[start[i]:end[i]]
-        place = np.minimum(np.searchsorted(one, found), len(one) - 1)
-        hits = hits + (one[place] == found)
+        if 8 * len(found) > len(one):  # a mark per set costs less than the searches
+            holds = np.zeros(len(sizes), bool)
+            holds[one] = True
+            hits = hits + holds[found]
+        else:
+            place = np.minimum(np.searchsorted(one, found), len(one) - 1)
+            hits = hits + (one[place] == found)
     return found[100 * hits >= percent * (len(query) + sizes[found] - hits)]
 
 
+def _inverted(sets):
+    """The inverted lists of ``sets``, their owners, and the sizes."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.lexsort((owner, flat))
+    flat, owner = flat[order], owner[order]
+    start = np.flatnonzero(runs(flat))
+    return (flat[start], start, np.append(start[1:], len(flat))), owner, sizes
+
+
 def _links(key, table: pa.Table, percent: int) -> pa.Table:
     """Links between a block's queries and its sets: of those found the ones
     that join two groups, so a block yields fewer links than it has sets."""
@@ -147,12 +175,7 @@ def _links(key, table: pa.Table, percent: int) -> pa.Table:
     table = table.take(pa.array(once))
     x, ask = table.column("x").to_numpy(), table.column("ask").to_numpy()
     sets = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    order = np.lexsort((owner, flat))
-    flat, owner = flat[order], owner[order]
-    start = np.flatnonzero(runs(flat))
-    lists = flat[start], start, np.append(start[1:], len(flat))
+    lists, owner, sizes = _inverted(sets)
     up, groups, u, v = list(range(len(sets))), len(sets), [], []
 
     def root(k):
@@ -171,6 +194,27 @@ def _links(key, table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
+def _degrees(key, table: pa.Table, percent: int) -> pa.Table:
+    """Of each class of two pieces, the documents that it links with in the other
+    one; if they are the same piece, in it, copies of its own text left out."""
+    once = np.unique(table.column("x").to_numpy(), return_index=True)[1]  # rows that repeat a document come alike
+    table = table.take(pa.array(once))
+    piece, many = table.column("piece").to_numpy(), table.column("many").to_numpy()
+    lo, hi = key[1].as_py(), key[2].as_py()
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
+    n, left, right = np.zeros(len(sets), np.int64), np.flatnonzero(piece == lo), np.flatnonzero(piece == hi)
+    if len(left) and len(right):
+        lists, owner, sizes = _inverted([sets[k] for k in right.tolist()])
+        for q in left.tolist():
+            y = right[divide_skip(sets[q], lists, owner, sizes, percent)]
+            if lo == hi:
+                n[q] = many[y].sum() - many[q]  # a set links with itself
+            else:
+                n[q] = many[y].sum()
+                n[y] += many[q]
+    return pa.table({"x": table.column("x"), "n_links": pa.array(n, pa.int64())})
+
+
 def _sets_of(batches, shingle):
     for batch in batches:
         x, rows, sets = batch.column("x").to_numpy(), [], []
@@ -222,6 +266,19 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     return rows.groupBy("label", "piece").applyInArrow(lambda key, t: _links(key, t, percent), "u long, v long")
 
 
+def _all_degrees(label: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, n_links): of each class in ``label`` (x, label) the documents of other
+    classes that it links with. Links lie within components, so all are found."""
+    members = classes.select("x", "n", "many").join(label, "x")
+    load = members.groupBy("label").agg(F.ceil(F.sum("n") / BLOCK).alias("pieces"))
+    piece = F.pmod(F.xxhash64("x"), F.col("pieces"))
+    blocks = (members.join(load, "label").select("x", "many", "label", piece.alias("piece"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other"))
+              .select("x", "many", "label", "piece", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi")))
+    return (sets.join(blocks, "x").select("label", "lo", "hi", "x", "many", "piece", "set").groupBy("label", "lo", "hi")
+            .applyInArrow(lambda key, t: _degrees(key, t, percent), "x long, n_links long")
+            .groupBy("x").agg(F.sum("n_links").alias("n_links")))
+
+
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
     """(u, v) of the counted pairs (u, nu, v, nv, c) that can reach the overlap."""
     behind = lambda n: F.ceil(F.col(n) * percent / 100) - 1
@@ -234,7 +291,7 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     component: the smallest of each. Rows that share a doc_id stay if one does.
     The doc_ids that go, far fewer than those that stay, are stored first, so
     that Spark knows their size and moves the texts only if it must."""
-    gone = staged(jaccard_components(docs.select("doc_id", "text"), shingle, percent)
+    gone = staged(jaccard_components(docs.select("doc_id", "text"), shingle, percent, links=False)
                   .groupBy(F.col("doc_id").alias("gone_id"))
                   .agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays"))
                   .where("not stays").select("gone_id"), "gone")
@@ -242,13 +299,13 @@ def one_per_component(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     return rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("gone_id")), "left_anti").select("row.*")
 
 
-def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, links: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row. ``component_id``
-    is the smallest doc_id reachable by links; ``n_links`` counts those of the
-    document's class that were needed to connect its component."""
+    is the smallest doc_id reachable by links; ``n_links``, left out without
+    ``links``, counts all other rows that the row links with."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
     base = staged(texts.mapInArrow(lambda it: _sizes(it, shingle), "owner long, n long, x long"), "sets")
-    classes = staged(base.where("n > 0").groupBy("x", "n").agg(F.min("owner").alias("owner")), "classes")
+    classes = staged(base.where("n > 0").groupBy("x", "n").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("many")), "classes")
     top = texts.select("text").mapInArrow(lambda it: _common(it, shingle), "a long, many long")
     top = top.groupBy("a").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "a").limit(HOT).select("a")
     hot = np.array([r["a"] for r in top.collect()], np.int64).view(np.uint64)  # at most HOT numbers
@@ -280,29 +337,27 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     first = staged(star.union(_candidates(near, percent).select("u", "v")).distinct(), "pairs")
     ids = lambda pairs: pairs.select(F.col("u").alias("x")).union(pairs.select("v")).distinct()
     sets = _sets(ids(first), classes, texts, shingle)
-    links = staged(_verified(first, classes, sets, percent), "links")
+    joining = staged(_verified(first, classes, sets, percent), "links")
     # what may still link different components meets in a long list
     merged = lists.withColumn("label", F.col("x"))
-    if not links.isEmpty():
-        merged = lists.join(components(links), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    if not joining.isEmpty():
+        merged = lists.join(components(joining), "x", "left").withColumn("label", F.coalesce("label", "x"))
     pairs = counted(merged.join(long.select("a"), "a", "left_semi"))
     if not pairs.isEmpty():
         missing = ids(pairs).join(sets.select("x"), "x", "left_anti")
         sets = sets.union(_sets(missing, classes, texts, shingle))
-        links = staged(links.union(_verified(pairs, classes, sets, percent)).distinct(), "links")
-    if links.isEmpty():
-        label = classes.select("x", F.col("x").alias("label"))
-        degree = None
-    else:
-        label = components(links)
-        degree = links.union(links.select("v", "u")).distinct().groupBy("u").agg(F.count(F.lit(1)).alias("n_links"))
-    named = classes.join(label, "x", "left").withColumn("label", F.coalesce("label", "x"))
+        joining = staged(joining.union(_verified(pairs, classes, sets, percent)).distinct(), "links")
+    label = classes.select("x", F.col("x").alias("label")).limit(0) if joining.isEmpty() else components(joining)
+    named = classes.select("x", "owner", "many").join(label, "x", "left").withColumn("label", F.coalesce("label", "x"))
     least = named.groupBy("label").agg(F.min("owner").alias("least"))
-    named = named.join(least, "label").select("x", "least")
-    named = named.join(degree.withColumnRenamed("u", "x"), "x", "left") if degree is not None else named.withColumn("n_links", F.lit(None).cast("long"))
+    named = named.join(least, "label").select("x", "least", "many")
+    if links:
+        # copies of a text link with each other, and a class's links are those of each of its rows
+        named = (named.join(_all_degrees(label, classes, sets, percent), "x", "left")
+                 .withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("many") - 1))
     kind = docs.schema["doc_id"].dataType
     ident = lambda c: F.when(c != LAST, c).cast(kind)
     return base.join(named, "x", "left").select(
         ident(F.col("owner")).alias("doc_id"), F.col("n").alias("n_shingles"),
         ident(F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("owner"))).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        *[F.coalesce("n_links", F.lit(0)).alias("n_links")] * links)

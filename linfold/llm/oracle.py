@@ -62,6 +62,21 @@ SELECT t.doc_id, coalesce(n, 0) AS n_shingles, min(far) AS component_id
 FROM t JOIN r ON r.doc_id = t.doc_id LEFT JOIN n ON n.doc_id = t.doc_id GROUP BY t.doc_id, n
 """
 
+#: The same with the number of links of each document.
+JACCARD_LINKS = f"""
+SELECT j.*, coalesce(k.n_links, 0) AS n_links FROM ({JACCARD_JOIN}) j LEFT JOIN (
+  WITH t AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, md5(array_to_string(w[p:p + 4], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM t WHERE len(w) > 0)),
+  n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL)
+  SELECT u AS doc_id, count(*) AS n_links FROM o JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+  WHERE 100 * c >= 75 * (x.n + y.n - c) GROUP BY u) k ON k.doc_id = j.doc_id
+"""
+
 
 def url_filter(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(map(str, rules))

@@ -32,7 +32,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(documents(spark, sf_dir), links=False).select("doc_id", "n_shingles", "component_id")
+
+
+def op2_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the join's columns, which its SQL fixes, and the number of all links
+    return jaccard_components(documents(spark, sf_dir))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +78,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, oracle.EXACT_DEDUP),
     "op2_jaccard_join": (op2_jaccard_join, oracle.JACCARD_JOIN),
+    "op2_jaccard_links": (op2_jaccard_links, oracle.JACCARD_LINKS),
     "op3_token_counts": (op3_token_counts, None),
     "op4_url_filter": (op4_url_filter, oracle.url_filter(URL_RULES)),
     "op5_suffix_array_dedup": (op5_suffix_array_dedup, None),

@@ -104,6 +104,15 @@ def components(rows, shingle=5, percent=75):
     return strings((i, len(sets[k]), unorder(least[root(k)]) if sets[k] else i) for k, (i, _) in enumerate(rows))
 
 
+def links(rows, shingle=5, percent=75):
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets.append({tuple(w[k:k + shingle]) for k in range(max(1, len(w) - shingle + 1))} if w else set())
+    linked = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    return strings((i, len(sets[k]), sum(1 for j, s in enumerate(sets) if j != k and linked(sets[k], s))) for k, (i, _) in enumerate(rows))
+
+
 def line_key(x):
     return lower(x.strip(" \t\n\v\f\r"))
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from helpers import awkward, byte_spans, components, exact, lines, sha, strings, substrings, table, tuples
+from helpers import awkward, byte_spans, components, exact, lines, links, sha, strings, substrings, table, tuples
 from linfold.llm.bytescan import Digests
 from linfold.llm.exact_dedup import exact_dedup
 from linfold.llm.jaccard_join import divide_skip, jaccard_components, one_per_component
@@ -43,6 +43,18 @@ def test_components_with_long_lists_and_small_blocks(docs, monkeypatch):
     assert tuples(jaccard_components(docs).collect(), "doc_id", "n_shingles", "component_id") == components(ROWS)
 
 
+@pytest.mark.parametrize("block", [4_000_000, 100])
+def test_links_are_all_counted(spark, docs, block, monkeypatch):
+    """Also where the linked texts fill many pieces."""
+    import linfold.llm.jaccard_join as J
+    monkeypatch.setattr(J, "BLOCK", block)
+    got = jaccard_components(docs).collect()
+    assert tuples(got, "doc_id", "n_shingles", "n_links") == links(ROWS)
+    w = [f"w{k}" for k in range(80)]
+    three = [(k, " ".join([*w[:40], *w[41:], *[f"end{k}"] * (k > 0)])) for k in range(3)]
+    assert [r.n_links for r in jaccard_components(table(spark, three)).collect()] == [2, 2, 2]
+
+
 def test_one_per_component_keeps_columns(docs):
     kept = one_per_component(docs)
     stay = {a for a, _, c in components(ROWS) if a == c}
