@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.session import remove_path, scratch_path
+from linfold.session import at_exit_remove, remove_path, scratch_path
 
 #: The white space of the contracts: space, tab, \n, \v, \f, \r.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -14,9 +14,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder and read back: cuts
-    the lineage, and a lost executor rereads a file."""
+    the lineage, and a lost executor rereads a file. Deleted by ``unstage``, at
+    the latest when the driver ends."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{tag}")
+    at_exit_remove(spark, path)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path

@@ -94,3 +94,39 @@ b AS (
   SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(r_host) + length(r_path) DESC NULLS LAST) AS k FROM m)
 SELECT page_id, host, path, r_host || r_path AS rule, coalesce(r_verdict, 'allow') AS verdict FROM b WHERE k = 1
 """
+
+COLLOCATIONS = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS x(k) WHERE len(w) >= k),
+f AS MATERIALIZED (
+  SELECT lang, phrase, k, count(*) AS f FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM s) GROUP BY ALL),
+n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (
+  SELECT lang, phrase, string_split(phrase, ' ') AS w, k, f AS a FROM f WHERE k >= 2 AND f >= 30),
+b AS (
+  SELECT c.lang, c.phrase, c.k, c.a, x.j, array_to_string(c.w[1:x.j], ' ') AS first, array_to_string(c.w[x.j + 1:], ' ') AS rest
+  FROM c, range(1, 4) AS x(j) WHERE x.j < c.k),
+cuts AS (
+  SELECT b.lang, b.phrase, b.k, b.a, b.j, lf.f AS l, rf.f AS r,
+         CAST((CAST(2000000 AS HUGEINT) * b.a) // (lf.f + rf.f) AS BIGINT) AS score
+  FROM b JOIN f lf ON lf.lang = b.lang AND lf.phrase = b.first JOIN f rf ON rf.lang = b.lang AND rf.phrase = b.rest),
+low AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT c.lang, array_to_string(c.w[y.i:y.i + x.j - 1], ' ') AS phrase, max(c.a) AS longer
+  FROM c, range(2, 4) AS x(j), range(1, 4) AS y(i) WHERE x.j < c.k AND y.i + x.j - 1 <= c.k GROUP BY ALL),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM top JOIN n USING (lang) WHERE rank <= 2000
+"""

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from linfold.llm import oracle
+from linfold.llm import bpe_rounds, oracle
 from linfold.llm.byte_bpe import round_trip
+from linfold.llm.collocations import collocations
 from linfold.llm.common import documents
 from linfold.llm.exact_dedup import exact_dedup
 from linfold.llm.jaccard_join import jaccard_components
@@ -21,6 +22,7 @@ from linfold.llm.substring_dedup import dedup_substrings
 from linfold.llm.suffix_array import dedup_bytes
 from linfold.llm.token_counts import fresh_cache, token_counts
 from linfold.llm.url_filter import judge_urls
+from linfold.llm.whitening import whiten
 
 #: The contract's rules: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -75,6 +77,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).drop("d2")
 
 
+def op11_bpe_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_rounds.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_exact_dedup": (op1_exact_dedup, oracle.EXACT_DEDUP),
     "op2_jaccard_join": (op2_jaccard_join, oracle.JACCARD_JOIN),
@@ -87,4 +101,7 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_substring_dedup": (op8_substring_dedup, oracle.SUBSTRING_DEDUP),
     "op9_packing": (op9_packing, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_bpe_rounds": (op11_bpe_rounds, None),
+    "op12_collocations": (op12_collocations, oracle.COLLOCATIONS),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
