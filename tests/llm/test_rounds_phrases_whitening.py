@@ -72,7 +72,7 @@ def small_file(merges, tokens=()):
     vocab = {c: k for k, c in enumerate(byte_characters().values())}
     for m in merges:
         vocab.setdefault("".join(m), len(vocab))
-    return {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},
+    return {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
             "decoder": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}, "post_processor": None,
             "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
                       "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": vocab, "merges": [list(m) for m in merges]}}
