@@ -3,14 +3,13 @@
 A phrase is a run of up to ``longest`` words of one piece; everything is counted
 per language.
 
-1. Words. Each task counts its words; their sums give the frequent words (with
-   ``least`` occurrences) and each language's number of words. The same scan
-   sends counts of word pairs by digest. Pairs that reach ``least`` set a bit in
-   a table of fixed size, which is broadcast.
+1. Pairs. A first scan counts pairs of words by digest. Pairs that reach
+   ``least`` set a bit in a table of fixed size, which is broadcast.
 2. Phrases. A phrase that occurs often enough holds only pairs that do, so the
-   second scan sends the phrases all of whose pairs have their bit. Phrases are
-   summed as text, and those with ``least`` occurrences are the candidates. The
-   bit table only spares rows: a shared bit or digest never changes a count.
+   second scan sends all words and the phrases all of whose pairs have their
+   bit. They are summed as text: the words give each language's total, and
+   phrases of more words with ``least`` occurrences are the candidates. The bit
+   table only spares rows: a shared bit or digest never changes a count.
 3. Streams. The candidates are range-partitioned and sorted twice: by their
    words (prefix order) and by their words from the last to the first (suffix
    order). In prefix order a phrase comes after its own beginnings and before
@@ -52,8 +51,9 @@ from linfold.llm.common import staged, unstage
 LEAST, LONGEST, COVER, TOP = 30, 4, 80, 2000
 SCALE = 2_000_000
 BITS = 27  # the table of frequent pairs has 2**BITS bits: 16 MB
-HELD = 1_000_000  # distinct phrases, or
+HELD = 2_000_000  # phrases, or
 HELD_BYTES = 64 << 20  # bytes of them, that a task holds before it sends them
+SENT = 100_000  # rows of a batch that it sends
 
 _PARTS = np.zeros(256, bool)  # characters that end a piece
 _PARTS[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -108,73 +108,90 @@ def _segments(batches):
         of = {x: k for k, x in enumerate(dict.fromkeys(names))}
         known = np.array([_language(x) for x in of], np.uint64)
         code = np.array([of[x] for x in names], np.int64)
-        langs = pa.array(list(of), pa.string())
+        langs = list(of)
         for a, b, data, offsets in segments(batch):
             yield langs, _Words(data, offsets, code[a:b], known[code[a:b]])
 
 
+def _merged(digest: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each distinct digest is, in ascending order, its total)."""
+    order = np.argsort(digest, kind="stable")
+    first = np.flatnonzero(np.append(True, digest[order][1:] != digest[order][:-1]))
+    return order[first], np.add.reduceat(many[order], first)
+
+
 class _Held:
-    """Distinct phrases of a task with their counts, sent when they get many."""
+    """Distinct phrases of a task with their counts, by number of words."""
 
     def __init__(self):
-        self.rows, self.n, self.bytes = [], 0, 0
+        self.languages: dict[str, int] = {}
+        self._clear()
 
-    def add(self, words: _Words, langs: pa.Array, at: np.ndarray, n: int):
+    def _clear(self):
+        self.rows, self.n, self.bytes = {}, 0, 0
+
+    def add(self, words: _Words, langs: list[str], at: np.ndarray, n: int):
         if not len(at):
             return
+        code = np.array([self.languages.setdefault(x, len(self.languages)) for x in langs], np.int32)
         digest, once, many = np.unique(words.digests.sliding(n)[at], return_index=True, return_counts=True)
         text = words.cut(at[once], n)
-        self.rows.append((digest, many, text, langs.take(pa.array(words.lang[at[once]])), n))
+        self.rows.setdefault(n, []).append((digest, many, code[words.lang[at[once]]], text))
         self.n += len(once)
         self.bytes += text.nbytes
 
+    def _settle(self):
+        """What is held, each phrase once."""
+        rows, (self.rows, self.n, self.bytes) = self.rows, ({}, 0, 0)
+        for n in sorted(rows):
+            digest, many, code = (np.concatenate([r[k] for r in rows[n]]) for k in range(3))
+            pick, many = _merged(digest, many)
+            text = pa.chunked_array([r[3] for r in rows.pop(n)]).take(pa.array(pick)).combine_chunks()
+            self.rows[n] = [(digest[pick], many, code[pick], text)]
+            self.n += len(pick)
+            self.bytes += text.nbytes
+
     def full(self) -> bool:
-        return self.n >= HELD or self.bytes >= HELD_BYTES
+        if self.n < HELD and self.bytes < HELD_BYTES:
+            return False
+        self._settle()
+        return 2 * self.n >= HELD or 2 * self.bytes >= HELD_BYTES
 
     def send(self):
-        for n in sorted({r[4] for r in self.rows}):
-            rows = [r for r in self.rows if r[4] == n]
-            digest, many = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
-            order = np.argsort(digest, kind="stable")
-            first = np.flatnonzero(np.append(True, digest[order][1:] != digest[order][:-1]))
-            pick = pa.array(order[first])
-            text, lang = (pa.chunked_array([r[k] for r in rows]).take(pick).combine_chunks() for k in (2, 3))
-            yield lang, text, np.full(len(first), n, np.int32), np.add.reduceat(many[order], first), digest[order[first]]
-        self.__init__()
+        self._settle()
+        names = pa.array(list(self.languages), pa.string())
+        for n, [(_, many, code, text)] in self.rows.items():
+            for k in range(0, len(many), SENT):
+                part = text.slice(k, SENT)
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(code[k:k + SENT])), part.cast(pa.string()), pa.array(np.full(len(part), n, np.int32)), pa.array(many[k:k + SENT], pa.int64())],
+                    ["lang", "phrase", "n", "f"])
+        self._clear()
 
 
-def _batch(lang, phrase, n, f, pair):
-    cols = {"lang": lang, "phrase": phrase, "n": pa.array(n, pa.int32()), "pair": pair, "f": pa.array(f, pa.int64())}
-    return pa.RecordBatch.from_arrays([c.cast(pa.string()) if k in ("lang", "phrase") else c for k, c in cols.items()], list(cols))
-
-
-def _counted_words(batches):
-    """Rows of words, and of pairs by digest (their phrase is null)."""
-    held, pairs, n_pairs = _Held(), [], 0
+def _counted_pairs(batches):
+    """Rows (digest of two words, how often a task has them)."""
+    held, n = [], 0
 
     def sent():
-        nonlocal pairs, n_pairs
-        for lang, text, n, f, _ in held.send():
-            yield _batch(lang, text, n, f, pa.nulls(len(n), pa.int64()))
-        if pairs:
-            digest, many = np.concatenate([x for x, _ in pairs]), np.concatenate([c for _, c in pairs])
-            order = np.argsort(digest, kind="stable")
-            first = np.flatnonzero(np.append(True, digest[order][1:] != digest[order][:-1]))
-            none = pa.nulls(len(first), pa.string())
-            yield _batch(none, none, np.full(len(first), 2, np.int32), np.add.reduceat(many[order], first), pa.array(digest[order[first]].view(np.int64)))
-        pairs, n_pairs = [], 0
-    for langs, words in _segments(batches):
-        held.add(words, langs, words.phrases(1), 1)
-        digest, many = np.unique(words.digests.sliding(2)[words.phrases(2)], return_counts=True)
-        pairs.append((digest, many))
-        n_pairs += len(digest)
-        if held.full() or n_pairs >= 4 * HELD:
-            yield from sent()
-    yield from sent()
+        digest, many = (np.concatenate([r[k] for r in held]) for k in (0, 1))
+        pick, many = _merged(digest, many)
+        return pa.RecordBatch.from_arrays([pa.array(digest[pick].view(np.int64)), pa.array(many, pa.int64())], ["pair", "f"])
+    for _, words in _segments(batches):
+        at = words.phrases(2)
+        if len(at):
+            held.append(np.unique(words.digests.sliding(2)[at], return_counts=True))
+            n += len(held[-1][0])
+        if n >= 2 * HELD:
+            yield sent()
+            held, n = [], 0
+    if n:
+        yield sent()
 
 
 def _counted_phrases(batches, table, longest):
-    """Rows of the phrases of two to ``longest`` words whose pairs are all in the table."""
+    """Rows of all words, and of the phrases of two to ``longest`` words whose
+    pairs are all in the table."""
     bits, held = np.frombuffer(table.value, np.uint64), _Held()
     place = np.uint64(len(bits) * 64 - 1)
     for langs, words in _segments(batches):
@@ -182,14 +199,14 @@ def _counted_phrases(batches, table, longest):
         slot = words.digests.sliding(2)[at] & place
         often = np.zeros(len(words.piece) + longest, bool)
         often[at] = (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-        for n in range(2, longest + 1):
+        for n in range(1, longest + 1):
             at = words.phrases(n)
             for k in range(n - 1):
                 at = at[often[at + k]]
             held.add(words, langs, at, n)
         if held.full():
-            yield from (_batch(*row[:4], pa.nulls(len(row[2]), pa.int64())) for row in held.send())
-    yield from (_batch(*row[:4], pa.nulls(len(row[2]), pa.int64())) for row in held.send())
+            yield from held.send()
+    yield from held.send()
 
 
 def _bit_table(pairs: DataFrame, least: int, bits: int) -> bytes:
@@ -258,18 +275,16 @@ def _exact(c: Column) -> Column:
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candidates (lang, phrase, n words, a), frequent words (lang, phrase, f),
-    languages (lang, words counted)), each stored."""
+    languages (lang, words counted)), all stored."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    columns = "lang string, phrase string, n int, pair long, f long"
-    counts = staged(texts.mapInArrow(_counted_words, columns), "words")
-    single = staged(counts.where("n = 1").groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "single")
-    languages = staged(single.groupBy("lang").agg(F.sum("f").alias("total")), "languages")
-    words = staged(single.where(F.col("f") >= least), "frequent")
-    table = docs.sparkSession.sparkContext.broadcast(_bit_table(counts.where("n = 2").select("pair", "f"), least, bits))
-    unstage(counts, single)
-    phrases = staged(texts.mapInArrow(lambda b: _counted_phrases(b, table, longest), columns)
-                     .groupBy("lang", "phrase", "n").agg(F.sum("f").alias("a")).where(F.col("a") >= least), "phrases")
-    return phrases, words, languages
+    pairs = texts.mapInArrow(_counted_pairs, "pair long, f long")
+    table = docs.sparkSession.sparkContext.broadcast(_bit_table(pairs, least, bits))
+    counts = staged(texts.mapInArrow(lambda b: _counted_phrases(b, table, longest), "lang string, phrase string, n int, f long")
+                    .groupBy("lang", "phrase", "n").agg(F.sum("f").alias("a")).where((F.col("n") == 1) | (F.col("a") >= least)), "counts")
+    languages = staged(counts.where("n = 1").groupBy("lang").agg(F.sum("a").alias("total")), "languages")
+    often = staged(counts.where(F.col("a") >= least), "often")
+    unstage(counts)
+    return often.where("n > 1"), often.where("n = 1").select("lang", "phrase", F.col("a").alias("f")), languages
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, cover: int = COVER, top: int = TOP, bits: int = BITS) -> DataFrame:

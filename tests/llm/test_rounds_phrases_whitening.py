@@ -166,14 +166,17 @@ def test_collocations_with_small_limits(spark):
 
 def test_task_holds_few_phrases(monkeypatch):
     import pyarrow as pa
+    from types import SimpleNamespace
     monkeypatch.setattr(phrases, "HELD", 5)
+    monkeypatch.setattr(phrases, "SENT", 2)
     batch = pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 20, "text": ["a b c a b, d", "a b c"] * 20})
     got = Counter()
-    for b in phrases._counted_words([batch] * 3):
+    full = SimpleNamespace(value=np.full(4, ~np.uint64(0)).tobytes())
+    for b in phrases._counted_phrases([batch] * 3, full, 3):
         for r in b.to_pylist():
-            if r["n"] == 1:
-                got[r["lang"], r["phrase"]] += r["f"]
-    assert got["en", "a"] == 120 and got["de", "c"] == 60 and got["en", "d"] == 60
+            got[r["lang"], r["phrase"], r["n"]] += r["f"]
+    assert got["en", "a", 1] == 120 and got["de", "c", 1] == 60 and got["en", "d", 1] == 60 and got["en", "c a b", 3] == 60 and got["de", "a b c", 3] == 60
+    assert sum(r["f"] for b in phrases._counted_pairs([batch] * 3) for r in b.to_pylist()) == 60 * 6
 
 
 def test_no_phrases(spark):
