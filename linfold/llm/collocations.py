@@ -42,6 +42,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +52,7 @@ from linfold.llm.common import staged, unstage
 LEAST, LONGEST, COVER, TOP = 30, 4, 80, 2000
 SCALE = 2_000_000
 BITS = 27  # the table of frequent pairs has 2**BITS bits: 16 MB
+PAIR = np.uint64((1 << 40) - 1)  # the part of a pair's digest that is counted: shorter rows, a shared one spares none
 HELD = 2_000_000  # phrases, or
 HELD_BYTES = 64 << 20  # bytes of them, that a task holds before it sends them
 SENT = 100_000  # rows of a batch that it sends
@@ -161,6 +163,9 @@ class _Held:
         self._settle()
         names = pa.array(list(self.languages), pa.string())
         for n, [(_, many, code, text)] in self.rows.items():
+            order = pc.sort_indices(text)  # neighbours alike: the shuffle's compression halves them
+            text, order = text.take(order), order.to_numpy()
+            many, code = many[order], code[order]
             for k in range(0, len(many), SENT):
                 part = text.slice(k, SENT)
                 yield pa.RecordBatch.from_arrays(
@@ -180,7 +185,7 @@ def _counted_pairs(batches):
     for _, words in _segments(batches):
         at = words.phrases(2)
         if len(at):
-            held.append(np.unique(words.digests.sliding(2)[at], return_counts=True))
+            held.append(np.unique(words.digests.sliding(2)[at] & PAIR, return_counts=True))
             n += len(held[-1][0])
         if n >= 2 * HELD:
             yield sent()
