@@ -201,7 +201,7 @@ def _spectra(batches, centre: np.ndarray):
         yield from _row_table(TaskContext.get().partitionId(), s).to_batches()
 
 
-def _combined(key, table: pa.Table) -> pa.Table:
+def _combined(key, table):
     rows = sorted(table.to_pylist(), key=lambda r: r["part"])
     out, *rest = [Spectrum.of(r["n"], r["mean"], r["eig"], r["vec"]) for r in rows]
     for s in rest:

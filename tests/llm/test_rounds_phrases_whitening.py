@@ -282,7 +282,17 @@ def test_whitening_levels(spark, monkeypatch):
     monkeypatch.setattr(whitening, "FAN", 2)
     rng = np.random.default_rng(4)
     rows = [(k, [float(c) for c in rng.normal(size=4)]) for k in range(90)]
-    check_whitening(whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(9)).collect(), rows, 4)
+    called = []
+    monkeypatch.setattr(whitening, "staged", lambda df, tag, f=whitening.staged: called.append(tag) or f(df, tag))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        got = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(9)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert called.count("spectra") > 2
+    check_whitening(got, rows, 4)
 
 
 def test_deviation_beyond_64_bits(spark):
