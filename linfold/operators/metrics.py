@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linfold.functions.vectors import squared_error
-from linfold.operators.aggregates import default_fanout, tree_agg
+from linfold.operators.aggregates import checked_arrays, default_fanout, tree_agg, vector_sum
 from linfold.operators.features import min_max_scale
+from linfold.operators.models import ConstantModel, LinearModel
+from linfold.operators.rowwise import linear
+
+MATRIX_BYTES = 256 << 20  # of broadcast weights
 
 
 def rmse(pairs: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -39,6 +44,54 @@ def rmse_many(points: DataFrame, predictions: Mapping[str, Column], label: str =
                       F.when(F.col("n") > 0, F.sqrt(F.col("sse") / F.col("n"))).alias("rmse"))
 
 
+def rmse_matrix(points: DataFrame, models: Mapping[str, LinearModel | ConstantModel], d: int,
+                by: str = "split") -> DataFrame:
+    """``rmse_many`` for many or wide models: ``(by, model, n, rmse)``.
+
+    The weights are broadcast as one matrix (models x width, checked against
+    ``MATRIX_BYTES``) and a batch's predictions are one product with it; each
+    task sends one vector of squared-error sums per group. Interaction models are
+    scored as ``w . x + x' W x``. Bad points fail."""
+    names = list(models)
+    plain = [m for m in names if not models[m].interactions]
+    crossed = [m for m in names if models[m].interactions]
+    if sum(8 * len(models[m].weights) for m in names) > MATRIX_BYTES:
+        raise ValueError(f"the weights of {len(names)} models take over {MATRIX_BYTES} bytes: score them in parts")
+    matrix = np.zeros((d, len(plain)))
+    for k, m in enumerate(plain):
+        matrix[:len(models[m].weights), k] = models[m].weights
+    shift = np.array([models[m].intercept for m in plain + crossed])
+    held = points.sparkSession.sparkContext.broadcast((matrix, [models[m].weights for m in crossed], shift))
+
+    def partial(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        matrix, wide, shift = held.value
+        acc: dict[str, np.ndarray] = {}
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            keys, (y, x) = rb.column(0).to_numpy(zero_copy_only=False), checked_arrays(rb, d)
+            with np.errstate(all="ignore"):  # diverged weights give infinite errors
+                scored = np.hstack([x @ matrix, *[linear(x, w, d, True)[:, None] for w in wide]]) + shift
+                errors = np.square(scored - y[:, None])
+                for key in np.unique(keys):
+                    own = errors[keys == key]
+                    vec = acc.setdefault(key, np.zeros(1 + len(shift)))
+                    vec += np.append(len(own), own.sum(axis=0))
+        if acc:
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.string()), pa.array([part] * len(acc), pa.int32()),
+                                              pa.array(list(acc.values()), pa.list_(pa.float64()))], names=[by, "part", "vec"])
+
+    rows = points.select(F.col(by).cast("string").alias(by), F.col("label").cast("double").alias("label"), "features")
+    sums = vector_sum(rows.mapInArrow(partial, f"`{by}` string, part int, vec array<double>"), by)
+    order = F.lit(plain + crossed)
+    return (sums.select(by, F.col("vec")[0].cast("long").alias("n"), F.posexplode(F.slice("vec", 2, len(names))).alias("k", "sse"))
+            .select(by, F.element_at(order, F.col("k") + 1).alias("model"), "n",
+                    F.when(F.col("n") > 0, F.sqrt(F.col("sse") / F.col("n"))).alias("rmse")))
+
+
 def constant_rmse(points: DataFrame, label: str = "label", split: str = "split",
                   fit: str = "train", fanout: int | None = None) -> DataFrame:
     """RMSE per split of the constant model that predicts the mean label of

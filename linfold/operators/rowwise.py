@@ -4,13 +4,14 @@ Each iteration is one pass: a task forms every row's residual once and adds up
 one vector ``[sum err * x (D), sum err, sum err^2, n]`` with numpy; vectors are
 summed in two levels (``vector_sum``) and D + 3 numbers reach the driver. All
 three rules run on it: the plain and L2 descents and the library trainer, with
-snapshots. ``mini_batch_fraction < 1`` samples with seed ``seed + i`` as the
-library trainer does; statistically, not bitwise, equal to it.
+snapshots. ``mini_batch_fraction < 1`` draws by a hash of id and iteration where
+``id_col`` names the rows, which any engine can repeat; otherwise it samples with
+seed ``seed + i`` as the library trainer does, statistically equal to it.
 
 The training rows are staged once as parquet in the shared folder
 (``stage=True``), so each iteration reads a compact ``(label, features)``
-copy instead of re-deriving the rows from the source; interactions are formed
-in the tasks. Every job is a fresh plan over the staged rows, so lineage does
+copy instead of re-deriving the rows from the source; interactions are never
+formed (``linear``). Every job is a fresh plan over the staged rows, so lineage does
 not grow with the iteration count.
 """
 
@@ -20,6 +21,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from linfold.operators.aggregates import checked_arrays, vector_sum
 from linfold.operators.descent import (
@@ -28,6 +30,26 @@ from linfold.operators.descent import (
 from linfold.session import remove_path, stage_parquet
 
 
+def linear(x: np.ndarray, w: np.ndarray, d: int, interactions: bool) -> np.ndarray:
+    """``w . z`` of a batch; with interactions ``w . x + x' W x``, so that a batch
+    takes n x d numbers and not n x (d + d^2)."""
+    if not interactions:
+        return x @ w
+    return x @ w[:d] + ((x @ w[d:].reshape(d, d)) * x).sum(axis=1)
+
+
+def drawn(rows: DataFrame, fraction: float, seed: int, iteration: int, id_col: str) -> DataFrame:
+    """The rows of one iteration's mini-batch: those whose bucket, the first 8
+    hex digits of ``md5('<seed>|<id>|<iteration>')`` mod 1000, is under the fraction.
+    Independent of partitioning, so a lost task draws the same rows again and
+    any SQL engine can repeat the run."""
+    share = fraction * 1000
+    if abs(share - round(share)) > 1e-6:
+        raise ValueError(f"a mini-batch fraction by id must be a multiple of 1/1000: {fraction}")
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"), F.lit(f"|{iteration}")))
+    return rows.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000 < int(round(share)))
+
+
 def gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float = 0.0,
                   interactions: bool = False) -> tuple[np.ndarray, float, float, int]:
     """(sum err * x, sum err, sum err^2, n) with ``err = w.x + b - label``."""
@@ -42,10 +64,10 @@ def gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float = 0.0,
                 continue
             any_rows = True
             y, x = checked_arrays(rb, d)
-            if interactions:
-                x = np.hstack([x, (x[:, :, None] * x[:, None, :]).reshape(len(y), d * d)])
-            err = x @ w + b - y
-            acc[:width] += err @ x
+            err = linear(x, w, d, interactions) + b - y
+            acc[:d] += err @ x
+            if interactions:  # sum err * (x x') without the products of any row
+                acc[d:width] += ((x * err[:, None]).T @ x).ravel()
             acc[width:] += (err.sum(), err @ err, len(y))
         if any_rows:
             yield pa.RecordBatch.from_arrays(
@@ -58,10 +80,10 @@ def gradient_pass(rows: DataFrame, d: int, w: np.ndarray, b: float = 0.0,
     return v[:width], float(v[width]), float(v[width + 1]), int(v[width + 2])
 
 
-def _staged(train: DataFrame, stage: bool, run: Callable[[DataFrame], object]):
+def _staged(train: DataFrame, stage: bool, run: Callable[[DataFrame], object], keys: Iterable[str] = ()):
     if not stage:
         return run(train)
-    staged, path = stage_parquet(train.select("label", "features"), "rowwise-train")
+    staged, path = stage_parquet(train.select(*keys, "label", "features"), "rowwise-train")
     try:
         return run(staged)
     finally:
@@ -84,17 +106,22 @@ def gd_rowwise(train: DataFrame, d: int, num_iters: int, alpha: float = 1.0, eta
 def sgd_rowwise(train: DataFrame, d: int, iterations: int = 100, step: float = 1.0,
                 reg: float = 0.0, intercept: bool = False, tol: float = SGD_CONVERGENCE_TOL,
                 mini_batch_fraction: float = 1.0, seed: int = 42, stage: bool = True,
-                interactions: bool = False, snapshots: Iterable[int] = ()) -> SGDResult:
+                interactions: bool = False, snapshots: Iterable[int] = (),
+                id_col: str | None = None) -> SGDResult:
     """The squared-L2 rule of ``linfold.operators.descent.sgd`` on the rows."""
     width = d + d * d if interactions else d
 
     def run(rows):
         def mean_gradient(w, i):
-            part = rows if mini_batch_fraction >= 1.0 else rows.sample(
-                withReplacement=False, fraction=mini_batch_fraction, seed=seed + i)
+            if mini_batch_fraction >= 1.0:
+                part = rows
+            elif id_col:
+                part = drawn(rows, mini_batch_fraction, seed, i, id_col)
+            else:
+                part = rows.sample(withReplacement=False, fraction=mini_batch_fraction, seed=seed + i)
             g, gb, _, n = gradient_pass(part, d, w[:width], float(w[-1]) if intercept else 0.0, interactions)
             if n == 0:
                 return None
             return (np.append(g, gb) if intercept else g) / n
         return descend_sgd(mean_gradient, width, iterations, step, reg, intercept, tol, snapshots)
-    return _staged(train, stage, run)
+    return _staged(train, stage, run, [id_col] if id_col and mini_batch_fraction < 1.0 else [])

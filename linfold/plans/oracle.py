@@ -177,6 +177,29 @@ def gd_ctes(width: int, num_iters: int, alpha: float = 1.0, eta: float = 0.0,
     )
 
 
+def interact_by_kernel_sql(d: int, reg: float, step: float, iterations: int, fixture: str = "embed64") -> str:
+    """The trainer on [x, all x_i x_j] with an intercept, without a term for any of
+    them: the weights are sums a_r z_r over the training rows plus the intercept's,
+    and z_r . z_s = x_r . x_s + (x_r . x_s)^2, so the a_r are what is descended."""
+    x = "[" + ", ".join(f"f{k}" for k in range(d)) + "]"
+    kernel = "list_dot_product(p.x, t.x) + pow(list_dot_product(p.x, t.x), 2)"
+    return with_(
+        pts_cte(fixture),
+        f"x AS MATERIALIZED (SELECT point_id, split, label, {x} AS x FROM pts)",
+        "t AS MATERIALIZED (SELECT * FROM x WHERE split = 'train')",
+        f"k AS MATERIALIZED (SELECT p.point_id, p.split, p.label, list({kernel} ORDER BY t.point_id) AS k FROM x p CROSS JOIN t"
+        " GROUP BY p.point_id, p.split, p.label)",
+        "tr AS MATERIALIZED (SELECT list(k ORDER BY point_id) AS ks, list(label ORDER BY point_id) AS y, count(*) AS n FROM k WHERE split = 'train')",
+        "r(i, a, b) AS (SELECT 0, list_transform(y, lambda v: CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE) FROM tr UNION ALL"
+        " SELECT i + 1, list_transform(list_zip(a, e), lambda q: q[1] * (1.0 - s * " + _dbl(reg) + ") - s * q[2] / n),"
+        " b * (1.0 - s * " + _dbl(reg) + ") - s * list_sum(e) / n FROM (SELECT i, a, b, n, " + _dbl(step) + " / sqrt(i + 1) AS s,"
+        " list_transform(list_zip(ks, y), lambda q: list_dot_product(q[1], a) + b - q[2]) AS e FROM r CROSS JOIN tr"
+        f" WHERE i < {iterations}))") + (
+        f"SELECT split, CAST({iterations} AS BIGINT) AS iterations_run, CAST({d + d * d} AS BIGINT) AS width,"
+        f" {r6('sqrt(avg(pow(list_dot_product(k, a) + b - label, 2)))')} AS rmse FROM k CROSS JOIN (SELECT a, b FROM r WHERE i = {iterations})"
+        " GROUP BY split")
+
+
 def predict_expr(w: str, zs: Sequence[str], intercept: bool) -> str:
     width = len(zs)
     core = f"list_dot_product({w}[1:{width}], [{', '.join(zs)}])"

@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from linfold.operators.descent import SGD_CONVERGENCE_TOL, gradient_descent, sgd
 from linfold.operators.aggregates import checked_points, default_fanout, tree_agg
-from linfold.operators.metrics import rmse, rmse_many
+from linfold.operators.metrics import rmse, rmse_many, rmse_matrix
 from linfold.operators.models import ConstantModel, LinearModel
 from linfold.operators.moments import (
-    MOMENTS_MAX_WIDTH, Moments, collect_moments, collect_moments_and_min, moments_frame,
+    COLUMNS_MAX_WIDTH, MOMENTS_MAX_WIDTH, Moments, collect_moments_and_min, moments_frame,
 )
 from linfold.operators.rowwise import gd_rowwise, sgd_rowwise
 from linfold.operators.splits import SPLIT_NAMES, hash_split, one_split
+from linfold.operators.tiles import collect_tiles, tiled_moments
+from linfold.session import at_exit_remove, remove_path, scratch_path
 from linfold.sources.fixtures import (
     EMBED_FULL_WIDTH, EMBED_WIDTH, embed_points, embed_points_full, embed_text_points, signal_points,
 )
@@ -51,6 +53,10 @@ HEAT_ITERATIONS = (10, 50, 100, 250, 500, 1000)
 HEAT_REGS = (1e-8, 1e-6, 1e-4, 1e-2, 1e-1, 1.0)
 INTERACT_REG = 1e-10
 
+# Models whose terms are more than this are scored as a matrix product instead of
+# one expression per model; the result is the same.
+MATRIX_TERMS = 512
+
 
 class Pipeline:
     """Holds the split point frame and caches its moments on the driver."""
@@ -66,6 +72,7 @@ class Pipeline:
         self._lo: float | None = None
         self._lo_known = False
         self._data: DataFrame | None = None
+        self._stored: str | None = None
         self._moments: dict[bool, dict[str, Moments]] = {}
 
     # The minimum label is resolved once; every later pass over ``data`` then
@@ -110,18 +117,44 @@ class Pipeline:
         loader, d = FIXTURES[name]
         return cls(spark, loader(spark, sf_dir), d, **kw)
 
+    def store(self) -> "Pipeline":
+        """Write the split rows once, partitioned by split, under the shared folder;
+        later passes read them, and one split reads only its own files."""
+        if self._stored is None:
+            path = scratch_path(self.spark, "split")
+            at_exit_remove(self.spark, path)
+            self.data.write.partitionBy("split").parquet(path)
+            if self._persist:
+                self._data.unpersist()
+            # an empty input leaves no partitions to infer the split's type from
+            self._data = self.spark.read.schema(self.data.schema).parquet(path)
+            self._stored = path
+        return self
+
     def release(self) -> None:
-        """Drop the cached split frame (when built with ``persist=True``)."""
-        if self._data is not None:
+        """Drop the cached split frame (``persist=True``) or the stored one."""
+        if self._stored is not None:
+            remove_path(self.spark, self._stored)
+            self._stored = self._data = None
+        elif self._data is not None:
             self._data.unpersist()
 
     # ---- data ---------------------------------------------------------
     def split(self, name: str) -> DataFrame:
-        if self._persist:  # the stored frame has the split as a column
+        if self._persist or self._stored:  # the kept frame has the split as a column
             return self.data.where(F.col("split") == F.lit(name))
         lo = self.min_label
         return one_split(self.points.withColumn("label", F.col("label") - F.lit(lo)), name)
 
+    def _collected(self, data: DataFrame, interactions: bool, min_of: str | None = None):
+        """The moments of ``data`` per split, and the minimum of ``min_of``, in one
+        pass: a code-generated aggregate for narrow models, tiles for wide ones."""
+        if self.width(interactions) > COLUMNS_MAX_WIDTH:
+            frame = tiled_moments(data, self.d, interactions=interactions, min_of=min_of, checked=True)
+            return collect_tiles(frame, self.d, interactions=interactions)
+        frame = moments_frame(data, self.d, interactions=interactions, fanout=self.fanout, min_of=min_of, checked=True)
+        return collect_moments_and_min(frame)
+
     def moments_frame(self, interactions: bool = False) -> DataFrame:
         return moments_frame(self.data, self.d, interactions=interactions, fanout=self.fanout,
                              checked=True)
@@ -136,7 +169,7 @@ class Pipeline:
             if not interactions and True in self._moments:
                 self._moments[False] = {k: m.sub(self.d) for k, m in self._moments[True].items()}
             elif self._lo_known:
-                got = collect_moments(self.moments_frame(interactions))
+                got = self._collected(self.data, interactions)[0]
             else:
                 got = self._moments_resolving_min(interactions)
             if interactions not in self._moments:
@@ -160,11 +193,9 @@ class Pipeline:
         finite = y.isNotNull() & ~F.isnan(y) & (F.abs(y) < F.lit(float("inf")))
         first = self.points.where(finite).select("label").limit(1).collect()
         if not first:  # no finite label: resolve the minimum by its own pass
-            return collect_moments(self.moments_frame(interactions))
+            return self._collected(self.data, interactions)[0]
         c = float(first[0][0])
-        frame = moments_frame(self._shifted_split(F.lit(c)), self.d, interactions=interactions,
-                              fanout=self.fanout, min_of="_label_raw", checked=True)
-        got, lo = collect_moments_and_min(frame)
+        got, lo = self._collected(self._shifted_split(F.lit(c)), interactions, "_label_raw")
         self._set_min(lo)
         if lo is None:
             return got
@@ -208,13 +239,14 @@ class Pipeline:
             snapshots: Sequence[int] = (), mini_batch_fraction: float = 1.0,
             tol: float = SGD_CONVERGENCE_TOL) -> LinearModel:
         """The library rule. From moments when they are small; on the rows (one
-        aggregate per iteration) for very wide features or mini-batches.
+        aggregate per iteration) for very wide features or mini-batches, which are
+        drawn by a hash of id and iteration.
         ``tol`` is the relative convergence tolerance; 0 runs every iteration
         (the behaviour of library versions without a stop test)."""
         if mini_batch_fraction < 1.0 or self.wide(interactions):
             r = sgd_rowwise(self.split("train"), self.d, iterations, step, reg, intercept, tol=tol,
                             mini_batch_fraction=mini_batch_fraction, interactions=interactions,
-                            snapshots=snapshots)
+                            snapshots=snapshots, id_col="point_id")
         else:
             r = sgd(self.moments(interactions)["train"], iterations, step, reg, intercept, tol=tol,
                     snapshots=snapshots)
@@ -248,8 +280,11 @@ class Pipeline:
         names = list(SPLIT_NAMES if splits is None else splits)
         df = self.data if splits is None else self.split(names[0]) if len(names) == 1 else \
             self.data.where(F.col("split").isin(names))
-        preds: dict[str, Column] = {k: m.prediction() for k, m in models.items()}
-        scored = rmse_many(df, preds, by=("split",), fanout=self.fanout)
+        if sum(len(m.weights) for m in models.values()) > MATRIX_TERMS:
+            scored = rmse_matrix(df, models, self.d)
+        else:
+            preds: dict[str, Column] = {k: m.prediction() for k, m in models.items()}
+            scored = rmse_many(df, preds, by=("split",), fanout=self.fanout)
         grid = self.spark.createDataFrame([(s, m) for s in names for m in models],
                                           "split string, model string")
         out = grid.join(scored, ["split", "model"], "left")

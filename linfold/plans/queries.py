@@ -99,6 +99,42 @@ def q_parse_permissive(spark, sf_dir):
                       F.col("max_width").cast("bigint"))
 
 
+_PARSED = O.with_(
+    O.raw_cte("signal"),
+    "bad AS (SELECT count(*) AS n FROM documents WHERE NOT coalesce(len(string_split(text, ',')) = 4"
+    " AND list_bool_and(list_transform(string_split(text, ','), lambda t: TRY_CAST(t AS DOUBLE) IS NOT NULL)), false))",
+    "pts AS (SELECT *, 'train' AS split FROM (SELECT f0, f1, f2, label - (SELECT min(label) FROM raw) AS label FROM raw))",
+    O.zp_cte(3, False), O.mom_cte(O.z_names(3, False), False),
+    O.gd_ctes(3, GD_ITERATIONS, 1.0, 0.0), f"fw AS (SELECT w FROM gd WHERE i = {GD_ITERATIONS})")
+
+
+@register("train_permissive", _PARSED + (
+    "SELECT CAST((SELECT count(*) FROM lineitem) + (SELECT count(*) FROM documents) AS BIGINT) AS n_lines,"
+    " (SELECT n FROM bad) AS n_bad, CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS feature,"
+    f" {O.r6('unnest(w)')} AS weight FROM fw"))
+def q_train_permissive(spark, sf_dir):
+    model, counts = reports.train_permissive(mixed_lines(spark, sf_dir), 3, GD_ITERATIONS)
+    return model.weights_frame(spark).select(
+        F.lit(counts["n_lines"]).cast("bigint").alias("n_lines"), F.lit(counts["n_bad"]).cast("bigint").alias("n_bad"),
+        "feature", r6("weight").alias("weight"))
+
+
+@register("ml_vectors", O.with_(O.raw_cte("embed64")) + _long_sql("raw", _E))
+def q_ml_vectors(spark, sf_dir):
+    from linfold.functions.vectors import from_ml_vector, to_ml_vector
+    vectors = embed_points_full(spark, sf_dir).select("point_id", to_ml_vector("features").alias("vector"))
+    return _long(vectors.select("point_id", from_ml_vector("vector").alias("features")))
+
+
+@register("ml_vector_summary", O.with_(O.pts_cte("signal")) + (
+    "SELECT split, CAST(generate_subscripts(m, 1) - 1 AS BIGINT) AS feature, n,"
+    f" {O.r6('unnest(m)')} AS mean, {O.r6('unnest(v)')} AS variance FROM (SELECT split, count(*) AS n,"
+    " [avg(f0), avg(f1), avg(f2)] AS m, [var_samp(f0), var_samp(f1), var_samp(f2)] AS v FROM pts GROUP BY split)"))
+def q_ml_vector_summary(spark, sf_dir):
+    return reports.vector_summary(_pipe(spark, sf_dir).unshifted) \
+        .select("split", "feature", "n", r6("mean").alias("mean"), r6("variance").alias("variance"))
+
+
 @register("feature_width",
           "SELECT count(*) AS n, CAST(min(len(embedding)) AS BIGINT) AS min_width,"
           " CAST(max(len(embedding)) AS BIGINT) AS max_width,"
@@ -277,13 +313,21 @@ def q_moments(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- gradient descent (M2, M3)
+# a step at which the descent on every stored dimension (64) is stable
+FULL_ALPHA = 0.1
+
+
+def _alpha(fx: str) -> float:
+    return FULL_ALPHA if fx == "embed64" else 1.0
+
+
 def _gd_ctes(fx: str, eta: float) -> str:
     """Points, moments (no intercept), the recursive descent ``gd`` and the
     final weights ``fw``."""
     d = O.WIDTH[fx]
     zs = O.z_names(d, False)
     return O.with_(O.pts_cte(fx), O.zp_cte(d, False), O.mom_cte(zs, False),
-                   O.gd_ctes(d, GD_ITERATIONS, 1.0, eta),
+                   O.gd_ctes(d, GD_ITERATIONS, _alpha(fx), eta),
                    f"fw AS (SELECT w FROM gd WHERE i = {GD_ITERATIONS})")
 
 
@@ -291,6 +335,11 @@ _WEIGHTS_SELECT = ("SELECT CAST(generate_subscripts(w, 1) - 1 AS BIGINT) AS feat
                    f" {O.r6('unnest(w)')} AS weight FROM fw")
 
 
+def _small_width(fx: str) -> int:
+    """Features of the descent on ten points: three, or all of the full-width form."""
+    return O.WIDTH[fx] if fx == "embed64" else 3
+
+
 def _gd_sql(fx: str, eta: float, what: str) -> str:
     d = O.WIDTH[fx]
     zs = O.z_names(d, False)
@@ -312,11 +361,12 @@ def _gd_sql(fx: str, eta: float, what: str) -> str:
             f" {O.r6(f'sqrt(avg(pow(label - {pred}, 2)))')} AS rmse"
             " FROM zp CROSS JOIN fw WHERE split = 'validation'")
     if what == "small":
+        k = _small_width(fx)
         return O.with_(
             O.pts_cte(fx),
             "small AS (SELECT * FROM pts WHERE split = 'train' ORDER BY point_id LIMIT 10)",
-            O.zp_cte(3, False, src="small"), O.mom_cte(O.z_names(3, False), False),
-            O.gd_ctes(3, 5, 1.0, eta), "fw AS (SELECT w FROM gd WHERE i = 5)") + _WEIGHTS_SELECT
+            O.zp_cte(k, False, src="small"), O.mom_cte(O.z_names(k, False), False),
+            O.gd_ctes(k, 5, _alpha(fx), eta), "fw AS (SELECT w FROM gd WHERE i = 5)") + _WEIGHTS_SELECT
     raise ValueError(what)
 
 
@@ -325,8 +375,8 @@ def _gd_query(fx: str, eta: float, what: str) -> QueryFn:
         p = _pipe(spark, sf_dir, fx)
         name = "LR0" if eta == 0 else "RegularizedLR"
         if what == "small":
-            return reports.gd_small(p, eta=eta)
-        model, trace = p.gd(GD_ITERATIONS, 1.0, eta, name=name)
+            return reports.gd_small(p, k=_small_width(fx), eta=eta, alpha=_alpha(fx))
+        model, trace = p.gd(GD_ITERATIONS, _alpha(fx), eta, name=name)
         if what == "weights":
             return model.weights_frame(spark).select("feature", r6("weight").alias("weight"))
         if what == "trace":
@@ -338,13 +388,13 @@ def _gd_query(fx: str, eta: float, what: str) -> QueryFn:
     return run
 
 
-for _fx, _sfx in (("signal", ""), ("embed", "_embed")):
+for _fx, _sfx in (("signal", ""), ("embed", "_embed"), ("embed64", "_embed64")):
     for _eta, _tag in ((0.0, "gd"), (GD_L2_ETA, "gd_l2")):
         for _what in ("weights", "trace", "val", "small"):
             if _what == "small" and _fx == "signal":
                 continue
             _name = f"{_tag}_{'val_rmse' if _what == 'val' else _what}{_sfx}"
-            if _what == "small":
+            if _what == "small" and _fx == "embed":
                 _name = f"{_tag}_small"
             register(_name, _gd_sql(_fx, _eta, _what))(_gd_query(_fx, _eta, _what))
 
@@ -359,24 +409,6 @@ for _eta, _tag in ((0.0, "gd"), (GD_L2_ETA, "gd_l2")):
     register(f"{_tag}_weights_rowwise", _gd_sql("signal", _eta, "weights"))(_rowwise)
 
 
-# every stored dimension (64): a step at which the descent is stable there
-FULL_ALPHA = 0.1
-
-
-def _full_sql(eta: float) -> str:
-    d = O.WIDTH["embed64"]
-    return O.with_(O.pts_cte("embed64"), O.zp_cte(d, False), O.mom_cte(O.z_names(d, False), False),
-                   O.gd_ctes(d, GD_ITERATIONS, FULL_ALPHA, eta),
-                   f"fw AS (SELECT w FROM gd WHERE i = {GD_ITERATIONS})") + _WEIGHTS_SELECT
-
-
-for _eta, _tag in ((0.0, "gd"), (GD_L2_ETA, "gd_l2")):
-    def _full(spark, sf_dir, eta=_eta):
-        model, _ = _pipe(spark, sf_dir, "embed64").gd(GD_ITERATIONS, FULL_ALPHA, eta)
-        return model.weights_frame(spark).select("feature", r6("weight").alias("weight"))
-    register(f"{_tag}_weights_embed64", _full_sql(_eta))(_full)
-
-
 @register("labeled_prediction", _gd_ctes("signal", 0.0) + (
     f"SELECT point_id, {O.r6('label')} AS label,"
     f" {O.r6(O.predict_expr('fw.w', O.z_names(3, False), False))} AS prediction"

@@ -10,19 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linfold.functions.vectors import dot
+from linfold.functions.vectors import dot, from_ml_vector, to_ml_vector
 from linfold.operators.aggregates import tree_agg
 from linfold.operators.descent import gradient_descent
 from linfold.operators.features import add_interactions, explode_features, min_max_scale
-from linfold.operators.moments import Moments, collect_moments, moments_frame
+from linfold.operators.moments import Moments, collect_moments, collect_moments_and_min, moments_frame
 from linfold.operators.models import LinearModel
 from linfold.plans import oracle as O
 from linfold.plans.pipeline import (
     GD_ITERATIONS, GD_L2_ETA, INTERACT_REG, SGD_ITERATIONS, SGD_STEP, Pipeline,
 )
+from linfold.operators.tiles import tile_report, tiled_moments
+from linfold.sources.text import observed_points, parse_points, parse_report
 
 
 INTERACT_EMBED_STEP = 0.1
+# 64 features and 4,096 products: the row path; at this step the first iterations don't amplify
+INTERACT_FULL_STEP, INTERACT_FULL_ITERATIONS = 0.001, 15
 
 
 def label_histograms(points: DataFrame) -> DataFrame:
@@ -89,18 +93,45 @@ def trace_table(spark: SparkSession, trace: np.ndarray) -> DataFrame:
                      r6("scaled_ln_rmse").alias("scaled_ln_rmse"))
 
 
-def gd_small(p: Pipeline, n: int = 10, k: int = 3, iters: int = 5, eta: float = 0.0) -> DataFrame:
+def gd_small(p: Pipeline, n: int = 10, k: int = 3, iters: int = 5, eta: float = 0.0, alpha: float = 1.0) -> DataFrame:
     """Descent on the first ``n`` training points (by id), first ``k`` features."""
     from linfold.operators.sampling import first_k
     small = first_k(p.split("train"), n)
     small = small.withColumn("features", F.slice("features", 1, k))
     m = collect_moments(moments_frame(small, k, fanout=1)).get("train", Moments.empty(k))
-    w, _ = gradient_descent(m, iters, 1.0, eta)
+    w, _ = gradient_descent(m, iters, alpha, eta)
     model = LinearModel("small", w, 0.0, k)
     spark = p.spark
     return model.weights_frame(spark).select("feature", (F.round("weight", 6) + F.lit(0.0)).alias("weight"))
 
 
+def train_permissive(lines: DataFrame, d: int, iters: int = GD_ITERATIONS, alpha: float = 1.0) -> tuple[LinearModel, dict]:
+    """The plain descent on the good lines among ``lines`` and ``{n_lines, n_bad}``,
+    in one pass: the moments, the minimum label that they are shifted by, and the
+    counts of the parse, which ride along (``DataFrame.observe``)."""
+    points, seen = observed_points(lines, d)
+    rows = points.select(F.lit("all").alias("split"), "label", F.col("label").alias("_label_raw"), "features")
+    got, lo = collect_moments_and_min(moments_frame(rows, d, min_of="_label_raw"))
+    if got:
+        m, counts = got["all"].shifted(-lo), seen.get
+    else:  # no good line: the plan ends before its counts, which are then taken by themselves
+        m, all_bad = Moments.empty(d), parse_report(parse_points(lines, mode="permissive", expected_width=d)).first()
+        counts = {k: all_bad[k] for k in ("n_lines", "n_bad")}
+    w, _ = gradient_descent(m, iters, alpha)
+    return LinearModel("permissive", w, 0.0, d), counts
+
+
+def vector_summary(points: DataFrame, by: str = "split") -> DataFrame:
+    """``(by, feature, n, mean, variance)`` by the ML library's own summary of a
+    vector column; one partial summary per task and group."""
+    from pyspark.ml.stat import Summarizer
+    vectors = points.select(by, to_ml_vector("features").alias("vector"))
+    got = vectors.groupBy(by).agg(Summarizer.metrics("count", "mean", "variance").summary(F.col("vector")).alias("s"))
+    pairs = F.arrays_zip(from_ml_vector("s.mean").alias("mean"), from_ml_vector("s.variance").alias("variance"))
+    return got.select(by, F.col("s.count").alias("n"), F.posexplode(pairs).alias("feature", "p")) \
+        .select(by, F.col("feature").cast("bigint").alias("feature"), "n", "p.mean", "p.variance")
+
+
 def model_report(p: Pipeline, with_interactions: bool = True) -> DataFrame:
     """``(split, model, rmse)``: the baseline on every split, each model on
     validation, the interaction model also on test.
@@ -245,6 +276,37 @@ def queries(r6):
         return moments_table(Pipeline.from_fixture(spark, sf_dir, "embed64")) \
             .select("split", "term", r6("value").alias("value"))
 
+    # ---- 4,160 terms: all two-way products of the stored dimensions, never formed for a row
+    df = O.WIDTH["embed64"]
+
+    @reg("interact_embed64", O.interact_by_kernel_sql(df, INTERACT_REG, INTERACT_FULL_STEP, INTERACT_FULL_ITERATIONS))
+    def _ie64(spark, sf_dir):
+        p = Pipeline.from_fixture(spark, sf_dir, "embed64")
+        m = p.sgd(INTERACT_FULL_ITERATIONS, INTERACT_FULL_STEP, INTERACT_REG, True, interactions=True, name="LRInteract", tol=0.0)
+        return p.score({"LRInteract": m}).select(
+            "split", F.lit(int(m.info["iterations"])).cast("bigint").alias("iterations_run"),
+            F.lit(len(m.weights)).cast("bigint").alias("width"), r6("rmse").alias("rmse"))
+
+    # the 1,056 x 1,056 moments of 32 dimensions and their products, by tile
+    dt = 32
+    base32 = "[" + ", ".join(f"f{k}" for k in range(dt)) + "]"
+
+    @reg("moments_tiled", O.with_(
+        O.pts_cte("embed64"),
+        "z AS (SELECT split, label, list_concat(f, flatten(list_transform(f, lambda a: list_transform(f, lambda b: a * b)))) AS z"
+        f" FROM (SELECT split, label, {base32} AS f FROM pts))",
+        "zl AS (SELECT *, list_sum(z) AS total FROM z)")
+         + ("SELECT split, CAST(k - 1 AS BIGINT) AS feature, " + O.r6("sum(v * total) / count(*)") + " AS row_mean, "
+            + O.r6("sum(v * v) / count(*)") + " AS square_mean, " + O.r6("sum(v * label) / count(*)") + " AS label_mean"
+            " FROM (SELECT split, label, total, unnest(z) AS v, generate_subscripts(z, 1) AS k FROM zl) GROUP BY split, k"))
+    def _mt(spark, sf_dir):
+        p = Pipeline.from_fixture(spark, sf_dir, "embed64")
+        rows = p.data.withColumn("features", F.slice("features", 1, dt))
+        sizes = p.data.groupBy("split").count()
+        mean = lambda c: r6(F.col(c) / F.col("count"))
+        return tile_report(tiled_moments(rows, dt, interactions=True), dt, interactions=True).join(sizes, "split").select(
+            "split", "feature", mean("row_sum").alias("row_mean"), mean("square_sum").alias("square_mean"), mean("label_sum").alias("label_mean"))
+
     # ---- model report
     from linfold.plans.search import _grid_sql_parts
     gbase, _ = _grid_sql_parts("signal")

@@ -12,16 +12,18 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfold.operators.metrics import residuals
-from linfold.operators.models import LinearModel
+from linfold.operators.metrics import residuals, rmse_matrix
+from linfold.operators.models import LinearModel, load_models, save_models
 from linfold.plans import oracle as O
 from linfold.plans.pipeline import (
     GD_ITERATIONS, GRID_REGS, HEAT_ITERATIONS, HEAT_REGS, SGD_ITERATIONS, SGD_REG, SGD_STEP,
     SWEEP_ITERATIONS, SWEEP_STEPS, Pipeline,
 )
+from linfold.session import remove_path, scratch_path
 
 
 STABLE_STEPS = (1e-5, 1.0)
+MINI_FRACTION, MINI_ITERATIONS = 0.3, 20
 
 
 def _lit_map(values: dict) -> Column:
@@ -91,12 +93,12 @@ def _sweep_models(p: Pipeline, reg: float, steps, budgets) -> list[tuple]:
     return out
 
 
-def step_sweep(p: Pipeline, regs=GRID_REGS, steps=SWEEP_STEPS, budgets=SWEEP_ITERATIONS) -> DataFrame:
+def step_sweep(p: Pipeline, regs=GRID_REGS, steps=SWEEP_STEPS, budgets=SWEEP_ITERATIONS, grid_step: float = SGD_STEP) -> DataFrame:
     """The sweep at the grid's best regularisation.
 
     Which one is best is known only after scoring, so the sweeps of all
     candidates are scored in the grid's own pass: one pass in all."""
-    trial_regs, grid = grid_trials(p, regs)
+    trial_regs, grid = grid_trials(p, regs, step=grid_step)
     sweeps = {f"{t}|{k}": trial for t, reg in enumerate(trial_regs)
               for k, trial in enumerate(_sweep_models(p, reg, steps, budgets))}
     scored = held(p.score({**grid, **{name: m for name, (_, _, m) in sweeps.items()}}, ["validation"]))
@@ -115,8 +117,10 @@ def step_sweep(p: Pipeline, regs=GRID_REGS, steps=SWEEP_STEPS, budgets=SWEEP_ITE
         # six digits: a diverged run's error has many more before the point
         F.when(finite, F.format_string("%.5e", "rmse").cast("double")).alias("rmse"),
         finite.alias("finite")).withColumn(
-        "line", F.format_string("alpha = %.0e, numIters = %d, RMSE = %.3e",
-                                F.col("step"), F.col("num_iters"), F.col("rmse")))
+        # three decimals; a diverged run's error, of more digits than a double holds, by its exponent
+        "line", F.format_string("alpha = %.0e, numIters = %d, RMSE = %s", F.col("step"), F.col("num_iters"),
+                                F.when(F.col("rmse") < 1e9, F.format_string("%.3f", "rmse"))
+                                .otherwise(F.format_string("%.3e", "rmse"))))
 
 
 def iter_reg_grid(p: Pipeline, budgets=HEAT_ITERATIONS, regs=HEAT_REGS,
@@ -165,11 +169,20 @@ def _val_rmse_sql(pred: str, src: str = "zp", where: str = "split = 'validation'
     return f"sqrt(avg(pow(label - {pred}, 2)))"
 
 
+# A step at which trainings on all 64 dimensions are stable: times the largest
+# eigenvalue of the mean Gram matrix (about 17) it stays under 2.
+FULL_STEP = 0.1
+
+
+def base_step(fx: str) -> float:
+    return FULL_STEP if fx == "embed64" else SGD_STEP
+
+
 def _grid_sql_parts(fx: str):
     d = O.WIDTH[fx]
     zs = O.z_names(d, False)
     regs = [SGD_REG, *GRID_REGS]
-    trials = [(t, r, SGD_STEP, SGD_ITERATIONS) for t, r in enumerate(regs)]
+    trials = [(t, r, base_step(fx), SGD_ITERATIONS) for t, r in enumerate(regs)]
     pred = O.predict_expr("f.w", zs, True)
     scored = ("gscore AS (SELECT f.trial, p.reg, f.iters_run, "
               f"{_val_rmse_sql(pred)} AS rmse FROM sgd_fin f JOIN sgd_p p ON f.trial = p.trial"
@@ -202,8 +215,9 @@ def _sweep_sql(fx: str, steps=SWEEP_STEPS) -> str:
         " CASE WHEN isfinite(s.rmse) THEN round(log10(s.rmse), 4) + 0.0 END AS log10_rmse,"
         " CASE WHEN isfinite(s.rmse) THEN CAST(printf('%.5e', s.rmse) AS DOUBLE) END AS rmse,"
         " coalesce(isfinite(s.rmse), false) AS finite,"
-        " printf('alpha = %.0e, numIters = %d, RMSE = %.3e', t.step, t.iters,"
-        " CAST(printf('%.5e', s.rmse) AS DOUBLE)) AS line"
+        " printf('alpha = %.0e, numIters = %d, RMSE = %s', t.step, t.iters,"
+        " CASE WHEN s.rmse < 1e9 THEN printf('%.3f', CAST(printf('%.5e', s.rmse) AS DOUBLE))"
+        " ELSE printf('%.3e', CAST(printf('%.5e', s.rmse) AS DOUBLE)) END) AS line"
         " FROM sw_score s JOIN sw_t t ON s.trial = t.trial")
 
 
@@ -216,15 +230,15 @@ def queries(r6):
             return fn
         return deco
 
-    for fx, sfx in (("signal", ""), ("embed", "_embed")):
+    for fx, sfx in (("signal", ""), ("embed", "_embed"), ("embed64", "_embed64")):
         d = O.WIDTH[fx]
         zs = O.z_names(d, False)
-        lr1 = [(0, SGD_REG, SGD_STEP, SGD_ITERATIONS)]
+        lr1 = [(0, SGD_REG, base_step(fx), SGD_ITERATIONS)]
         base = _sgd_base(fx, lr1)
 
         def _weights(spark, sf_dir, fx=fx):
             p = Pipeline.from_fixture(spark, sf_dir, fx)
-            m = p.sgd(name="LR1")
+            m = p.sgd(step=base_step(fx), name="LR1")
             return m.weights_frame(spark).select("feature", r6("weight").alias("weight"),
                                                  F.lit(int(m.info["iterations"])).cast("bigint")
                                                  .alias("iterations"))
@@ -236,7 +250,7 @@ def queries(r6):
         gbase, _ = _grid_sql_parts(fx)
 
         def _grid(spark, sf_dir, fx=fx):
-            trials, _, _ = grid_search(Pipeline.from_fixture(spark, sf_dir, fx))
+            trials, _, _ = grid_search(Pipeline.from_fixture(spark, sf_dir, fx), step=base_step(fx))
             return trials.select("trial", "reg_param", "iterations_run", r6("rmse").alias("rmse"),
                                  "is_best")
         reg(f"grid_search{sfx}", gbase + (
@@ -299,6 +313,49 @@ def queries(r6):
     # same answer as sgd_weights, by the per-iteration row path
     reg("sgd_weights_rowwise", out["sgd_weights"][1])(_weights_rowwise)
 
+    # the trainer on mini-batches: moments of each iteration's draw, then the same recursion over them
+    def _mini_sql(fx):
+        zs = O.z_names(O.WIDTH[fx], False)
+        draw = (f"CAST('0x' || substr(md5('42|' || CAST(point_id AS VARCHAR) || '|' || CAST(it AS VARCHAR)), 1, 8) AS BIGINT) % 1000"
+                f" < {int(MINI_FRACTION * 1000)}")
+        mom = O.mom_cte(zs, True, where=f"split = 'train' AND {draw} GROUP BY it", src=f"zp, range(1, {MINI_ITERATIONS + 1}) AS r(it)")
+        trainer = O.sgd_ctes(O.WIDTH[fx], [(0, SGD_REG, base_step(fx), MINI_ITERATIONS)])
+        return O.with_(O.pts_cte(fx), O.zp_cte(O.WIDTH[fx], False), mom.replace("mom AS (SELECT", "mom AS MATERIALIZED (SELECT it,", 1),
+                       trainer.replace("CROSS JOIN mom m", "JOIN mom m ON m.it = s.i + 1", 1))
+
+    for fx, sfx in (("signal", ""), ("embed64", "_embed64")):
+        def _mini(spark, sf_dir, fx=fx):
+            m = Pipeline.from_fixture(spark, sf_dir, fx).sgd(MINI_ITERATIONS, base_step(fx), SGD_REG, mini_batch_fraction=MINI_FRACTION, name="LRMini")
+            return m.weights_frame(spark).select("feature", r6("weight").alias("weight"),
+                                                 F.lit(int(m.info["iterations"])).cast("bigint").alias("iterations"))
+        reg(f"sgd_mini_batch{sfx}", _mini_sql(fx) + (
+            f"SELECT CAST(CASE WHEN k > {O.WIDTH[fx]} THEN -1 ELSE k - 1 END AS BIGINT) AS feature,"
+            f" {O.r6('w[k]')} AS weight, CAST(iters_run AS BIGINT) AS iterations"
+            " FROM (SELECT w, iters_run, generate_subscripts(w, 1) AS k FROM sgd_fin)"))(_mini)
+
+    # the split rows stored by split: training and scoring read them, then they go
+    @reg("stored_split_rmse", out["sgd_val_rmse"][1])
+    def _stored_split(spark, sf_dir):
+        p = Pipeline.from_fixture(spark, sf_dir, "signal").store()
+        try:
+            lr0, _ = p.gd()
+            return held(p.score({"Baseline": p.baseline(), "LR0": lr0, "LR1": p.sgd(name="LR1")}, ["validation"])
+                        .select("model", r6("rmse").alias("rmse")))
+        finally:
+            p.release()
+
+    # models written as a table, read back and scored from it
+    @reg("stored_models_rmse", out["sgd_val_rmse"][1])
+    def _stored_models(spark, sf_dir):
+        p = Pipeline.from_fixture(spark, sf_dir, "signal")
+        lr0, _ = p.gd()
+        path = scratch_path(spark, "models")
+        save_models(spark, {"Baseline": p.baseline(), "LR0": lr0, "LR1": p.sgd(name="LR1")}, p.d, path)
+        try:
+            return rmse_matrix(p.split("validation"), load_models(spark.read.parquet(path)), p.d).select("model", r6("rmse").alias("rmse"))
+        finally:
+            remove_path(spark, path)
+
     gbase, _ = _grid_sql_parts("signal")
     predb = O.predict_expr("f.w", zs, True)
 
@@ -321,7 +378,7 @@ def queries(r6):
     # ---- step sweep: the grid's best reg, then four trials
     def _sweep_query(fx, steps=SWEEP_STEPS):
         def run(spark, sf_dir):
-            return step_sweep(Pipeline.from_fixture(spark, sf_dir, fx), steps=steps)
+            return step_sweep(Pipeline.from_fixture(spark, sf_dir, fx), steps=steps, grid_step=base_step(fx))
         return run
 
     # On the embedding fixture step 10 diverges cleanly (log10 RMSE grows
@@ -330,25 +387,37 @@ def queries(r6):
     # that variant takes steps at which runs are stable.
     reg("step_sweep", _sweep_sql("embed"))(_sweep_query("embed"))
     reg("step_sweep_signal", _sweep_sql("signal", STABLE_STEPS))(_sweep_query("signal", STABLE_STEPS))
+    full_steps = (1e-5, FULL_STEP)
+    reg("step_sweep_embed64", _sweep_sql("embed64", full_steps))(_sweep_query("embed64", full_steps))
 
     # ---- 36-point grid
-    heat_trials = [(ri, r, SGD_STEP, max(HEAT_ITERATIONS)) for ri, r in enumerate(HEAT_REGS)]
     bvals = ", ".join(f"({bi}, {b})" for bi, b in enumerate(HEAT_ITERATIONS))
-    heat_sql = O.with_(
-        O.pts_cte("signal"), O.zp_cte(d, False), O.mom_cte(zs, True), O.sgd_ctes(d, heat_trials),
-        f"bud(iter_idx, b) AS (VALUES {bvals})",
-        "mx AS (SELECT trial, max(i) AS mi FROM sgd GROUP BY trial)",
-        "snap AS (SELECT s.trial, bud.iter_idx, bud.b, s.w, s.i FROM sgd s JOIN mx ON s.trial = mx.trial"
-        " CROSS JOIN bud WHERE s.i = least(bud.b, mx.mi))",
-        "heat AS (SELECT f.trial AS reg_idx, f.iter_idx, f.b AS num_iters, f.i AS iterations_run, p.reg AS reg_param,"
-        f" {_val_rmse_sql(O.predict_expr('f.w', zs, True))} AS rmse FROM snap f JOIN sgd_p p ON"
-        " f.trial = p.trial CROSS JOIN zp WHERE split = 'validation'"
-        " GROUP BY f.trial, f.iter_idx, f.b, f.i, p.reg)")
+
+    def _heat_sql(fx):
+        zs, d = O.z_names(O.WIDTH[fx], False), O.WIDTH[fx]
+        trials = [(ri, r, base_step(fx), max(HEAT_ITERATIONS)) for ri, r in enumerate(HEAT_REGS)]
+        return O.with_(
+            O.pts_cte(fx), O.zp_cte(d, False), O.mom_cte(zs, True), O.sgd_ctes(d, trials),
+            f"bud(iter_idx, b) AS (VALUES {bvals})",
+            "mx AS (SELECT trial, max(i) AS mi FROM sgd GROUP BY trial)",
+            "snap AS (SELECT s.trial, bud.iter_idx, bud.b, s.w, s.i FROM sgd s JOIN mx ON s.trial = mx.trial"
+            " CROSS JOIN bud WHERE s.i = least(bud.b, mx.mi))",
+            "heat AS (SELECT f.trial AS reg_idx, f.iter_idx, f.b AS num_iters, f.i AS iterations_run, p.reg AS reg_param,"
+            f" {_val_rmse_sql(O.predict_expr('f.w', zs, True))} AS rmse FROM snap f JOIN sgd_p p ON"
+            " f.trial = p.trial CROSS JOIN zp WHERE split = 'validation'"
+            " GROUP BY f.trial, f.iter_idx, f.b, f.i, p.reg)")
+    heat_sql = _heat_sql("signal")
     cols = "CAST(num_iters AS BIGINT) AS num_iters, reg_param, CAST(iterations_run AS BIGINT) AS iterations_run, " \
         + O.r6("rmse") + " AS rmse"
 
-    def _heat(spark, sf_dir):
-        return iter_reg_grid(Pipeline.from_fixture(spark, sf_dir, "signal"))
+    def _heat(spark, sf_dir, fx="signal"):
+        return iter_reg_grid(Pipeline.from_fixture(spark, sf_dir, fx), step=base_step(fx))
+
+    # 36 models of 64 weights: scored as one matrix product
+    @reg("iter_reg_grid_embed64", _heat_sql("embed64") + f"SELECT {cols} FROM heat")
+    def _heat_full(spark, sf_dir):
+        g = _heat(spark, sf_dir, "embed64")
+        return g.select("num_iters", "reg_param", "iterations_run", r6("rmse").alias("rmse"))
 
     @reg("iter_reg_grid", heat_sql + f"SELECT {cols} FROM heat")
     def _heat_long(spark, sf_dir):

@@ -8,7 +8,7 @@ and a permissive mode (bad tokens become nulls and the row is flagged),
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.operators.aggregates import tree_agg
@@ -17,14 +17,21 @@ from linfold.operators.aggregates import tree_agg
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """Scan text lines as ``value STRING``.
 
-    ``min_partitions`` mirrors a minimum split count; it only ever raises the
-    partition count (a round-robin repartition), so large inputs keep their
-    natural file splits.
-    """
+    ``min_partitions`` is a least number of splits, as a text reader's minimum
+    split count: an input that has as many by itself is read as it is. A smaller
+    one is read in smaller splits, by a reader session whose split size follows
+    the minimum and whose other settings are those of ``spark`` now; nothing is
+    shuffled either way. A file that cannot be split (gzip) stays one split."""
     df = spark.read.text(path)
-    if min_partitions and len(df.inputFiles()) < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    if not min_partitions or df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    reader = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if reader.conf.isModifiable(k):
+            reader.conf.set(k, v)
+    reader.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
+    reader.conf.set("spark.sql.files.openCostInBytes", "1")  # the least size of a split
+    return reader.read.text(path)
 
 
 def _tokens(value: Column, sep: str) -> Column:
@@ -63,6 +70,16 @@ def parse_points(lines: DataFrame, mode: str = "strict", value_col: str = "value
     return base.select("point_id", "label", "features", (~F.col("_bad")).alias("parse_ok"))
 
 
+def observed_points(lines: DataFrame, expected_width: int, **options) -> tuple[DataFrame, Observation]:
+    """The good points of a permissive parse, and what the pass that reads them
+    counts on its way: ``n_lines`` and ``n_bad``, to be had by ``get`` once the first
+    action on the points is over. No pass of its own."""
+    seen = Observation()
+    parsed = parse_points(lines, mode="permissive", expected_width=expected_width, **options)
+    counted = parsed.observe(seen, F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("parse_ok")).alias("n_bad"))
+    return counted.where("parse_ok").drop("parse_ok"), seen
+
+
 def parse_report(parsed: DataFrame) -> DataFrame:
     """One-row summary of a permissive parse: lines, good, bad, width range."""
     ok = F.col("parse_ok")
