@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_made: list[str] = []  # what ``staged`` has written
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once as parquet in the shared folder and read back: cuts
     the lineage, and a lost executor rereads a file. Deleted by ``unstage``, at
@@ -22,6 +27,17 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    _made.append(path)
+    return out
+
+
+def finished(build: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """What ``build`` gives, staged; the tables staged on the way to it are deleted."""
+    before = len(_made)
+    out = staged(build(), tag)
+    for path in _made[before:-1]:
+        remove_path(out.sparkSession, path)
+    del _made[before:-1]
     return out
 
 

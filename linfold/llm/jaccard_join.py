@@ -19,7 +19,18 @@ the number of its links.
    lists are not paired with themselves: each of their classes meets one class,
    the least of lists it is in, linked classes merge, and then only classes of different
    components that meet in long lists are counted. So the copies of one page,
-   however many, cost a row each, and no link between components is lost.
+   however many, cost a row each, and no link between components is lost. In
+   lists of over ``WIDE`` classes these are not paired either: such a list is a
+   block of step 3 by itself, and its classes outside its largest component the
+   queries.
+   Hot lists, those of the shingles that come last, hold one class only of all
+   that have the same hot shingles: the one with the fewest rare ones. Whatever
+   shares no rare shingle with a class of its list has only hot ones in common
+   with it, so with h hot ones shared by all of a group, a class of it links the
+   group's first if h >= t (h + both's rare ones), which takes no search. Those
+   that don't may still link the first of another group, but only of one with
+   fewer rare ones than their own first has; these pairs are candidates. A passage
+   in many unlike documents is thus one class in its lists.
 3. Search. Candidates are verified in blocks: the classes whose queries share
    their least neighbour, cut into pieces by the size of their sets, and with
    each piece the classes to query it with. A block holds inverted lists of whole sets. DivideSkip answers each
@@ -57,6 +68,7 @@ SHINGLE, PERCENT = 5, 75
 HOT = 65_536  # shingles that may come last in the order
 LOCAL = 3  # documents of a task that make a shingle a candidate for that
 LONG = 64  # classes in a long list
+WIDE = 512  # classes in one whose classes are not paired any more
 BLOCK = 4_000_000  # shingles in a block, about
 
 
@@ -70,17 +82,33 @@ def shingle_sets(data, offsets, shingle):
             s = np.unique(grams[lo:hi - shingle + 1])
         else:
             s = by_word.of(np.array([lo]), np.array([hi])) if hi > lo else grams[:0]
-        yield s, int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+        yield s, _id(s)
 
 
-def _sizes(batches, shingle):
+def _id(digests: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(digests.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _sizes(batches, shingle, hot):
+    """Of each row the size and id of its set, how many of it are rare (not
+    ``hot``) and the id of those that are hot."""
     for batch in batches:
-        n, x = [], []
+        n, x, rare, hx = [], [], [], []
         for _, _, data, offsets in segments(batch):
-            for s, key in shingle_sets(data, offsets, shingle):
-                n.append(len(s))
-                x.append(key)
-        yield pa.RecordBatch.from_arrays([batch.column("owner"), pa.array(n, pa.int64()), pa.array(x, pa.int64())], ["owner", "n", "x"])
+            sets = list(shingle_sets(data, offsets, shingle))
+            sizes = np.array([len(s) for s, _ in sets], np.int64)
+            flat = np.concatenate([s for s, _ in sets])
+            late = np.zeros(len(flat), bool)
+            if len(hot):
+                late = hot[np.minimum(np.searchsorted(hot, flat), len(hot) - 1)] == flat
+            ends = np.cumsum(sizes)
+            n += sizes.tolist()
+            x += [key for _, key in sets]
+            for s, a, z in zip((s for s, _ in sets), (ends - sizes).tolist(), ends.tolist(), strict=True):
+                common = s[late[a:z]]
+                rare.append(len(s) - len(common))
+                hx.append(_id(common))
+        yield pa.RecordBatch.from_arrays([batch.column("owner"), *[pa.array(c, pa.int64()) for c in (n, x, rare, hx)]], ["owner", "n", "x", "rare", "hx"])
 
 
 def _distinct_sets(batches, shingle, portion):
@@ -170,13 +198,18 @@ def _inverted(sets):
 
 def _links(key, table: pa.Table, percent: int) -> pa.Table:
     """Links between a block's queries and its sets: of those found the ones
-    that join two groups, so a block yields fewer links than it has sets."""
+    that join two groups, so a block yields fewer links than it has sets. Sets
+    that come with the same ``kin`` are of one group from the start."""
     once = np.unique(table.column("x").to_numpy(), return_index=True)[1]  # rows that repeat a document come alike
     table = table.take(pa.array(once))
     x, ask = table.column("x").to_numpy(), table.column("ask").to_numpy()
     sets = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
+    up, u, v = list(range(len(sets))), [], []
+    if "kin" in table.column_names:
+        first: dict[int, int] = {}
+        up = [first.setdefault(kin, k) for k, kin in enumerate(table.column("kin").to_pylist())]
+    groups = len(set(up))
     lists, owner, sizes = _inverted(sets)
-    up, groups, u, v = list(range(len(sets))), len(sets), [], []
 
     def root(k):
         while up[k] != k:
@@ -266,6 +299,30 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     return rows.groupBy("label", "piece").applyInArrow(lambda key, t: _links(key, t, percent), "u long, v long")
 
 
+def _wide_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join labels within each list of ``rows`` (a, x, n, label): the
+    list's classes are one block, or every two pieces of them, and those outside
+    the list's most frequent label are its queries. No pairs are formed. Lists
+    that classes connect are one list together where that is less work."""
+    least = rows.groupBy("x").agg(F.min("a").alias("v"))
+    lists = components(rows.join(least, "x").select(F.col("a").alias("u"), "v").distinct()).select(F.col("x").alias("a"), F.col("label").alias("cluster"))
+    rows = staged(rows.join(lists, "a"), "wide")
+    apart = rows.groupBy("cluster", "a").agg(F.count(F.lit(1)).alias("m")).groupBy("cluster").agg(F.sum(F.col("m") * F.col("m")).alias("apart"))
+    whole = rows.select("cluster", "x").distinct().groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
+    rows = (rows.join(apart, "cluster").join(whole, "cluster")
+            .select(F.when(F.col("m") * F.col("m") <= F.col("apart"), F.col("cluster")).otherwise(F.col("a")).alias("a"), "x", "n", "label").distinct())
+    rows = staged(rows, "wide")
+    labels = rows.groupBy("a", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    lists = (labels.groupBy("a").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("m", "label")).alias("most"), F.ceil(F.sum("n") / BLOCK).alias("pieces"))
+             .where("labels > 1").select(F.col("a").alias("list"), F.col("most.label").alias("most"), "pieces"))
+    piece = F.pmod(F.xxhash64("x"), F.col("pieces"))
+    blocks = (rows.join(lists, F.col("a") == F.col("list")).select("list", "x", "label", (F.col("label") != F.col("most")).alias("ask"), piece.alias("piece"),
+                                                               F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other"))
+              .select("list", F.least("piece", "other").alias("lo"), F.greatest("piece", "other").alias("hi"), "x", F.col("label").alias("kin"), "ask"))
+    return (sets.join(blocks, "x").select("list", "lo", "hi", "x", "kin", "ask", "set").groupBy("list", "lo", "hi")
+            .applyInArrow(lambda key, t: _links(key, t, percent), "u long, v long"))
+
+
 def _all_degrees(label: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(x, n_links): of each class in ``label`` (x, label) the documents of other
     classes that it links with. Links lie within components, so all are found."""
@@ -304,49 +361,79 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     is the smallest doc_id reachable by links; ``n_links``, left out without
     ``links``, counts all other rows that the row links with."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("owner"), F.coalesce("text", F.lit("")).alias("text"))
-    base = staged(texts.mapInArrow(lambda it: _sizes(it, shingle), "owner long, n long, x long"), "sets")
-    classes = staged(base.where("n > 0").groupBy("x", "n").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("many")), "classes")
     top = texts.select("text").mapInArrow(lambda it: _common(it, shingle), "a long, many long")
-    top = top.groupBy("a").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "a").limit(HOT).select("a")
-    hot = np.array([r["a"] for r in top.collect()], np.int64).view(np.uint64)  # at most HOT numbers
+    top = staged(top.groupBy("a").agg(F.sum("many").alias("many")).orderBy(F.desc("many"), "a").limit(HOT).select("a"), "hot")
+    hot = np.sort(np.array([r["a"] for r in top.collect()], np.int64).view(np.uint64))  # at most HOT numbers
+    base = staged(texts.mapInArrow(lambda it: _sizes(it, shingle, hot), "owner long, n long, x long, rare long, hx long"), "sets")
+    classes = staged(base.where("n > 0").groupBy("x", "n", "rare", "hx").agg(F.min("owner").alias("owner"), F.count(F.lit(1)).alias("many")), "classes")
     rows = texts.select("text").mapInArrow(lambda it: _prefixes(it, shingle, percent, hot), "route long, th long, b long")
-    lists = staged(rows.repartition("route").sortWithinPartitions("route").mapInArrow(_shared_stretches, "th long, a long")
-                   .select("a", F.col("th").alias("x")).distinct().join(classes.select("x", "n"), "x"), "lists")
+    lists = (rows.repartition("route").sortWithinPartitions("route").mapInArrow(_shared_stretches, "th long, a long")
+             .select("a", F.col("th").alias("x")).distinct().join(classes.select("x", "n", "rare", "hx"), "x"))
+    lists = staged(lists.join(F.broadcast(top.withColumn("hot", F.lit(True))), "a", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "lists")
     fits = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+    one = lambda rows, side, *columns: rows.select("a", *[F.col(c).alias(f"{c}{side}") for c in columns])
+
+    # hot lists keep one class of each set of hot shingles, that with the fewest rare ones
+    group = lists.where("hot").groupBy("hx").agg(F.min(F.struct("rare", "x")).alias("first"))
+    group = group.select("hx", F.col("first.rare").alias("least_rare"), F.col("first.x").alias("first"))
+    inside = staged(lists.where("hot").join(group, "hx"), "hot-lists")
+    firsts, others = inside.where("x = first"), inside.where("x <> first")
+    common = F.col("n") - F.col("rare")
+    near_first = 100 * common >= percent * (F.col("n") + F.col("least_rare"))
+    own = others.where(near_first).select(F.col("first").alias("u"), F.col("x").alias("v")).distinct()
+    left, right = one(others.where(~near_first), "u", "x", "n", "rare", "least_rare"), one(firsts, "v", "x", "n", "rare")
+    hu, hv = F.col("nu") - F.col("rareu"), F.col("nv") - F.col("rarev")
+    reach = 100 * F.least(hu, hv) >= percent * (F.greatest(hu, hv) + F.col("rareu") + F.col("rarev"))
+    far = (left.join(right, (left.a == right.a) & (F.col("rarev") < F.col("least_rareu")) & reach)
+           .select(F.col("xv").alias("u"), F.col("xu").alias("v")).distinct())
+    # what a class has in hot lists is hidden from pairs that are not both first ones
+    hidden = inside.groupBy("x").agg(F.count(F.lit(1)).alias("in_hot"), F.max(F.expr("x = first")).alias("is_first"))
+    seen = lists.where("not hot").select("a", "x", "n").union(firsts.select("a", "x", "n"))
+    seen = (seen.join(hidden, "x", "left").select("a", "x", "n", F.coalesce("in_hot", F.lit(0)).alias("in_hot"), F.coalesce("is_first", F.lit(False)).alias("is_first")))
+    seen = staged(seen, "seen")
+    spare = F.when(F.col("is_firstu") & F.col("is_firstv"), 0).otherwise(F.least("in_hotu", "in_hotv"))
 
     def counted(rows):
         """Candidates among the classes of a list that have different labels."""
-        left, right = (rows.select("a", *[F.col(c).alias(f"{c}{s}") for c in ("x", "n", "label")]) for s in "uv")
+        cols = ("x", "n", "label", "in_hot", "is_first")
+        left, right = one(rows, "u", *cols), one(rows, "v", *cols)
         shared = (left.join(right, (left.a == right.a) & (F.col("xu") < F.col("xv")) & (F.col("labelu") != F.col("labelv")) & fits("nu", "nv"))
-                  .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv").agg(F.count(F.lit(1)).alias("c")))
+                  .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv").agg((F.count(F.lit(1)) + F.max(spare)).alias("c")))
         return staged(_candidates(shared, percent).select("u", "v"), "pairs")
 
     # each class of a long list with the least of a list: of several the one it shares most lists with
-    long = staged(lists.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("x", "n")).alias("least")).where(F.col("m") > LONG), "long")
-    star = (lists.join(long, "a").select(F.col("least.x").alias("u"), F.col("least.n").alias("nu"), F.col("x").alias("v"), F.col("n").alias("nv"))
+    long = staged(seen.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("x", "n")).alias("least")).where(F.col("m") > LONG), "long")
+    star = (seen.join(long, "a").select(F.col("least.x").alias("u"), F.col("least.n").alias("nu"), F.col("x").alias("v"), F.col("n").alias("nv"))
             .where((F.col("u") != F.col("v")) & fits("nu", "nv")).groupBy("u", "nu", "v", "nv").agg(F.count(F.lit(1)).alias("c")))
     # and all pairs of short ones, which long lists add at most their number to
-    few = lists.join(long.select("a"), "a", "left_anti")
-    spare = lists.join(long.select("a"), "a", "left_semi").groupBy("x").agg(F.count(F.lit(1)).alias("more"))
-    few = few.join(spare, "x", "left").select("a", "x", "n", F.coalesce("more", F.lit(0)).alias("more"))
-    left, right = (few.select("a", *[F.col(c).alias(f"{c}{s}") for c in ("x", "n", "more")]) for s in "uv")
+    few = seen.join(long.select("a"), "a", "left_anti")
+    more = seen.join(long.select("a"), "a", "left_semi").groupBy("x").agg(F.count(F.lit(1)).alias("more"))
+    few = few.join(more, "x", "left").withColumn("more", F.coalesce("more", F.lit(0)))
+    cols = ("x", "n", "more", "in_hot", "is_first")
+    left, right = one(few, "u", *cols), one(few, "v", *cols)
     near = (left.join(right, (left.a == right.a) & (F.col("xu") < F.col("xv")) & fits("nu", "nv"))
             .groupBy(F.col("xu").alias("u"), "nu", F.col("xv").alias("v"), "nv")
-            .agg((F.count(F.lit(1)) + F.least(F.max("moreu"), F.max("morev"))).alias("c")))
+            .agg((F.count(F.lit(1)) + F.least(F.max("moreu"), F.max("morev")) + F.max(spare)).alias("c")))
     star = _candidates(star, percent).groupBy("v").agg(F.max(F.struct("c", "u")).alias("best")).select("best.u", "v")
-    first = staged(star.union(_candidates(near, percent).select("u", "v")).distinct(), "pairs")
+    first = staged(star.union(_candidates(near, percent).select("u", "v")).union(far).distinct(), "pairs")
     ids = lambda pairs: pairs.select(F.col("u").alias("x")).union(pairs.select("v")).distinct()
-    sets = _sets(ids(first), classes, texts, shingle)
-    joining = staged(_verified(first, classes, sets, percent), "links")
+    wanted = ids(first.union(own)) if links else ids(first)
+    sets = _sets(wanted, classes, texts, shingle)
+    joining = staged(_verified(first, classes, sets, percent).union(own), "links")
     # what may still link different components meets in a long list
-    merged = lists.withColumn("label", F.col("x"))
+    merged = seen.withColumn("label", F.col("x"))
     if not joining.isEmpty():
-        merged = lists.join(components(joining), "x", "left").withColumn("label", F.coalesce("label", "x"))
-    pairs = counted(merged.join(long.select("a"), "a", "left_semi"))
-    if not pairs.isEmpty():
-        missing = ids(pairs).join(sets.select("x"), "x", "left_anti")
+        merged = seen.join(components(joining), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    wide = long.where(F.col("m") > WIDE).select("a")
+    pairs = counted(merged.join(long.where(F.col("m") <= WIDE).select("a"), "a", "left_semi"))
+    wide_rows = staged(merged.join(wide, "a", "left_semi").select("a", "x", "n", "label"), "wide")
+    missing = ids(pairs).union(wide_rows.select("x")).distinct().join(sets.select("x"), "x", "left_anti")
+    some_pairs, some_wide = not pairs.isEmpty(), not wide_rows.isEmpty()
+    if some_pairs or some_wide:
         sets = sets.union(_sets(missing, classes, texts, shingle))
-        joining = staged(joining.union(_verified(pairs, classes, sets, percent)).distinct(), "links")
+        joining = joining.union(_verified(pairs, classes, sets, percent)) if some_pairs else joining
+        joining = joining.union(_wide_links(wide_rows, sets, percent)) if some_wide else joining
+        joining = staged(joining.distinct(), "links")
     label = classes.select("x", F.col("x").alias("label")).limit(0) if joining.isEmpty() else components(joining)
     named = classes.select("x", "owner", "many").join(label, "x", "left").withColumn("label", F.coalesce("label", "x"))
     least = named.groupBy("label").agg(F.min("owner").alias("least"))

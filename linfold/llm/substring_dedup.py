@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.llm.bytescan import Digests, mix, ragged, runs, segments, sliding_min, whole_groups, words
-from linfold.llm.common import SPACE, staged
+from linfold.llm.common import SPACE, staged, unstage
 
 WINDOW, GRAM = 13, 4
 GROUP = 10_000  # texts that may share a stretch before its suffixes are dealt out by whole windows
@@ -238,8 +238,9 @@ def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
     starts = (suffixes.repartition("route").sortWithinPartitions("route").mapInArrow(_removed, "owner long, p long")
               .groupBy("owner", F.col("p").bitwiseAND(TH).alias("bits"))
               .agg(F.collect_list(F.shiftright("p", TH_BITS).cast("int")).alias("starts")))
-    found = (starts.join(first.select("owner", "th", F.col("th").bitwiseAND(TH).alias("bits")), ["owner", "bits"])
-             .select("owner", "th", "starts"))
+    found = staged(starts.join(first.select("owner", "th", F.col("th").bitwiseAND(TH).alias("bits")), ["owner", "bits"])
+                   .select("owner", "th", "starts"), "starts")
+    unstage(shared)
     copies = base.alias("b").join(first.alias("f"), ["th", "sha"]).select(
         "b.owner", "th", "n_words", "sha", (F.col("b.owner") > F.col("f.owner")).alias("copy"))
     return copies, found

@@ -1,5 +1,7 @@
 """Exact, near, line, substring and byte dedup against plain versions."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -190,3 +192,34 @@ def test_bytes_of_a_class_that_another_task_holds_alone(spark, less):
                                  dedup_substrings, without_repeated_substrings, dedup_bytes])
 def test_empty_table(nothing, run):
     assert run(nothing).collect() == []
+
+
+def hot_rows(seed):
+    """Passages alone, cut short, with changed words and with tails of many
+    lengths: texts of equal and of similar hot shingles, linked and not."""
+    rnd = random.Random(seed)
+    passages = [[f"p{k}w{i}" for i in range(40)] for k in range(3)]
+    rows = []
+    for i in range(110):
+        w = list(rnd.choice(passages))
+        if rnd.random() < .4:
+            w = w[rnd.randint(0, 3):len(w) - rnd.randint(0, 6)]
+        for _ in range(rnd.choice([0, 0, 0, 1, 2])):
+            w[rnd.randrange(len(w))] = f"x{rnd.randint(0, 4)}"
+        w += [f"t{i if rnd.random() < .8 else rnd.randint(0, 3)}n{k}" for k in range(rnd.choice([0, 2, 5, 6, 8, 9, 11, 13, 30]))]
+        if rnd.random() < .1:
+            w += rnd.choice(passages)
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("seed,long,wide,block", [(1, 64, 512, 4_000_000), (3, 2, 6, 4_000_000), (4, 3, 5, 300)])
+def test_hot_and_wide_lists(spark, monkeypatch, seed, long, wide, block):
+    from linfold.llm import jaccard_join
+    for name, value in (("LONG", long), ("WIDE", wide), ("BLOCK", block)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = hot_rows(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert strings(jaccard_join.jaccard_components(docs, links=False).collect()) == components(rows)
+    got = jaccard_join.jaccard_components(docs).select("doc_id", "n_shingles", "n_links")
+    assert strings(got.collect()) == links(rows)

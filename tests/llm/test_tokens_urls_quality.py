@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -251,5 +252,26 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
         if name == "packing":
             _packed(after, None, 1024)
             assert {r.doc_id for r in after} == {i for i, _ in before}
+            # the ids are those of the kept texts
+            from tokenizers import Tokenizer
+            library, ids = Tokenizer.from_file(JSON), {}
+            for r in sorted(after, key=lambda r: (r.doc_id, r.piece)):
+                assert len(r.ids) == r.length
+                ids.setdefault(r.doc_id, []).extend(r.ids)
+            assert {i: library.decode(x[:-1], skip_special_tokens=False) for i, x in ids.items()} == {i: t or "" for i, t in before}
+            assert all(x[-1] == 2 for x in ids.values())
         seen[name] = len(after)
-    assert corpus_pipeline.run(spark, path).count() == seen["packing"]
+    from linfold.session import shared_dir
+    folder = shared_dir(spark).removeprefix("file:")
+    there = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, path)
+    assert out.count() == seen["packing"]
+    # of all that was stored only the result is left
+    assert {x for x in set(os.listdir(folder)) - there} == {os.path.basename(out._staged_path)}
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    table(spark, awkward(80, 9)).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
