@@ -1,13 +1,21 @@
 """The corpus pipeline: quality rules, line dedup, near duplicates, substring
 dedup, packing. Each stage works on all that the one before kept; its result is
-written as Parquet and read again as the next one's documents."""
+written as Parquet and read again as the next one's documents.
+
+Defined results. Null and empty texts have no words and so fail the quality
+rules; an empty table goes through all stages and gives no pieces. A null doc_id
+comes after all others where the smallest one stays. Rows that repeat a doc_id are
+judged by their own text in the first two stages, stay together in the third if
+one of them does, and lose passages each by its text. Columns that ``documents``
+has besides its own are carried along, whatever their names, up to packing, which
+returns its own columns. Texts of any length are read in whole."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linfold.llm.common import documents, staged
+from linfold.llm.common import documents, finished, unstage
 from linfold.llm.jaccard_join import one_per_component
 from linfold.llm.line_dedup import without_repeated_lines
 from linfold.llm.packing import pack
@@ -36,8 +44,8 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequences."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Token pieces with their ids and sequences: what a training reads."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("jaccard_join", near_duplicates),
@@ -48,8 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn over ``documents``; the last one's rows."""
-    docs = documents(spark, sf_dir)
+    """The stages in turn over ``documents``; the last one's rows. A stage's result
+    is deleted when the next one's is written, and so is all it stored on the way."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        after = finished(lambda: stage(spark, docs, sf_dir), name)  # noqa: B023
+        if before is not None:
+            unstage(before)
+        docs = before = after
     return docs
