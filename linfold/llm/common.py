@@ -14,7 +14,15 @@ SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-_made: list[str] = []  # what ``staged`` has written
+_made: list[str] = []  # paths that ``scratch`` has given
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = scratch_path(spark, f"llm-{tag}")
+    at_exit_remove(spark, path)
+    _made.append(path)
+    return path
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
@@ -22,12 +30,10 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     the lineage, and a lost executor rereads a file. Deleted by ``unstage``, at
     the latest when the driver ends."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{tag}")
-    at_exit_remove(spark, path)
+    path = scratch(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
-    _made.append(path)
     return out
 
 

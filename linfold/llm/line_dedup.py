@@ -37,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linfold.llm.common import lower_ascii, staged
-from linfold.session import remove_path, scratch_path
+from linfold.llm.common import lower_ascii, staged, scratch
+from linfold.session import remove_path
 
 MIN_CHARS = 10
 SHARD_KEYS = 50_000  # digests per shard, about
@@ -183,7 +183,7 @@ class LineIndex:
     """The reference counts and filters of a set of documents, in ``path``."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, min_chars: int = MIN_CHARS):
-        self.spark, self.path, self.min_chars = spark, path or scratch_path(spark, "llm-lines"), min_chars
+        self.spark, self.path, self.min_chars = spark, path or scratch(spark, "lines"), min_chars
         self.lines = spark.createDataFrame([], "digest binary, doc_id long")
         self.filters = spark.createDataFrame([], FILTER_SCHEMA)
         self.shards = 0

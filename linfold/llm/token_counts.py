@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.llm.bytescan import segments
-from linfold.llm.common import documents_of
+from linfold.llm.common import documents_of, scratch
 from linfold.llm.tokens import file_bytes, worker_encoder
-from linfold.session import scratch_path
 
 NULL = -(1 << 63)
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
@@ -66,4 +65,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
 
 def fresh_cache(spark) -> str:
     """A new cache folder under the session's shared folder."""
-    return scratch_path(spark, "llm-token-cache")
+    return scratch(spark, "token-cache")
