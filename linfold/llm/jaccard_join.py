@@ -70,6 +70,7 @@ LOCAL = 3  # documents of a task that make a shingle a candidate for that
 LONG = 64  # classes in a long list
 WIDE = 512  # classes in one whose classes are not paired any more
 BLOCK = 4_000_000  # shingles in a block, about
+SMALL = 1_000_000  # rows of up to five numbers (64 MB) that texts and sets may be joined with by broadcast
 
 
 def shingle_sets(data, offsets, shingle):
@@ -275,10 +276,16 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def _narrow(rows: DataFrame) -> DataFrame:
+    """Stored ``rows`` of a few numbers, broadcast to the texts or sets that they
+    meet if they are ``SMALL`` at most; beyond that both sides are shuffled."""
+    return F.broadcast(rows) if rows.count() <= SMALL else rows
+
+
 def _sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     """(x, set) of the classes in ``wanted`` (x), from one text of each."""
     ids = staged(wanted.join(classes.select("x", "owner"), "x"), "wanted")
-    return staged(texts.join(ids, "owner").select("x", "text")
+    return staged(texts.join(_narrow(ids), "owner").select("x", "text")
                   .mapInArrow(lambda it: _sets_of(it, shingle), "x long, set binary"), "members")
 
 
@@ -295,7 +302,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     members = (located.select(F.col("v").alias("x"), "block", F.lit(False).alias("ask"))
                .union(located.select("u", "block", F.lit(True)))
                .groupBy("x", "block").agg(F.max("ask").alias("ask")))
-    rows = sets.join(members, "x").select("x", "block.*", "ask", "set")
+    rows = sets.join(_narrow(staged(members, "asked")), "x").select("x", "block.*", "ask", "set")
     return rows.groupBy("label", "piece").applyInArrow(lambda key, t: _links(key, t, percent), "u long, v long")
 
 

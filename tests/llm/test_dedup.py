@@ -213,10 +213,11 @@ def hot_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,long,wide,block", [(1, 64, 512, 4_000_000), (3, 2, 6, 4_000_000), (4, 3, 5, 300)])
-def test_hot_and_wide_lists(spark, monkeypatch, seed, long, wide, block):
+@pytest.mark.parametrize("seed,long,wide,block,small", [(1, 64, 512, 4_000_000, 1_000_000), (3, 2, 6, 4_000_000, 0), (4, 3, 5, 300, 1_000_000)])
+def test_hot_and_wide_lists(spark, monkeypatch, seed, long, wide, block, small):
+    """Also where too many classes are searched to broadcast their ids."""
     from linfold.llm import jaccard_join
-    for name, value in (("LONG", long), ("WIDE", wide), ("BLOCK", block)):
+    for name, value in (("LONG", long), ("WIDE", wide), ("BLOCK", block), ("SMALL", small)):
         monkeypatch.setattr(jaccard_join, name, value)
     rows = hot_rows(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
