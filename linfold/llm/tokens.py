@@ -5,7 +5,9 @@ vocabularies also before a newline) that follows a character which is surely
 not white space. The libraries split there themselves: the split pattern never
 continues from other characters into white space, and no piece of the
 sentencepiece model has its space sign after another character (checked when
-the model is loaded). So the ids of a text are those of its chunks in a row,
+the model is loaded). That holds for the split patterns named here and for
+nothing else: with any other pattern, normaliser or kind of added token a text
+is one chunk. So the ids of a text are those of its chunks in a row,
 and each distinct chunk of a segment is encoded by the library once. Frequent
 chunks stay in a cache of bounded size in the Python worker.
 """
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 from itertools import chain
 
 import numpy as np
@@ -23,6 +26,8 @@ from linfold.llm.bytescan import Digests, ragged
 CACHED = 1_000_000  # chunks that a worker's cache holds at most, about 50 bytes each
 JOINED = 100  # chunks that one call's string holds
 LONGEST = 64  # bytes of a chunk that is cached
+# Fixed value: the split of the byte-level vocabularies, whose matches never continue into white space
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Chunks:
@@ -30,10 +35,12 @@ class Chunks:
     ``strip``: chunks inside a text are encoded without their leading space
     (the library puts its own before). ``sizes``: bytes of each id, if ids keep
     all bytes; then distinct chunks are joined, about a hundred to a string,
-    which the library handles faster, and their ids told apart by bytes."""
+    which the library handles faster, and their ids told apart by bytes.
+    ``cut``: whether texts may be cut; if not, each is encoded whole."""
 
-    def __init__(self, encode, newline: bool = True, strip: bool = False, sizes: np.ndarray | None = None):
-        self.encode, self.newline, self.strip, self.sizes = encode, newline, strip, sizes
+    def __init__(self, encode, newline: bool = True, strip: bool = False, sizes: np.ndarray | None = None, cut: bool = True):
+        self.encode, self.newline, self.strip, self.cut = encode, newline, strip, cut
+        self.sizes = sizes if cut else None
         self._reset()
 
     def _reset(self):
@@ -42,6 +49,9 @@ class Chunks:
         self.pool = np.zeros(0, np.uint32)
 
     def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = offsets[:-1][offsets[:-1] < offsets[1:]]
+        if not self.cut:
+            return row, np.zeros(len(row), bool)
         at = data == 32
         if self.newline:
             at |= data == 10
@@ -51,7 +61,6 @@ class Chunks:
         solid = ((b1 > 32) & (b1 < 127)) | ((b1 >= 128) & (b2 != 0xC2) & ((b3 < 0xE1) | (b3 > 0xE3)))
         mark = np.zeros(len(data), bool)
         mark[at[solid]] = True
-        row = offsets[:-1][offsets[:-1] < offsets[1:]]
         mark[row] = True
         starts = np.flatnonzero(mark)
         inside = np.ones(len(starts), bool)
@@ -160,6 +169,16 @@ def _quiet():
     os.environ["RAYON_NUM_THREADS"] = "1"
 
 
+def _splits_at_spaces(file: dict) -> bool:
+    """Whether a .json file's texts may be cut before white space: split by
+    ``SPLIT`` alone, and no added token that holds or takes in white space."""
+    split = file.get("pre_tokenizer") or {}
+    return (file.get("normalizer") is None and file["model"].get("type") == "BPE" and not file["model"].get("dropout")
+            and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"])
+                        for t in file.get("added_tokens") or []))
+
+
 def _from_json(content: bytes, _):
     _quiet()
     from tokenizers import Tokenizer
@@ -170,7 +189,8 @@ def _from_json(content: bytes, _):
     special = {i: len(x.content.encode()) for i, x in t.get_added_tokens_decoder().items()}
     known = {i: len(x) for x, i in t.get_vocab(with_added_tokens=False).items()} | special
     sizes = np.array([known.get(i, 0) for i in range(max(known) + 1)], np.int64)
-    return Chunks(lambda texts: [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)], sizes=sizes)
+    return Chunks(lambda texts: [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)], sizes=sizes,
+                  cut=_splits_at_spaces(json.loads(content)))
 
 
 def _from_model(content: bytes, _):
@@ -183,11 +203,8 @@ def _from_model(content: bytes, _):
     apart = all(sign not in p.lstrip(sign) for p in pieces) and s.encode("a  b ", out_type=str) == [
         sign + "a", sign, sign + "b", sign] and s.encode("  ﬁ", out_type=str)[-1] == "ﬁ"
     lone = [s.piece_to_id(sign)]
-    chunks = Chunks(lambda texts: [x if t else lone for t, x in zip(texts, s.encode(texts, num_threads=1), strict=True)],
-                    newline=False, strip=True)
-    if not apart:
-        chunks._cuts = lambda data, offsets: (r := offsets[:-1][offsets[:-1] < offsets[1:]], np.zeros(len(r), bool))
-    return chunks
+    return Chunks(lambda texts: [x if t else lone for t, x in zip(texts, s.encode(texts, num_threads=1), strict=True)],
+                  newline=False, strip=True, cut=apart)
 
 
 def byte_characters() -> dict[int, str]:
@@ -219,7 +236,7 @@ def _from_ranks(content: bytes, pattern: str):
     known = t.get_vocab()
     back = {r: bytes(map(table.__getitem__, x)) for x, r in known.items()}
     sizes = np.array([len(back.get(i, b"")) for i in range(max(back) + 1)], np.int64)
-    chunks = Chunks(lambda texts: [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)], sizes=sizes)
+    chunks = Chunks(lambda texts: [x.ids for x in t.encode_batch_fast(texts, add_special_tokens=False)], sizes=sizes, cut=pattern == SPLIT)
     chunks.bytes_pool = np.frombuffer(b"".join(back.get(i, b"") for i in range(max(back) + 1)), np.uint8)
     chunks.bytes_count, chunks.bytes_start = sizes, np.cumsum(sizes) - sizes
     return chunks
