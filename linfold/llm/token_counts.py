@@ -2,15 +2,20 @@
 
 The cache is a parquet table (digest, version, n_tokens): SHA-256 of a text,
 SHA-256 of the tokenizer's file, count. A run digests its texts, joins the
-distinct digests to the stored counts of its tokenizer version, encodes one
-text for each digest that has none, appends these counts, and joins counts back
-to the documents. A group of copies is encoded once, however large: copies are
-found by partial aggregates over digests, and one row of each group that misses
-goes to the encoder, spread by digest and doc_id.
+distinct digests to the stored counts of its tokenizer version (a partition of
+the cache), encodes one text for each digest that has none, appends these counts,
+and joins counts back to the documents. A group of copies is encoded once,
+however large: copies are found by partial aggregates over digests, and one row
+of each group that misses goes to the encoder.
+
+Documents are digested once into slim rows. Where no digest misses, no text is
+read again. Up to ``FEW`` misses are broadcast, so that only their texts are
+shuffled; more of them meet the texts in a shuffle, repeated rows combined first.
+``compact`` rewrites a cache that many runs have appended to.
 
 Defined results: a null text is the empty text with 0 tokens. Rows that repeat a
-doc_id, null doc_ids and empty tables are handled like any others; there is one
-row out per row in.
+doc_id, null doc_ids, doc_ids of any type and empty tables are handled like any
+others; there is one row out per row in.
 """
 
 from __future__ import annotations
@@ -18,14 +23,14 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm.bytescan import segments
-from linfold.llm.common import documents_of, scratch
+from linfold.llm.common import documents_of, scratch, staged, unstage
 from linfold.llm.tokens import file_bytes, worker_encoder
 
-NULL = -(1 << 63)
+FEW = 200_000  # missing digests that are broadcast, 40 bytes each
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -46,21 +51,41 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
     spark = docs.sparkSession
     content = file_bytes(tokenizer_path)
     version, kind = hashlib.sha256(content).hexdigest(), tokenizer_path.rpartition(".")[2]
-    rows = documents_of(docs).withColumn("digest", F.unhex(F.sha2("text", 256)))
-    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    stored = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("version") == version)
-    keyed = rows.select("digest", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)).alias("owner"), "text")
-    misses = (keyed.groupBy("digest").agg(F.min("owner").alias("owner"))
-              .join(stored, "digest", "left_anti"))
-    # rows that repeat a document are combined inside the tasks
-    once = keyed.groupBy("digest", "owner").agg(F.first("text").alias("text"))
-    chosen = once.join(misses.hint("shuffle_hash"), ["digest", "owner"], "left_semi").select("digest", "text")
-    made = chosen.mapInArrow(lambda it: _count(it, kind, content), "digest binary, n_tokens long")
-    made.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
-    counts = (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("version") == version)
-              .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
-    sizes = rows.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return sizes.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # a row's place among copies: documents, of whatever type their ids are, by digest
+    rows = documents_of(docs).select("doc_id", F.xxhash64("doc_id").alias("owner"), F.unhex(F.sha2("text", 256)).alias("digest"), "text")
+    slim = staged(rows.select("doc_id", "owner", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "digests")
+    spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").partitionBy("version").parquet(cache_path)
+    misses = staged(slim.groupBy("digest").agg(F.min("owner").alias("owner"))
+                    .join(_stored(spark, cache_path, version), "digest", "left_anti"), "misses")
+    n = misses.count()
+    if n:
+        on, keyed = ["digest", "owner"], rows.select("digest", "owner", "text")
+        if n <= FEW:
+            chosen = keyed.join(F.broadcast(misses), on, "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
+        else:
+            # rows that repeat a document are combined inside the tasks
+            once = keyed.groupBy(*on).agg(F.first("text").alias("text"))
+            chosen = once.join(misses.hint("shuffle_hash"), on, "left_semi").select("digest", "text")
+        made = chosen.mapInArrow(lambda it: _count(it, kind, content), "digest binary, n_tokens long")
+        made.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").partitionBy("version").parquet(cache_path)
+    unstage(misses)
+    return (slim.join(_stored(spark, cache_path, version), "digest")
+            .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
+
+
+def _stored(spark: SparkSession, cache_path: str, version: str) -> DataFrame:
+    """(digest, n_tokens) of one tokenizer version; digests that two runs appended count once."""
+    return (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).where(F.col("version") == version)
+            .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+
+
+def compact(spark: SparkSession, cache_path: str) -> str:
+    """A new cache folder with each digest of ``cache_path`` once, in files of a
+    few digest ranges; the old one is left for runs that still read it."""
+    path = scratch(spark, "token-cache")
+    (spark.read.schema(CACHE_SCHEMA).parquet(cache_path).groupBy("version", "digest").agg(F.max("n_tokens").alias("n_tokens"))
+     .repartitionByRange("version", "digest").write.partitionBy("version").parquet(path))
+    return path
 
 
 def fresh_cache(spark) -> str:
