@@ -1,26 +1,36 @@
 """Quality rules: base rules, then robust multivariate outliers.
 
 Each document's statistics are counted by column expressions on its own row.
-The documents that pass the base rules are grouped by language and source; for
-each group the minimum covariance determinant is estimated by concentration
-steps: from a start (median and median absolute deviation per dimension), keep
-the rows whose Mahalanobis distance is at most the group's ``SUBSET`` quantile,
-take their mean and covariance, and repeat ``STEPS`` times. The last estimate
-is scaled so that its median distance is that of the normal distribution, and
-a document is rejected when its squared distance is over ``CUTOFF``.
-
-Every step is one aggregate per group plus one join of the groups' parameters
-to slim rows (a few doubles per document, staged once): no row is collected,
-and a group that holds a third of all rows is combined inside the tasks before
-it is shuffled. The 5 x 5 Cholesky factor and the distance are column
-expressions.
+The documents that pass the base rules are grouped by language and source, by
+language, and all together; for each of these groups the minimum covariance
+determinant is estimated by concentration steps: keep the rows whose
+Mahalanobis distance is at most the group's ``SUBSET`` quantile, take their mean
+and covariance, and repeat until no group's log-determinant falls by more than
+``SETTLED`` (``STEPS`` times at most). There are two starts, median and median
+absolute deviation per dimension, and mean and covariance of all rows; the one
+that ends with the smaller determinant counts. Its covariance is scaled so that
+the group's median distance is that of the normal distribution.
+
+Small groups borrow: mean and covariance of a language are averaged with those
+of all documents, weighted by its n and ``BORROWED``, and those of a language
+and source with these, in the same way; the covariance of all documents takes
+in ``ASSUMED`` documents of unit covariance. So there is no size below which a
+group has no estimate of its own, and in a handful of documents nothing is an
+outlier. A document is rejected when its squared distance from the estimate of
+its language and source is over ``CUTOFF``.
+
+Every step is two aggregates per group and joins of the groups' parameters to
+slim rows (a few doubles per document, staged once): no row is collected. The
+parameters are broadcast where a count shows at most ``GROUPS`` of them, and
+else meet the rows by group and salt, so that a group that holds a third of all
+rows is combined inside many tasks before it is shuffled. The 5 x 5 Cholesky
+factor and the distance are column expressions.
 
 Only DataFrame functions. Defined results: a null text has no words and fails
-the base rules; null languages and sources are groups of their own. Groups with
-fewer than ``LEAST`` documents take the estimate of all documents together; if
-these are fewer than ``LEAST`` too, nothing is an outlier. A dimension without
-variance gets the floor ``RIDGE`` on its variance. Repeated rows are judged
-each, alike. An empty table gives no rows.
+the base rules; null languages and sources are groups of their own. A dimension
+without variance gets the floor ``RIDGE`` on its variance. Repeated rows are
+judged each, alike; ``d2`` is null for documents that fail the base rules. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,12 +38,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linfold.llm.common import SPACE, staged
+from linfold.llm.common import SPACE, staged, unstage
 
-SUBSET = 0.75  # share of each group that a concentration step keeps
-STEPS = 4
-LEAST = 100  # documents that a group's own estimate needs
+SUBSET = 0.6  # share of each group that a concentration step keeps: two in five may be outliers
+STEPS = 8
+SETTLED = 0.001
+BORROWED = 100  # documents that a group's parent counts for
+ASSUMED = 10  # documents of unit covariance among all
 RIDGE = 0.01  # added to each variance, in units of the transformed statistics
+GROUPS = 50_000  # groups whose parameters are broadcast, some 400 bytes each
+SALTS = 32
 #: Squared distance (5 dimensions) beyond which a document is an outlier: text
 #: statistics have far heavier tails than the normal distribution (many clean
 #: documents repeat no line and no phrase, some repeat a few), so the bound is
@@ -42,6 +56,8 @@ CUTOFF = 400.0
 #: Median of the chi-squared distribution with 5 degrees of freedom.
 CHI2_MEDIAN = 4.351
 DIMS = ("x0", "x1", "x2", "x3", "x4")
+CELLS = [(i, j) for i in range(5) for j in range(i + 1)]
+PARAMETERS = [f"m{i}" for i in range(5)] + [f"c{i}{j}" for i, j in CELLS]
 
 
 def text_stats(docs: DataFrame) -> DataFrame:
@@ -87,32 +103,32 @@ def _transformed() -> list[Column]:
 
 
 def _estimate(rows: DataFrame, by: list[str], where: Column) -> DataFrame:
-    """Mean and whitening matrix (the inverse Cholesky factor of the covariance)
-    of each group over the rows ``where``."""
-    cells = [(i, j) for i in range(5) for j in range(i + 1)]
-    kept = lambda c: F.when(where, c)
-    stats = rows.groupBy(*by).agg(
-        *[F.avg(kept(F.col(d))).alias(f"m{i}") for i, d in enumerate(DIMS)],
-        *[F.covar_pop(kept(F.col(DIMS[i])), kept(F.col(DIMS[j]))).alias(f"c{i}{j}") for i, j in cells])
-    return staged(stats, "mcd").transform(_whitened, by)
+    """(by, n, m0 to m4, lower cells of the covariance) of each group: its size,
+    and mean and covariance over its rows ``where``."""
+    kept = lambda c: F.when(where, F.col(c))
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(kept(d)).alias(f"m{i}") for i, d in enumerate(DIMS)],
+        *[(F.covar_pop(kept(DIMS[i]), kept(DIMS[j])) + (RIDGE if i == j else 0.0)).alias(f"c{i}{j}") for i, j in CELLS])
 
 
 def _whitened(stats: DataFrame, by: list[str]) -> DataFrame:
-    """From (by, m0 to m4, lower covariance cells) to (by, fit)."""
-    for i in range(5):  # column by column of the factor, then of its inverse; one row per group
-        for j in range(i + 1):
-            v = F.coalesce(F.col(f"c{i}{j}"), F.lit(0.0)) + (RIDGE if i == j else 0.0)
-            for k in range(j):
-                v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            stats = stats.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-9))) if i == j else v / F.col(f"l{j}{j}"))
+    """``stats`` (of ``_estimate``) with ``fit``, the mean and the whitening matrix
+    (the inverse Cholesky factor of the covariance), and ``logdet``."""
+    out = stats
+    for i, j in CELLS:  # row by row of the factor, then its inverse; one row per group
+        v = F.col(f"c{i}{j}")
+        for k in range(j):
+            v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(1e-9))) if i == j else v / F.col(f"l{j}{j}"))
     for j in range(5):
         for i in range(j, 5):
             v = F.lit(1.0 if i == j else 0.0)
             for k in range(j, i):
                 v = v - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
-            stats = stats.withColumn(f"w{i}{j}", v / F.col(f"l{i}{i}"))
-    fit = [f"m{i}" for i in range(5)] + [f"w{i}{j}" for i in range(5) for j in range(i + 1)]
-    return stats.select(*by, F.struct(*fit).alias("fit"))
+            out = out.withColumn(f"w{i}{j}", v / F.col(f"l{i}{i}"))
+    fit = [f"m{i}" for i in range(5)] + [f"w{i}{j}" for i, j in CELLS]
+    logdet = sum((2 * F.log(f"l{i}{i}") for i in range(1, 5)), 2 * F.log("l00"))
+    return out.select(*by, "n", *PARAMETERS, F.struct(*fit).alias("fit"), logdet.alias("logdet"))
 
 
 def _distance() -> Column:
@@ -122,59 +138,87 @@ def _distance() -> Column:
     return sum((v * v for v in rows[1:]), rows[0] * rows[0])
 
 
-def _quantile(rows: DataFrame, by: list[str], share: float) -> DataFrame:
-    return rows.groupBy(*by).agg(F.percentile_approx("d2", share, 1000).alias("cut"))
-
-
-def _joined(rows: DataFrame, params: DataFrame, by: list[str]) -> DataFrame:
+def _joined(rows: DataFrame, params: DataFrame, by: list[str], small: bool, how: str = "inner") -> DataFrame:
     """Rows with their group's parameters; ``by`` columns hold no nulls."""
-    return rows.join(params, by, "left")
-
-
-def fit_groups(points: DataFrame, by: list[str], steps: int = STEPS, subset: float = SUBSET) -> DataFrame:
-    """(by, fit, scale): the minimum covariance determinant estimate of each
-    group of ``points`` (by, x0 to x4), and the factor that makes its median
-    squared distance that of the normal distribution."""
-    mid = points.groupBy(*by).agg(*[F.percentile_approx(d, 0.5, 1000).alias(f"m{i}") for i, d in enumerate(DIMS)])
-    off = _joined(points, mid, by)
-    mad = off.groupBy(*by).agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
-        *[F.percentile_approx(F.abs(F.col(d) - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i, d in enumerate(DIMS)])
-    zero = F.lit(0.0)
-    fit = staged(mad.select(*by, F.struct(
-        *[F.col(f"m{i}") for i in range(5)],
-        *[(1.0 / F.sqrt((1.4826 * F.col(f"s{i}")) ** 2 + RIDGE) if i == j else zero).alias(f"w{i}{j}")
-          for i in range(5) for j in range(i + 1)]).alias("fit")), "mcd")
+    if small:
+        return rows.join(F.broadcast(params), by, how)
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*DIMS), F.lit(SALTS)).cast("int"))
+    params = params.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(params, [*by, "_salt"], how).drop("_salt")
+
+
+def fit_groups(points: DataFrame, by: list[str], small: bool, steps: int = STEPS, subset: float = SUBSET) -> DataFrame:
+    """(by, n, v): size and minimum covariance determinant estimate of each
+    group of ``points`` (by, x0 to x4): its ``PARAMETERS`` as an array, the
+    covariance scaled by the median distance. ``small``: the groups'
+    parameters are few enough to be broadcast."""
+    each = [*by, "start"]
+    middle = lambda c: F.percentile_approx(c, 0.5, 1000)
+    mid = staged(points.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[middle(d).alias(f"m{i}") for i, d in enumerate(DIMS)]), "mcd")
+    mad = _joined(points, mid, by, small).groupBy(*by).agg(
+        F.first("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(5)],
+        *[middle(F.abs(F.col(d) - F.col(f"m{i}"))).alias(f"s{i}") for i, d in enumerate(DIMS)])
+    robust = mad.select(*by, F.lit(0).alias("start"), "n", *[f"m{i}" for i in range(5)], *[
+        ((1.4826 * F.col(f"s{i}")) ** 2 + RIDGE if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in CELLS])
+    plain = _estimate(points.withColumn("start", F.lit(1)), each, F.lit(True))
+    fit = staged(_whitened(robust.unionByName(plain), each), "mcd")
+    unstage(mid)
     for _ in range(steps):
-        near = _joined(points, fit, by).withColumn("d2", _distance()).drop("fit")
-        fit = staged(_estimate(_joined(near, _quantile(near, by, subset), by), by, F.col("d2") <= F.col("cut")), "mcd")
-    half = _quantile(_joined(points, fit, by).withColumn("d2", _distance()), by, 0.5)
-    scale = F.when(F.col("cut") > 0, CHI2_MEDIAN / F.col("cut")).otherwise(1.0).alias("scale")
-    return staged(fit.join(half, by).select(*by, "fit", scale), "mcd")
-
-
-def judge_stats(stats: DataFrame, cutoff: float = CUTOFF, least: int = LEAST) -> DataFrame:
-    """``stats`` with ``d2`` (null where not estimated) and ``kept``. ``stats``
-    must be a stored table: each concentration step reads it."""
+        near = _joined(points, fit.select(*each, "fit"), by, small).withColumn("d2", _distance()).drop("fit")
+        cut = staged(near.groupBy(*each).agg(F.percentile_approx("d2", subset, 1000).alias("cut")), "mcd")
+        near = _joined(points, fit.select(*each, "fit").join(cut, each), by, small).withColumn("d2", _distance())
+        after = staged(_whitened(_estimate(near, each, F.col("d2") <= F.col("cut")), each), "mcd")
+        fell = fit.select(*each, F.col("logdet").alias("before")).join(after, each).agg(F.max(F.abs(F.col("before") - F.col("logdet")))).first()[0]
+        unstage(fit, cut)
+        fit = after
+        if fell is None or fell <= SETTLED:
+            break
+    best = fit.groupBy(*by).agg(F.min_by(F.struct("n", "fit", *PARAMETERS), F.struct("logdet", "start")).alias("b")).select(*by, "b.*")
+    half = _joined(points, best.select(*by, "fit"), by, small).groupBy(*by).agg(
+        F.percentile_approx(_distance(), 0.5, 1000).alias("cut"))
+    scale = F.when(F.col("cut") > 0, F.col("cut") / CHI2_MEDIAN).otherwise(1.0)
+    out = staged(best.join(half, by).select(*by, "n", F.array(
+        *[F.col(c) if c[0] == "m" else F.col(c) * scale for c in PARAMETERS]).alias("v")), "mcd")
+    unstage(fit)
+    return out
+
+
+def shrunk_groups(fits: DataFrame) -> DataFrame:
+    """(g_lang, g_source, fit) of each language and source, from the ``fits`` of
+    these, of languages (source ``*``) and of all documents (both ``*``)."""
+    whole = fits.where("g_lang = '*'").select("n", "v").first()  # one row of 21 numbers
+    if whole is None:
+        whole = {"n": 0, "v": [0.0] * len(PARAMETERS)}
+    unit = [None if c[0] == "m" else float(c[1] == c[2]) for c in PARAMETERS]
+    every = F.array(*[F.lit(float(v) if u is None else (whole["n"] * v + ASSUMED * u) / (whole["n"] + ASSUMED))
+                      for v, u in zip(whole["v"], unit, strict=True)])
+    borrow = lambda n, v, parent: F.zip_with(v, parent, lambda x, y: (F.col(n) * x + BORROWED * y) / (F.col(n) + BORROWED))
+    langs = fits.where("g_lang <> '*' and g_source = '*'").select("g_lang", borrow("n", F.col("v"), every).alias("parent"))
+    groups = fits.where("g_source <> '*'").join(langs, "g_lang")
+    v = groups.select("g_lang", "g_source", "n", borrow("n", F.col("v"), F.col("parent")).alias("v"))
+    cells = v.select("g_lang", "g_source", "n", *[F.col("v")[k].alias(c) for k, c in enumerate(PARAMETERS)])
+    return staged(_whitened(cells, ["g_lang", "g_source"]).select("g_lang", "g_source", "fit"), "mcd")
+
+
+def judge_stats(stats: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """``stats`` with ``d2`` (null where the base rules failed) and ``kept``.
+    ``stats`` must be a stored table: each concentration step reads it."""
     by = ["g_lang", "g_source"]
-    # null, empty and other values stay apart
+    # null, empty and other values stay apart, and from the groups named *
     tag = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(c)))
     points = stats.withColumns({"g_lang": tag("lang"), "g_source": tag("source"),
                                 **{d: x for d, x in zip(DIMS, _transformed(), strict=True)}})
     good = points.where(~F.col("base_failed")).select(*by, *DIMS)
-    # each row also counts for the estimate of all documents, whose group no row's own group can equal
-    both = good.withColumn("g", F.explode(F.array(F.struct(*by), F.struct(*[F.lit("*").alias(c) for c in by]))))
-    both = both.select("g.*", *DIMS)
-    fits = fit_groups(both.join(both.groupBy(*by).count().where(F.col("count") >= least).drop("count"), by, "left_semi"), by)
-    every = fits.where((F.col("g_lang") == "*") & (F.col("g_source") == "*")).select("fit", "scale").first()
-    out = _joined(points, fits, by)
-    if every is not None:  # one row of 21 numbers
-        shared = F.struct(*[F.lit(float(v)).alias(k) for k, v in every["fit"].asDict().items()])
-        out = out.withColumns({"scale": F.when(F.col("fit").isNull(), float(every["scale"])).otherwise(F.col("scale")),
-                               "fit": F.coalesce("fit", shared)})
-    out = out.withColumn("d2", _distance() * F.col("scale"))
+    # each row also counts for the estimates of its language and of all documents
+    star = F.lit("*")
+    levels = good.select(F.explode(F.array(*[F.struct(x.alias("g_lang"), y.alias("g_source")) for x, y in (
+        (F.col("g_lang"), F.col("g_source")), (F.col("g_lang"), star), (star, star))])).alias("g"), *DIMS).select("g.*", *DIMS)
+    small = levels.select(*by).distinct().count() <= GROUPS
+    fits = shrunk_groups(fit_groups(levels, by, small))
+    out = _joined(points, fits, by, small, "left")
+    out = out.withColumn("d2", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("d2") > cutoff, F.lit(False))
-    return out.withColumn("kept", kept).drop("fit", "scale", *by, *DIMS)
+    return out.withColumn("kept", kept).drop("fit", *by, *DIMS)
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

@@ -48,6 +48,55 @@ def test_token_counts_and_cache(spark, docs, path):
     assert spark.read.parquet(cache).count() == stored
 
 
+def test_cache_grows_by_few_or_many_misses(spark, docs, monkeypatch):
+    import linfold.llm.token_counts as T
+    cache, half = fresh_cache(spark), docs.where("doc_id % 2 = 0 or doc_id is null")
+    seen = {t or "" for i, t in ROWS if i is None or i % 2 == 0}
+    for few, part, texts in ((10**6, half, seen), (0, docs, {t or "" for _, t in ROWS})):
+        monkeypatch.setattr(T, "FEW", few)
+        assert token_counts(part, MODEL, cache).count() == part.count()
+        assert spark.read.parquet(cache).count() == len(texts)
+    spark.read.parquet(cache).write.mode("append").partitionBy("version").parquet(cache)
+    fewer = T.compact(spark, cache)
+    assert spark.read.parquet(fewer).count() == len(texts)
+    monkeypatch.setattr(T, "_count", None)  # nothing is encoded again
+    want = strings((r.doc_id, r.n_tokens) for r in token_counts(docs, MODEL, cache).collect())
+    named = docs.selectExpr("cast(doc_id as string) as doc_id", "text")  # ids of another type
+    assert strings((r.doc_id, r.n_tokens) for r in token_counts(named, MODEL, fewer).collect()) == want
+
+
+def test_patterns_whose_matches_run_into_white_space(spark, tmp_path):
+    """Other patterns and other .json files are not cut before newlines and spaces."""
+    import tiktoken
+    from tokenizers import AddedToken, Regex, Tokenizer, models, pre_tokenizers
+
+    from linfold.llm.tokens import SPLIT, byte_characters
+    assert SPLIT == P.PATTERN
+    pattern = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+(?!\S)|\s+"
+    ranks = {bytes([b]): b for b in range(256)} | {b".\n": 256, b" a": 257}
+    path = str(tmp_path / "own.tiktoken")
+    with open(path, "wb") as f:
+        f.writelines(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items())
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["x.\ny a", "a.\n\n a a", "", ". a\n.", "<s>\n <s>  a.\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in byte_bpe.encode(df, path, pattern).collect()}
+    assert [got[k] for k in range(len(texts))] == [enc.encode_ordinary(t) for t in texts]
+    assert got[0] == [120, 256, 121, 257]
+
+    sign = byte_characters()
+    name = lambda t: "".join(sign[b] for b in t)
+    for regex, added in ((pattern, []), (None, [AddedToken("<s>", rstrip=True)]), (None, [AddedToken("a.\n")])):
+        t = Tokenizer(models.BPE({name(x): r for x, r in ranks.items()}, [(name(x[:1]), name(x[1:])) for x in (b".\n", b" a")]))
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=regex is None)
+        t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(regex), "isolated"), level]) if regex else level
+        t.add_tokens(added)
+        file = str(tmp_path / "own.json")
+        t.save(file)
+        counts = {r.doc_id: r.n_tokens for r in token_counts(df, file, fresh_cache(spark)).collect()}
+        assert [counts[k] for k in range(len(texts))] == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
 def test_bpe_equals_tiktoken_and_comes_back(docs):
     import tiktoken
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
@@ -173,37 +222,95 @@ def test_statistics(docs):
     assert all(not (r.kept and r.base_failed) for r in got)
 
 
-def test_outliers_by_plain_covariance_determinant(spark):
-    """The estimates and distances equal a numpy version's; planted junk goes, clean documents stay."""
+def plain_distances(rows):
+    """The squared distance of each of (lang, source, vector), by numpy."""
+    from linfold.llm.quality_mcd import ASSUMED, BORROWED, CHI2_MEDIAN, RIDGE, SETTLED, STEPS, SUBSET
+    quantile = lambda v, q: np.sort(v, axis=0)[max(int(np.ceil(q * len(v))), 1) - 1]
+    groups = defaultdict(list)
+    for lang, source, x in rows:
+        for key in {(lang, source), (lang, "*"), ("*", "*")}:
+            groups[key].append(x)
+    groups = {k: np.array(x) for k, x in groups.items()}
+    ridge = RIDGE * np.eye(5)
+
+    def distance(x, m, c):
+        return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    fits = {}
+    for k, x in groups.items():
+        mid = quantile(x, .5)
+        fits[k, 0] = mid, np.diag((1.4826 * quantile(np.abs(x - mid), .5)) ** 2) + ridge
+        fits[k, 1] = x.mean(axis=0), np.cov(x.T, bias=True).reshape(5, 5) + ridge
+    logdet = lambda f: {k: np.linalg.slogdet(c)[1] for k, (_, c) in f.items()}
+    for _ in range(STEPS):
+        after = {}
+        for (k, start), (m, c) in fits.items():
+            d2 = distance(groups[k], m, c)
+            near = groups[k][d2 <= quantile(d2, SUBSET) * (1 + 1e-12)]
+            after[k, start] = near.mean(axis=0), np.cov(near.T, bias=True).reshape(5, 5) + ridge
+        fell = max(abs(a - b) for a, b in zip(logdet(fits).values(), logdet(after).values(), strict=True))
+        fits = after
+        if fell <= SETTLED:
+            break
+    best = {}
+    for k, x in groups.items():
+        m, c = min((fits[k, 0], fits[k, 1]), key=lambda f: round(np.linalg.slogdet(f[1])[1], 9))
+        half = quantile(distance(x, m, c), .5)
+        best[k] = m, c * (half / CHI2_MEDIAN if half > 0 else 1), len(x)
+
+    def borrowed(k, parent):
+        m, c, n = best[k]
+        return tuple((n * a + BORROWED * b) / (n + BORROWED) for a, b in zip((m, c), parent, strict=True))
+    m, c, n = best["*", "*"]
+    every = m, (n * c + ASSUMED * np.eye(5)) / (n + ASSUMED)
+    return [float(distance(x[None], *borrowed((lang, source), borrowed((lang, "*"), every)))[0])
+            for lang, source, x in ((a, b, np.array(v)) for a, b, v in rows)]
+
+
+def vector(t):
+    n, chars, symbols, dup, rep, _ = stats(t)
+    return [np.log1p(n), np.log(max(chars, 1) / n) * 4, np.sqrt(symbols / n) * 4, np.sqrt(dup / n) * 2, np.sqrt(rep / n)]
+
+
+@pytest.mark.parametrize("groups", [10**6, 0])
+def test_outliers_by_plain_covariance_determinant(spark, monkeypatch, groups):
+    """The estimates and distances equal a numpy version's, in large groups and in
+    groups of one; planted junk goes, clean documents stay."""
     import random
 
-    from linfold.llm.quality_mcd import CHI2_MEDIAN, CUTOFF, RIDGE, STEPS, SUBSET
+    import linfold.llm.quality_mcd as Q
+    monkeypatch.setattr(Q, "GROUPS", groups)  # parameters broadcast, or joined by salt
     rnd = random.Random(3)
     rows = []
-    for i in range(400):
+    for i in range(500):
         words = [rnd.choice("abcdefgh") * rnd.randint(1, 3) + str(rnd.randint(0, 10_000)) for _ in range(rnd.randint(60, 400))]
-        junk = i % 20 == 0
-        rows.append((i, " ".join(w + "%%#" if junk else w for w in words)))
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "if(doc_id < 390, 'a', null) AS source")
+        lang, source = ("en", "a") if i < 390 else ("de", None) if i < 460 else (None, f"s{i % 9}") if i < 499 else ("fr", "*")
+        rows.append((i, " ".join(w + "%%#" if i % 20 == 0 else w for w in words), lang, source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r for r in quality_rules(df).collect()}
-    assert [i for i in got if not got[i].kept] and all(got[i].kept == (i % 20 != 0) for i in got)
-
-    def vector(t):
-        n, chars, symbols, dup, rep, _ = stats(t)
-        return [np.log1p(n), np.log(max(chars, 1) / n) * 4, np.sqrt(symbols / n) * 4, np.sqrt(dup / n) * 2, np.sqrt(rep / n)]
-    x = np.array([vector(t) for i, t in rows if i < 390])
-    quantile = lambda v, q: np.sort(v, axis=0)[int(np.ceil(q * len(v))) - 1]
-    mid = quantile(x, .5)
-    spread = np.sqrt((1.4826 * quantile(np.abs(x - mid), .5)) ** 2 + RIDGE)
-    d2 = (((x - mid) / spread) ** 2).sum(axis=1)
-    for _ in range(STEPS):
-        near = x[d2 <= quantile(d2, SUBSET)]
-        cov = np.cov(near.T, bias=True) + RIDGE * np.eye(5)
-        off = x - near.mean(axis=0)
-        d2 = np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)
-    d2 = d2 * CHI2_MEDIAN / quantile(d2, .5)
-    assert np.allclose(d2, [got[i].d2 for i in range(390)], rtol=1e-3)
-    assert ((d2 <= CUTOFF) == [got[i].kept for i in range(390)]).all()
+    want = plain_distances([(f"={a}" if a else "", f"={b}" if b else "", vector(t)) for _, t, a, b in rows])
+    assert np.allclose(want, [got[i].d2 for i in range(500)], rtol=1e-6)
+    assert all(got[i].kept == (i % 20 != 0) for i in got)
+
+
+def test_few_documents_have_no_outliers(spark):
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (60, 20_000, 55)] + ["% & " * 300, None]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert [r.kept for r in quality_rules(df).orderBy("doc_id").collect()] == [True, True, True, False, False]
+
+
+def test_quality_query_equals_plain(spark):
+    """Over the whole table, whose groups are all small."""
+    from linfold.llm.quality_mcd import CUTOFF
+    from linfold.llm.queries import op10_quality_rules
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    tag = lambda x: "" if x is None else f"={x}"
+    good = [r for r in rows if not stats(r.text)[-1]]
+    d2 = dict(zip((r.doc_id for r in good), plain_distances([(tag(r.lang), tag(r.source), vector(r.text)) for r in good]), strict=True))
+    got = op10_quality_rules(spark, sf).collect()
+    assert strings((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == strings(
+        (r.doc_id, *stats(r.text)) for r in rows)
+    assert {r.doc_id for r in got if r.kept} == {i for i, d in d2.items() if d <= CUTOFF}
 
 
 def test_quality_filter_keeps_rows_whole(docs):
