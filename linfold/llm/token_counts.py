@@ -9,8 +9,9 @@ however large: copies are found by partial aggregates over digests, and one row
 of each group that misses goes to the encoder.
 
 Documents are digested once into slim rows. Where no digest misses, no text is
-read again. Up to ``FEW`` misses are broadcast, so that only their texts are
-shuffled; more of them meet the texts in a shuffle, repeated rows combined first.
+read again. Where at most one document in ``SHARE`` misses, and ``FEW`` in all,
+the misses are broadcast, so that only their texts are shuffled; else they meet
+the texts in a shuffle, repeated rows combined first. Both give the same counts.
 ``compact`` rewrites a cache that many runs have appended to.
 
 Defined results: a null text is the empty text with 0 tokens. Rows that repeat a
@@ -31,6 +32,7 @@ from linfold.llm.common import documents_of, scratch, staged, unstage
 from linfold.llm.tokens import file_bytes, worker_encoder
 
 FEW = 200_000  # missing digests that are broadcast, 40 bytes each
+SHARE = 10
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -60,7 +62,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, limit: i
     n = misses.count()
     if n:
         on, keyed = ["digest", "owner"], rows.select("digest", "owner", "text")
-        if n <= FEW:
+        if n <= FEW and n * SHARE <= slim.count():
             chosen = keyed.join(F.broadcast(misses), on, "left_semi").groupBy("digest").agg(F.first("text").alias("text"))
         else:
             # rows that repeat a document are combined inside the tasks
