@@ -54,6 +54,7 @@ def test_cache_grows_by_few_or_many_misses(spark, docs, monkeypatch):
     seen = {t or "" for i, t in ROWS if i is None or i % 2 == 0}
     for few, part, texts in ((10**6, half, seen), (0, docs, {t or "" for _, t in ROWS})):
         monkeypatch.setattr(T, "FEW", few)
+        monkeypatch.setattr(T, "SHARE", 0)
         assert token_counts(part, MODEL, cache).count() == part.count()
         assert spark.read.parquet(cache).count() == len(texts)
     spark.read.parquet(cache).write.mode("append").partitionBy("version").parquet(cache)
