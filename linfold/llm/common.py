@@ -53,6 +53,11 @@ def unstage(*frames: DataFrame) -> None:
         remove_path(df.sparkSession, df._staged_path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def documents_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with a null text as the empty one."""
     return docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -9,7 +9,7 @@ from helpers import awkward, byte_spans, components, exact, lines, links, sha, s
 from linfold.llm.bytescan import Digests
 from linfold.llm.exact_dedup import exact_dedup
 from linfold.llm.jaccard_join import divide_skip, jaccard_components, one_per_component
-from linfold.llm.line_dedup import Cuckoo, LineIndex, dedup_lines, without_repeated_lines
+from linfold.llm.line_dedup import Cuckoo, LineIndex, dedup_lines, line_rows, without_repeated_lines
 from linfold.llm.substring_dedup import dedup_substrings, without_repeated_substrings
 from linfold.llm.suffix_array import dedup_bytes
 
@@ -106,6 +106,58 @@ def test_lines_with_one_key_per_shard(docs, monkeypatch):
     assert tuples(dedup_lines(docs).collect(), "doc_id", "n_lines", "n_dropped", "kept_sha256") == lines(ROWS)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_line_index_grows_and_opens_again(spark, tmp_path, monkeypatch, kind):
+    """Opened again, grown tenfold, documents deleted and inserted again, segments joined: always as brute force."""
+    import random
+
+    import linfold.llm.line_dedup as L
+    monkeypatch.setattr(L, "SHARD_KEYS", 60)
+    rnd = random.Random(5)
+    rows = [(1000 + i, "\n".join(f"line number {rnd.randrange(20 * (i // 30 + 1) ** 2)} of text" for _ in range(rnd.randrange(12)))) for i in range(300)]
+    frame = lambda part: spark.createDataFrame(part, "doc_id long, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
+    path = str(tmp_path / "index")
+
+    def agrees(part):
+        index = LineIndex(spark, path)
+        got = strings((r.row.doc_id, len(r.lines), len(r.dropped), sha("\n".join(x for k, x in enumerate(r.lines) if k not in r.dropped)))
+                      for r in index.clean(frame(part)).collect())
+        assert got == lines(part)
+        digests = line_rows(frame(part)).select("digest").distinct()
+        assert index.state["digests"] == digests.count()
+        assert max(r["count"] for r in digests.groupBy(index._shard()).count().collect()) <= 2 * L.SHARD_KEYS
+        return index
+    assert [r.dropped for r in LineIndex(spark, path).delete(frame(rows[:3])).clean(frame(rows[:3])).collect()] == [[]] * 3
+    LineIndex(spark, path).insert(frame(rows[:30]))
+    small = agrees(rows[:30]).state["shards"]
+    index = agrees(rows[:30]).insert(frame(rows[20:60]))  # some are known already
+    agrees(rows[:60])
+    index.insert(frame(rows[60:]))
+    assert agrees(rows).state["shards"] > small
+    index.delete(frame(rows[:200:2]))
+    agrees(rows[1:200:2] + rows[200:])
+    index.insert(frame(rows[:100:2]))
+    left = rows[:100] + rows[101:200:2] + rows[200:]
+    agrees(left)
+    index.compact()
+    assert len(agrees(left).state["segments"]) == 1
+    with pytest.raises(ValueError):
+        LineIndex(spark, path, min_chars=5)
+    index.remove()
+    assert list((tmp_path / "index").iterdir()) == []
+
+
+def test_crowded_filters_grow(spark, monkeypatch):
+    index = LineIndex(spark)
+    frame = lambda n: spark.range(2 * n).selectExpr("id as doc_id", f"concat('a line of number ', id % {n}) as text")
+    index.insert(frame(10))
+    room = index._filters().first().buckets
+    index.insert(frame(400))
+    assert index._filters().where("crowded").count() == 0 and index._filters().first().buckets > room
+    assert index.duplicates(line_rows(frame(400))).count() == 400
+    index.remove()
+
+
 def test_cuckoo_holds_all_and_forgets():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, (3000, 2)).astype(np.uint64)
