@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linfold.operators.descent import gradient_descent, sgd
 from linfold.operators.metrics import constant_rmse, rmse, rmse_many
 from linfold.operators.moments import collect_moments, moments_frame
+from linfold.operators import rowwise
 from linfold.operators.rowwise import gd_rowwise, gradient_pass, sgd_rowwise
 from linfold.operators.splits import hash_split, one_split, random_split
 from linfold.plans.pipeline import Pipeline
@@ -104,6 +105,40 @@ def test_row_path_equals_moments(spark):
         assert a.snapshots[k].iterations == b.snapshots[k].iterations
 
 
+@pytest.mark.parametrize("d", [3, 50, 700])
+def test_staged_points_pass_equals_rows(spark, d):
+    df, x, y = _rows(spark, 90, d)
+    w = np.linspace(-1, 1, d)
+    err = x @ w + .5 - y
+    forms = [rowwise.packed(df, d), rowwise.by_column(df, d)][:2 if d <= 50 else 1]
+    for rows in [df, *forms]:
+        g, gb, sse, n = gradient_pass(rows, d, w, .5)
+        assert n == 90 and np.allclose(g, err @ x) and np.allclose([gb, sse], [err.sum(), err @ err])
+        g, gb, sse, n = gradient_pass(rows.limit(0), d, w, .5)
+        assert n == 0 and gb == sse == 0 and not g.any()
+    blocks = [len(r.points) for r in forms[0].collect()]
+    assert sum(blocks) == 90 * 8 * (d + 1) and max(blocks) <= max(rowwise.BLOCK_BYTES, 8 * (d + 1))
+    if d == 3:
+        bad = df.union(spark.createDataFrame([(1.0, [1.0, None, 2.0])], df.schema))
+        for make in (rowwise.packed, rowwise.by_column):
+            with pytest.raises(Exception, match="bad point"):
+                make(bad, d).collect()
+
+
+def test_narrow_row_path_stays_in_the_jvm(spark, monkeypatch):
+    df, x, y = _rows(spark, 80, 3)
+    seen, real = [], rowwise._column_pass
+    monkeypatch.setattr(rowwise, "_column_pass", lambda rows, *a: seen.append(rows.columns) or real(rows, *a))
+    w, trace = gd_rowwise(df, 3, 4, .05, .1)
+    v, expected = np.zeros(3), []
+    for i in range(4):
+        err = x @ v - y
+        expected.append(np.sqrt(np.mean(err ** 2)))
+        v = v - .05 / (80 * np.sqrt(i + 1)) * (err @ x + .1 * v)
+    assert np.allclose(w, v) and np.allclose(trace, expected)
+    assert seen == [["label", "x0", "x1", "x2"]] * 4
+
+
 def test_row_path_forms_interactions(spark):
     df, x, y = _rows(spark, 60, 4)
     z = np.hstack([x, (x[:, :, None] * x[:, None, :]).reshape(60, 16)])
