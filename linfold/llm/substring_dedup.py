@@ -215,10 +215,13 @@ def _prepared(docs: DataFrame) -> DataFrame:
                        F.xxhash64(norm).alias("th"), text.alias("text"), norm.alias("norm"))
 
 
-def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP,
+                 *, stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """(``base``, ``found``): ``base`` (owner, th, n_words, sha, copy) has a row
     per row of ``docs``, ``copy`` if a smaller document has the same words;
-    ``found`` (owner, th, starts) the window starts to remove of other texts."""
+    ``found`` (owner, th, starts) the window starts to remove of other texts.
+    With ``stage`` it is stored and the stretches are freed; without, a plan that
+    joins it with the texts by (owner, th) shuffles them once for both joins."""
     prepared = _prepared(docs)
     n = F.when(F.col("norm") == "", 0).otherwise(F.length("norm") - F.length(F.replace("norm", F.lit(" "), F.lit(""))) + 1)
     base = staged(prepared.select("owner", "th", n.cast("long").alias("n_words"), F.sha2("norm", 256).alias("sha")), "words")
@@ -238,16 +241,18 @@ def word_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group:
     starts = (suffixes.repartition("route").sortWithinPartitions("route").mapInArrow(_removed, "owner long, p long")
               .groupBy("owner", F.col("p").bitwiseAND(TH).alias("bits"))
               .agg(F.collect_list(F.shiftright("p", TH_BITS).cast("int")).alias("starts")))
-    found = staged(starts.join(first.select("owner", "th", F.col("th").bitwiseAND(TH).alias("bits")), ["owner", "bits"])
-                   .select("owner", "th", "starts"), "starts")
-    unstage(shared)
+    found = (starts.join(first.select("owner", "th", F.col("th").bitwiseAND(TH).alias("bits")), ["owner", "bits"])
+             .select("owner", "th", "starts"))
+    if stage:
+        found = staged(found, "starts")
+        unstage(shared)
     copies = base.alias("b").join(first.alias("f"), ["th", "sha"]).select(
         "b.owner", "th", "n_words", "sha", (F.col("b.owner") > F.col("f.owner")).alias("copy"))
     return copies, found
 
 
 def _kept(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    base, found = word_repeats(docs, window)
+    base, found = word_repeats(docs, window, stage=False)
     texts = _prepared(docs).select("owner", "th", "text").join(found.hint("shuffle_hash"), ["owner", "th"])
     kept = texts.mapInArrow(lambda it: _rewritten(it, window), "owner long, th long, removed long, kept_sha string, kept string")
     return base, kept

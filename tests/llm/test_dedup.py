@@ -187,6 +187,13 @@ def test_substrings(docs, group, monkeypatch):
     assert tuples(dedup_substrings(docs).collect(), "doc_id", "n_words", "n_removed", "kept_sha256") == substrings(ROWS)
 
 
+def test_substrings_shuffle_texts_once(spark, docs, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/docs")
+    out = dedup_substrings(spark.read.parquet(f"{tmp_path}/docs"))
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_substring_texts_keep_columns(docs):
     got = without_repeated_substrings(docs)
     assert got.columns == docs.columns
