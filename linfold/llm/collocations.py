@@ -52,10 +52,13 @@ from linfold.llm.common import staged, unstage
 LEAST, LONGEST, COVER, TOP = 30, 4, 80, 2000
 SCALE = 2_000_000
 BITS = 27  # the table of frequent pairs has 2**BITS bits: 16 MB
-PAIR = np.uint64((1 << 40) - 1)  # the part of a pair's digest that is counted: shorter rows, a shared one spares none
+PAIR = np.uint64((1 << 32) - 1)  # the part of a pair's digest that is counted: shorter rows, a shared one spares none
+PAIRS = 4_000_000  # pairs that a task holds before it sends them, in
+PAIR_PARTS = 16  # parts
 HELD = 2_000_000  # phrases, or
 HELD_BYTES = 64 << 20  # bytes of them, that a task holds before it sends them
 SENT = 100_000  # rows of a batch that it sends
+TEXT = 512 << 10  # bytes of text whose words are found at a time: their numbers take some 60 times that
 
 _PARTS = np.zeros(256, bool)  # characters that end a piece
 _PARTS[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -111,7 +114,7 @@ def _segments(batches):
         known = np.array([_language(x) for x in of], np.uint64)
         code = np.array([of[x] for x in names], np.int64)
         langs = list(of)
-        for a, b, data, offsets in segments(batch):
+        for a, b, data, offsets in segments(batch, limit=TEXT):
             yield langs, _Words(data, offsets, code[a:b], known[code[a:b]])
 
 
@@ -178,20 +181,24 @@ def _counted_pairs(batches):
     """Rows (digest of two words, how often a task has them)."""
     held, n = [], 0
 
-    def sent():
-        digest, many = (np.concatenate([r[k] for r in held]) for k in (0, 1))
-        pick, many = _merged(digest, many)
-        return pa.RecordBatch.from_arrays([pa.array(digest[pick].view(np.int64)), pa.array(many, pa.int64())], ["pair", "f"])
+    def sent():  # in ascending parts, so that little beside what is held is taken
+        edges = np.arange(1, PAIR_PARTS, dtype=np.uint64) * ((PAIR + np.uint64(1)) // np.uint64(PAIR_PARTS))
+        cuts = [np.concatenate([[0], np.searchsorted(d, edges), [len(d)]]) for d, _ in held]
+        for k in range(PAIR_PARTS):
+            digest, many = (np.concatenate([r[x][c[k]:c[k + 1]] for r, c in zip(held, cuts, strict=True)]) for x in (0, 1))
+            if len(digest):
+                pick, many = _merged(digest, many)
+                yield pa.RecordBatch.from_arrays([pa.array(digest[pick].view(np.int64)), pa.array(many, pa.int64())], ["pair", "f"])
     for _, words in _segments(batches):
         at = words.phrases(2)
         if len(at):
             held.append(np.unique(words.digests.sliding(2)[at] & PAIR, return_counts=True))
             n += len(held[-1][0])
-        if n >= 2 * HELD:
-            yield sent()
+        if n >= PAIRS:
+            yield from sent()
             held, n = [], 0
     if n:
-        yield sent()
+        yield from sent()
 
 
 def _counted_phrases(batches, table, longest):
@@ -217,7 +224,8 @@ def _counted_phrases(batches, table, longest):
 def _bit_table(pairs: DataFrame, least: int, bits: int) -> bytes:
     """The table of the pairs that reach ``least``: 2**bits bits, whatever the input."""
     slot = F.col("pair").bitwiseAND((1 << bits) - 1)
-    words = (pairs.groupBy("pair").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    # a task's pairs are summed already: dealt out as they are, without a second table of them in the JVM
+    words = (pairs.repartition("pair").groupBy("pair").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
              .select(F.shiftrightunsigned(slot, 6).alias("at"), F.expr("shiftleft(1L, cast(pair & 63 as int))").alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow())
     table = np.zeros(1 << (bits - 6), np.uint64)

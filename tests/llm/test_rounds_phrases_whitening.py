@@ -179,6 +179,17 @@ def test_task_holds_few_phrases(monkeypatch):
     assert sum(r["f"] for b in phrases._counted_pairs([batch] * 3) for r in b.to_pylist()) == 60 * 6
 
 
+def test_pairs_leave_a_task_in_ascending_parts():
+    """The merge of all pairs at once took several times what a task holds."""
+    import pyarrow as pa
+    text = " ".join(f"w{k * k % 7919}" for k in range(20_000))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", None], "text": [text, "a b"]})
+    parts = list(phrases._counted_pairs([batch.set_column(0, "lang", batch["lang"].fill_null("und"))] * 2))
+    digest = np.concatenate([b["pair"].to_numpy() for b in parts])
+    assert max(b.num_rows for b in parts) < len(digest) / 4 and (digest[1:] > digest[:-1]).all()
+    assert sum(b["f"].to_numpy().sum() for b in parts) == 2 * (19_999 + 1)
+
+
 def test_no_phrases(spark):
     docs = spark.createDataFrame([("en", "a b")], "lang string, text string")
     assert phrases.collocations(docs).count() == 0
