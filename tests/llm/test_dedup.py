@@ -230,6 +230,24 @@ def test_bytes_at_half_depth(docs):
     assert all(sha(bytes(r.kept)) == r.kept_sha256 for r in got)
 
 
+def test_bytes_at_the_contract_threshold(spark):
+    """400 bytes repeat or they stay: shared passages just below and at it, one of
+    59 words in 394 bytes, two-byte letters, periodic texts."""
+    rnd = random.Random(7)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    words = " ".join("abcdefg"[:5 + (k % 10 < 7)] for k in range(59))[:394]
+    assert len(words.split()) == 59
+    passages = [words, noise(399), noise(400), noise(401), "ñ" * 100 + noise(200), noise(900)]
+    rows = []
+    for k, x in enumerate(passages):  # closed by different bytes
+        rows += [(2 * k, noise(30) + "A" + x + "B" + noise(50)), (2 * k + 1, noise(70) + "C" + x + "D")]
+    rows += [(20, "xyz" * 200), (21, "E" + "xyz" * 133 + "F"), (22, noise(400)), (23, "pq" * 200), (24, "pq" * 200 + "p"), (25, None)]
+    got = dedup_bytes(table(spark, rows)).collect()
+    assert tuples(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == byte_spans(rows, 400)
+    removed = {r.doc_id: r.n_removed for r in got}
+    assert [removed[2 * k] for k in range(6)] == [removed[2 * k + 1] for k in range(6)] == [0, 0, 400, 401, 400, 900]
+
+
 @pytest.mark.parametrize("less", [True, False])
 def test_bytes_of_a_class_that_another_task_holds_alone(spark, less):
     """One task holds a text and a variant of it, another one the text alone,
